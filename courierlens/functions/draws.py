@@ -28,7 +28,8 @@ def with_draws(df: DataFrame, row_id: str, names: list[str], seed: int) -> DataF
     for i, name in enumerate(names):
         start = 1 + _HEX_DIGITS * (i % _SLICES)
         digits = F.substring(F.col(f"_block{i // _SLICES}"), start, _HEX_DIGITS)
-        slices[name] = F.conv(digits, 16, 10).cast("long")
+        # never NULL; saying so spares joins on a draw a null check that hashes again
+        slices[name] = F.coalesce(F.conv(digits, 16, 10).cast("long"), F.lit(0).cast("long"))
     return hashed.withColumns(slices).drop(*blocks)
 
 

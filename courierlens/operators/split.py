@@ -20,35 +20,38 @@ def hash_split(row_id: Column, seed: int = 42) -> Column:
     return F.when(bucket < _TRAIN_BELOW, "train").otherwise("test")
 
 
-def stratified_split(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataFrame:
-    """Add ``split`` so that exactly ceil(n/5) rows of each class are test rows.
+def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> dict:
+    """Per class, the highest id hash of a training row; ceil(n/5) rows lie above it.
 
-    Rows are ranked by the hash of their id within their class, without sorting a
-    class: a histogram of hash prefixes (at most 65,536 per class) finds the prefix
-    that holds the cut, and only that prefix's rows are ordered to find the exact cut.
-    The frame of cuts has one row per class, so the join back is a broadcast of a
-    few rows.
+    No class is sorted or gathered: a histogram of hash prefixes (at most 65,536 per
+    class) finds the prefix that holds the cut, and only that prefix's rows are
+    ordered. One row per class reaches the driver.
     """
-    hashed = df.withColumn("_hash", row_hash(F.col(row_id), seed))
-    prefix = F.substring("_hash", 1, _BUCKET_DIGITS)
-    ids = hashed.select(F.col(label).alias("_class"), "_hash", prefix.alias("_prefix"))
+    hashed = df.select(F.col(label).alias("class"), row_hash(F.col(row_id), seed).alias("hash"))
+    ids = hashed.withColumn("prefix", F.substring("hash", 1, _BUCKET_DIGITS))
 
-    per_class = Window.partitionBy("_class")
-    histogram = ids.groupBy("_class", "_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    per_class = Window.partitionBy("class")
+    histogram = ids.groupBy("class", "prefix").agg(F.count(F.lit(1)).alias("n"))
     cut_prefix = (
-        histogram.withColumn("_upto", F.sum("_n").over(per_class.orderBy("_prefix")))
-        .withColumn("_total", F.sum("_n").over(per_class))
-        .withColumn("_train", F.col("_total") - F.ceil(F.col("_total") / 5))
-        .filter((F.col("_upto") >= F.col("_train")) & (F.col("_upto") - F.col("_n") < F.col("_train")))
-        .select("_class", "_prefix", (F.col("_train") - F.col("_upto") + F.col("_n")).alias("_take"))
-    )
-    in_cut = ids.join(F.broadcast(cut_prefix), ["_class", "_prefix"])
-    rank = F.row_number().over(Window.partitionBy("_class", "_prefix").orderBy("_hash"))
-    cuts = (
-        in_cut.withColumn("_rank", rank)
-        .filter(F.col("_rank") == F.col("_take"))
-        .select("_class", F.col("_hash").alias("_cut"))
+        histogram.withColumn("upto", F.sum("n").over(per_class.orderBy("prefix")))
+        .withColumn("total", F.sum("n").over(per_class))
+        .withColumn("train", F.col("total") - F.ceil(F.col("total") / 5))
+        .filter((F.col("upto") >= F.col("train")) & (F.col("upto") - F.col("n") < F.col("train")))
+        .select("class", "prefix", (F.col("train") - F.col("upto") + F.col("n")).alias("take"))
     )
-    tagged = hashed.join(F.broadcast(cuts), F.col(label).eqNullSafe(F.col("_class")), "left")
-    side = F.when(F.col("_hash") <= F.col("_cut"), "train").otherwise("test")
-    return tagged.withColumn("split", side).drop("_hash", "_class", "_cut")
+    # one row per class, so the broadcast side has a fixed size
+    in_cut = ids.join(F.broadcast(cut_prefix), ["class", "prefix"])
+    rank = F.row_number().over(Window.partitionBy("class", "prefix").orderBy("hash"))
+    cuts = in_cut.withColumn("rank", rank).filter(F.col("rank") == F.col("take"))
+    return {row["class"]: row["hash"] for row in cuts.select("class", "hash").collect()}
+
+
+def stratified_split(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataFrame:
+    """Add ``split`` so that exactly ceil(n/5) rows of each class are test rows.
+
+    The cuts are found first; the split itself is a plain expression over the row.
+    """
+    side = F.when(F.lit(False), "train")
+    for value, cut in stratified_cuts(df, row_id, label, seed).items():
+        side = side.when((F.col(label) == F.lit(value)) & (row_hash(F.col(row_id), seed) <= cut), "train")
+    return df.withColumn("split", side.otherwise("test"))

@@ -14,6 +14,7 @@ from courierlens.functions.rules import alert_text
 from courierlens.operators import measures as m
 from courierlens.operators.summarize import finish, summarize, summarize_through
 from courierlens.plans.reports import MIN_ORDERS
+from courierlens.sources.working_copy import materialize
 
 _EVEN = m.half_even
 
@@ -160,10 +161,16 @@ def district_weather(orders: DataFrame) -> DataFrame:
 
 
 def district_weather_wide(orders: DataFrame, districts: list[str] | None = None) -> DataFrame:
-    """The heat map as a matrix: one row per weather, one column per district."""
+    """The heat map as a matrix: one row per weather, one column per district.
+
+    Without a list of districts the pivot has to look them up first; the long form is
+    written before, so that the fact is still scanned once.
+    """
     long_form = summarize(
         orders, ["district", "weather"], [m.mean_delay_rate("delay_rate", law=_EVEN)], known_keys_only=True
     )
+    if districts is None:
+        long_form = materialize(long_form, "district-weather")
     grid = long_form.groupBy("weather").pivot("district", districts).agg(F.first("delay_rate"))
     return finish(grid, order=("weather",))
 

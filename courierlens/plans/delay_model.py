@@ -98,22 +98,20 @@ class DelayRun:
         return classification_metrics(self.scored, LABEL, "prediction")
 
 
-def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH, max_labels: int = 256) -> DelayRun:
+def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH) -> DelayRun:
     """Weight the classes, hold out a fifth of each, boost trees on the rest.
 
     The class ratio comes from all rows, as do the label lists.
     """
     spark = star.orders.sparkSession
     ensure_checkpointing(spark)
-    rows = training_rows(star)
     labels = order_vocabularies(star)
-    rows = materialize(stratified_split(rows, "order_id", LABEL, SEED), "delay-rows")
+    rows = stratified_split(materialize(training_rows(star), "delay-rows"), "order_id", LABEL, SEED)
     ratio = class_profile(rows, LABEL).first()["class_ratio"]
     if ratio is None:
         raise ValueError("the delay model needs late orders to learn from")
     weight = F.when(F.col(LABEL) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0))
     training = rows.filter("split = 'train'").withColumn("weight", weight)
-    widest = max(len(v) for v in labels.values())
     learner = GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -123,7 +121,7 @@ def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH, max_labels: int
         stepSize=STEP,
         subsamplingRate=ROW_SHARE,
         seed=SEED,
-        maxBins=max(32, min(widest, max_labels)),
+        maxBins=max(32, *[len(v) for v in labels.values()]),
         checkpointInterval=10,
     )
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")

@@ -27,7 +27,7 @@ from courierlens.session import application_folder
 from courierlens.sources import builder, files, tables
 from courierlens.sources.adapter import table_path
 from courierlens.sources.tables import Star
-from courierlens.sources.working_copy import working_star
+from courierlens.sources.working_copy import fingerprint, materialize, working_star
 from courierlens.streaming.alerts import late_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,7 +198,8 @@ def ml_metrics_on_rule(orders: DataFrame) -> DataFrame:
 
 def demand_metrics_on_mean(orders: DataFrame) -> DataFrame:
     """The model metrics for the training mean per district and traffic level."""
-    split = demand_model.split_slots(demand_model.demand_slots(orders))
+    # written once: a filter on the split must not travel below the slot aggregate
+    split = materialize(demand_model.split_slots(demand_model.demand_slots(orders)), "mean-slots")
     scored = demand_model.mean_predictor(split, ["district", "traffic_level"])
     return regression_metrics(scored, demand_model.LABEL, "prediction")
 
@@ -210,12 +211,23 @@ def demand_slot_split(orders: DataFrame) -> DataFrame:
     )
 
 
+_RUNS: dict[tuple[str, ...], object] = {}
+
+
+def _trained(spark: SparkSession, root: str, name: str, train: Callable[[Star], object]):
+    """Train once per application and source; the model queries share the result."""
+    key = (name, spark.sparkContext.applicationId, root, fingerprint(spark, root))
+    if key not in _RUNS:
+        _RUNS[key] = train(working_star(spark, root))
+    return _RUNS[key]
+
+
 def _delay_run(spark: SparkSession, root: str) -> delay_model.DelayRun:
-    return delay_model.train(working_star(spark, root), QUERY_ROUNDS, QUERY_DEPTH)
+    return _trained(spark, root, "delay", lambda s: delay_model.train(s, QUERY_ROUNDS, QUERY_DEPTH))
 
 
 def _demand_run(spark: SparkSession, root: str) -> demand_model.DemandRun:
-    return demand_model.train(working_star(spark, root).orders, QUERY_ROUNDS, QUERY_DEPTH)
+    return _trained(spark, root, "demand", lambda s: demand_model.train(s.orders, QUERY_ROUNDS, QUERY_DEPTH))
 
 
 def ml_delay_model(spark: SparkSession, root: str) -> DataFrame:
@@ -236,11 +248,9 @@ def ml_demand_importance(spark: SparkSession, root: str) -> DataFrame:
 
 def ml_demand_scenarios(spark: SparkSession, root: str) -> DataFrame:
     """Expected orders of the busiest districts in coming peak hours, from a reloaded model."""
-    orders = working_star(spark, root).orders
-    run = demand_model.train(orders, QUERY_ROUNDS, QUERY_DEPTH)
     path = _exchange_folder(spark, "demand_model")
-    delay_model.save_model(run.model, path)
-    scenarios = reports.busiest_districts(orders).select(
+    delay_model.save_model(_demand_run(spark, root).model, path)
+    scenarios = reports.busiest_districts(working_star(spark, root).orders).select(
         "district",
         F.explode(F.array(*[F.lit(h).cast("long") for h in sorted(set(demand_model.FORECAST_HOURS))])).alias(
             "hour_of_day"

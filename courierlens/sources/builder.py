@@ -98,7 +98,6 @@ def order_day(draw: Column, first: date = FIRST_DAY, last: date = LAST_DAY) -> C
     offset = F.lit(0)
     for i in range(1, 7):
         offset = F.when(place >= sum(week[:i]), F.lit(i)).otherwise(offset)
-    # the first six days are tested in rising order, so the last true test wins
     whole_weeks = ((tick - place) / F.lit(sum(week))).cast("int")
     return F.date_add(F.lit(first), whole_weeks * 7 + offset)
 

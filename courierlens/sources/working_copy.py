@@ -22,9 +22,11 @@ from courierlens.sources.tables import Star, save_star
 
 _LOCK = threading.Lock()
 _WRITTEN: set[str] = set()
+# open copies by folder and session; each holds its session, so the id stays taken
+_OPEN: dict[tuple[str, int], Star] = {}
 
 
-def _fingerprint(spark: SparkSession, root: str) -> str:
+def fingerprint(spark: SparkSession, root: str) -> str:
     """Changes when a source table's files, sizes or times do."""
     jvm = spark._jvm
     conf = spark._jsc.hadoopConfiguration()
@@ -43,16 +45,20 @@ def working_star(spark: SparkSession, root: str) -> Star:
 
     Without a shared folder the lazy plan is returned: slower, same rows.
     """
-    lazy = star_from_tables(spark, root)
-    folder = application_folder(spark, "star", _fingerprint(spark, root))
+    folder = application_folder(spark, "star", fingerprint(spark, root))
     if folder is None:
-        return lazy
+        return star_from_tables(spark, root)
     with _LOCK:
         if folder not in _WRITTEN:
-            save_star(lazy, folder)
+            save_star(star_from_tables(spark, root), folder)
             _WRITTEN.add(folder)
-    schemas = star_schemas("long")
-    return Star.of({t: spark.read.schema(s).parquet(f"{folder}/{t}") for t, s in schemas.items()})
+        key = (folder, id(spark))
+        if key not in _OPEN:
+            schemas = star_schemas("long")
+            _OPEN[key] = Star.of(
+                {t: spark.read.schema(s).parquet(f"{folder}/{t}") for t, s in schemas.items()}
+            )
+        return _OPEN[key]
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

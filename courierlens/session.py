@@ -55,6 +55,14 @@ def application_folder(spark: SparkSession, *parts: str) -> str | None:
     return "/".join([root.rstrip("/"), "courierlens", spark.sparkContext.applicationId, *parts])
 
 
+def release_application_folder(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that read them end with it."""
+    folder = application_folder(spark)
+    if folder is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ensure_checkpointing(spark: SparkSession) -> None:
     """Let iterative learners cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

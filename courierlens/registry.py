@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,7 +71,7 @@ def _source(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def _exchange_folder(spark: SparkSession, name: str) -> str:
-    folder = application_folder(spark, "exchange", name)
+    folder = application_folder(spark, "exchange", f"{name}-{uuid.uuid4().hex[:12]}")
     if folder is None:
         raise RuntimeError("set spark.checkpoint.dir to a shared folder to exchange files")
     return folder

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from courierlens.plans import delay_model, reports
-from courierlens.plans.gold import FROM_GOLD, gold_cube
+from courierlens.plans.gold import FROM_GOLD, captain_parts, gold_cube, restaurant_parts
 from courierlens.plans.marts import captain_performance
 from courierlens.plans.staging import stg_captains
 from courierlens.sources.adapter import fact_orders, restaurants
@@ -75,6 +75,18 @@ def test_gold_cube_answers_every_single_table_report(built):
     cube.unpersist()
 
 
+def test_parts_per_key_answer_the_dimension_reports(built):
+    captains, restaurant_dim = stg_captains(built.captains), built.restaurants
+    by_captain, by_restaurant = captain_parts(built.orders), restaurant_parts(built.orders)
+    assert values(captain_performance(by_captain, captains)) == values(captain_performance(built.orders, captains))
+    assert values(reports.worst_captains(by_captain, captains)) == values(
+        reports.worst_captains(built.orders, captains)
+    )
+    assert values(reports.slowest_restaurants(by_restaurant, restaurant_dim)) == values(
+        reports.slowest_restaurants(built.orders, restaurant_dim)
+    )
+
+
 # a third of all rows on one key
 
 

@@ -11,7 +11,8 @@ _TRAIN_BELOW = "cccd"
 
 
 def row_hash(row_id: Column, seed: int) -> Column:
-    return F.md5(F.concat(row_id.cast("string"), F.lit(f":{seed}")))
+    # the hash is never NULL, which spares joins on it a null check that hashes again
+    return F.md5(F.concat(F.coalesce(row_id.cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def hash_split(row_id: Column, seed: int = 42) -> Column:

@@ -1,11 +1,12 @@
 """Command line: build a dataset, show reports, run the flow.
 
     python -m courierlens build OUT --orders 50000
-    python -m courierlens show [--csv] STAR report_overview dash_kpis
+    python -m courierlens show STAR --names report_overview dash_kpis
     python -m courierlens show STAR            (every report)
     python -m courierlens flow STAR OUT --rounds 200
 
-STAR is a folder with the three Parquet tables; ``--csv`` reads a landing zone instead.
+STAR is a folder with the three Parquet tables, with ``--layout landing`` a landing zone of
+CSV files, with ``--layout flat`` a folder with one CSV file per table.
 Works under spark-submit; a local session is started when none exists.
 """
 
@@ -34,20 +35,24 @@ REPORTS = {
     "mart_captain_performance": lambda s: marts.captain_performance(
         s.orders, staging.stg_captains(s.captains)
     ),
-    "check_row_counts": lambda s: validation.row_counts(s.tables()),
-    "check_sample": lambda s: validation.order_sample(s.orders),
+    **{
+        name: (lambda s, n=name: validation.validation_report(s)[n])
+        for name in ("check_row_counts", "check_sample")
+    },
     "dq_results": lambda s: run_tests(staging.staged(s), staging.DATA_TESTS),
 }
 
+LAYOUTS = ["parquet", "landing", "flat"]
+
 
 def _session() -> SparkSession:
     return SparkSession.getActiveSession() or local_session()
 
 
-def _load(spark: SparkSession, path: str, csv: bool) -> Star:
-    if csv:
-        return Star.of(files.read_raw(spark, path))
-    return tables.load_star(tables.parquet_reader(spark, path))
+def _load(spark: SparkSession, path: str, layout: str) -> Star:
+    if layout == "parquet":
+        return tables.load_star(tables.parquet_reader(spark, path))
+    return Star.of(files.read_raw(spark, path, flat=layout == "flat"))
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -64,14 +69,14 @@ def main(argv: list[str] | None = None) -> None:
 
     show = commands.add_parser("show", help="print reports")
     show.add_argument("star")
-    show.add_argument("names", nargs="*", help=f"any of: {', '.join(REPORTS)}")
-    show.add_argument("--csv", action="store_true")
+    show.add_argument("--names", nargs="+", choices=REPORTS, default=list(REPORTS), metavar="NAME")
+    show.add_argument("--layout", choices=LAYOUTS, default="parquet")
     show.add_argument("--rows", type=int, default=50)
 
     flow = commands.add_parser("flow", help="run data tests, marts, reports and models")
     flow.add_argument("star")
     flow.add_argument("out")
-    flow.add_argument("--csv", action="store_true")
+    flow.add_argument("--layout", choices=LAYOUTS, default="parquet")
     flow.add_argument("--rounds", type=int, default=ROUNDS)
     flow.add_argument("--no-models", action="store_true")
 
@@ -85,13 +90,13 @@ def main(argv: list[str] | None = None) -> None:
             files.land(written.tables(), args.out)
         validation.build_summary(written.orders).show(truncate=False)
     elif args.command == "show":
-        star = _load(spark, args.star, args.csv)
-        for name in args.names or REPORTS:
+        star = _load(spark, args.star, args.layout)
+        for name in args.names:
             print(name)
             REPORTS[name](star).show(args.rows, truncate=False)
     else:
         written = pipeline.run_pipeline(
-            spark, _load(spark, args.star, args.csv), args.out, not args.no_models, args.rounds
+            spark, _load(spark, args.star, args.layout), args.out, not args.no_models, args.rounds
         )
         for name, path in written.items():
             print(f"{name}\t{path}")

@@ -25,8 +25,9 @@ def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> d
     """Per class, the highest id hash of a training row; ceil(n/5) rows lie above it.
 
     No class is sorted or gathered: a histogram of hash prefixes (at most 65,536 per
-    class) finds the prefix that holds the cut, and only that prefix's rows are
-    ordered. One row per class reaches the driver.
+    class) finds the prefix that holds the cut, and only that prefix's distinct ids
+    are ordered. One row per class reaches the driver. Rows that repeat an id stay on
+    one side of the cut.
     """
     hashed = df.select(F.col(label).alias("class"), row_hash(F.col(row_id), seed).alias("hash"))
     ids = hashed.withColumn("prefix", F.substring("hash", 1, _BUCKET_DIGITS))
@@ -42,8 +43,11 @@ def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> d
     )
     # one row per class, so the broadcast side has a fixed size
     in_cut = ids.join(F.broadcast(cut_prefix), ["class", "prefix"])
-    rank = F.row_number().over(Window.partitionBy("class", "prefix").orderBy("hash"))
-    cuts = in_cut.withColumn("rank", rank).filter(F.col("rank") == F.col("take"))
+    per_id = in_cut.groupBy("class", "prefix", "take", "hash").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("class", "prefix").orderBy("hash"))
+    cuts = per_id.withColumn("upto", upto).filter(
+        (F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take"))
+    )
     return {row["class"]: row["hash"] for row in cuts.select("class", "hash").collect()}
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from courierlens.operators import measures as m
 from courierlens.operators.summarize import finish, summarize
+from courierlens.sources.tables import Star
 
 SAMPLE_COLUMNS = ["order_id", "district", "delivery_time_min", "weather", "traffic_level", "status"]
 
@@ -45,6 +46,16 @@ def top_districts(orders: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
+def validation_report(star: Star) -> dict[str, DataFrame]:
+    """The four parts of the validation report."""
+    return {
+        "check_row_counts": row_counts(star.tables()),
+        "check_sample": order_sample(star.orders),
+        "check_status": by_status(star.orders),
+        "check_districts": top_districts(star.orders),
+    }
+
+
 def build_summary(orders: DataFrame) -> DataFrame:
     """Counts and shares by status with mean minutes and value, for a finished build."""
     return summarize(

@@ -30,8 +30,10 @@ def write_raw(df: DataFrame, path: str) -> None:
     )
 
 
-def entity_path(base_uri: str, table: str) -> str:
-    return f"{base_uri.rstrip('/')}/raw/{ENTITIES[table]}"
+def entity_path(base_uri: str, table: str, flat: bool = False) -> str:
+    """``<base>/raw/<entity>`` in a landing zone, ``<base>/<entity>.csv`` when flat."""
+    base = base_uri.rstrip("/")
+    return f"{base}/{ENTITIES[table]}.csv" if flat else f"{base}/raw/{ENTITIES[table]}"
 
 
 def land(tables: dict[str, DataFrame], base_uri: str) -> dict[str, str]:
@@ -42,9 +44,9 @@ def land(tables: dict[str, DataFrame], base_uri: str) -> dict[str, str]:
     return paths
 
 
-def read_raw(spark: SparkSession, base_uri: str, ids: str = "string") -> dict[str, DataFrame]:
-    """The three tables of a landing zone."""
+def read_raw(spark: SparkSession, base_uri: str, ids: str = "string", flat: bool = False) -> dict[str, DataFrame]:
+    """The three tables of a landing zone, or of a folder with one CSV file per entity."""
     return {
-        name: read_csv(spark, entity_path(base_uri, name), schema)
+        name: read_csv(spark, entity_path(base_uri, name, flat), schema)
         for name, schema in star_schemas(ids).items()
     }

@@ -7,8 +7,16 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType, TimestampNTZType
 
-from courierlens.schemas import DIM_CAPTAINS, DIM_RESTAURANTS, FACT_ORDERS, star_schemas
+from courierlens.schemas import (
+    DIM_CAPTAINS,
+    DIM_RESTAURANTS,
+    FACT_ORDERS,
+    TIMESTAMP_FORMAT,
+    star_schemas,
+)
 
 Reader = Callable[[str], DataFrame]
 
@@ -99,14 +107,35 @@ def jdbc_reader(
     return read
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """Declared columns in declared order and type; keys keep the type they have.
+
+    Warehouses store times as text and whole numbers as decimals. A value that does
+    not fit its declared type fails the job. Columns already in type stay untouched,
+    so pruning and push-down still reach the scan.
+    """
+    have = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        column, kind = F.col(field.name), have[field.name]
+        if kind == field.dataType or field.name.endswith("_id"):
+            columns.append(column)
+        elif isinstance(kind, StringType) and isinstance(field.dataType, TimestampNTZType):
+            parsed = F.to_timestamp_ntz(column, F.lit(TIMESTAMP_FORMAT))
+            columns.append(parsed.alias(field.name))
+        else:
+            columns.append(column.cast(field.dataType).alias(field.name))
+    return df.select(*columns)
+
+
 def load_star(read: Reader, cache: bool = False) -> Star:
-    """The star from any reader, columns lower-cased and in declared order.
+    """The star from any reader, with lower-case names and declared types.
 
     ``cache`` keeps it for many queries of one session; blocks that do not fit in
     memory go to disk, and blocks lost with an executor are read again.
     """
     tables = {}
     for name, schema in star_schemas().items():
-        df = normalize_columns(read(name)).select(*schema.fieldNames())
+        df = conform(normalize_columns(read(name)), schema)
         tables[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
     return Star.of(tables)

@@ -61,6 +61,15 @@ def test_stratified_split_is_exact_per_class(spark, n):
         assert sum(c == y for _, c, _ in split) == len(ids)
 
 
+def test_a_repeated_id_stays_on_one_side(spark):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), F.lit(1).alias("y")
+    )
+    split = stratified_split(rows, "id", "y")
+    assert split.filter("id = -1").select("split").distinct().count() == 1
+    assert split.count() == 3000
+
+
 def labelled(spark, cells):
     rows = [(y, p) for (y, p), n in cells.items() for _ in range(n)]
     return spark.createDataFrame(rows, "y int, p double")

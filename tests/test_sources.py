@@ -66,6 +66,30 @@ def test_capital_column_names_are_lowered(spark, built, tmp_path):
         df.unpersist()
 
 
+def test_text_times_and_decimals_are_conformed(spark, built):
+    loose = built.orders.withColumns(
+        {
+            "order_time": rules.moment_text(F.col("order_time")),
+            "delivery_time_min": F.col("delivery_time_min").cast("decimal(38,0)"),
+            "is_delayed": F.col("is_delayed").cast("int"),
+        }
+    )
+    star = tables.load_star(lambda name: loose if name == FACT_ORDERS else built.tables()[name])
+    assert star.orders.dtypes == built.orders.dtypes and same(star.orders, built.orders)
+    broken = loose.withColumn("order_time", F.lit("yesterday"))
+    star = tables.load_star(lambda name: broken if name == FACT_ORDERS else built.tables()[name])
+    with pytest.raises(Exception, match="CANNOT_PARSE_TIMESTAMP"):
+        star.orders.collect()
+
+
+def test_flat_folder_of_csv_files(spark, built, tmp_path):
+    for name, df in built.tables().items():
+        files.write_raw(df, files.entity_path(str(tmp_path), name, flat=True))
+    assert (tmp_path / "captains.csv").exists()
+    back = files.read_raw(spark, str(tmp_path), flat=True)
+    assert same(back[DIM_CAPTAINS], built.captains)
+
+
 def test_jdbc_options():
     plain = tables.jdbc_options("jdbc:x:y", "FACT_ORDERS")
     assert plain == {"url": "jdbc:x:y", "dbtable": "FACT_ORDERS", "fetchsize": "10000"}

@@ -60,7 +60,7 @@ def hour_of_day(moment: Column) -> Column:
 
 
 def day_of_week(moment: Column) -> Column:
-    return F.date_format(moment, "EEEE")
+    return F.date_format(moment.cast("date"), "EEEE")
 
 
 def order_moment(day: Column, hour: Column, minute: Column) -> Column:
@@ -69,7 +69,8 @@ def order_moment(day: Column, hour: Column, minute: Column) -> Column:
 
 
 def moment_text(moment: Column) -> Column:
-    return F.date_format(moment, TIMESTAMP_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``, read off the timestamp without passing a time zone."""
+    return F.substring(moment.cast("string"), 1, len(TIMESTAMP_FORMAT))
 
 
 def prep_minutes(average: Column, jitter: Column) -> Column:

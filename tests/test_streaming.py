@@ -3,7 +3,9 @@ from __future__ import annotations
 import datetime as dt
 
 from conftest import values
+from pyspark.sql import functions as F
 
+from courierlens.functions.rules import day_of_week, moment_text
 from courierlens.streaming.alerts import late_orders, order_stream, write_alerts
 
 
@@ -29,3 +31,19 @@ def test_stream_of_files_equals_the_batch(spark, make, tmp_path):
     batch = late_orders(spark.read.parquet(source)).filter("window_start < '2025-01-05'")
     assert sorted(final) == sorted(values(batch, *columns))
     assert sum(v[2] for v in final) == 24
+
+
+def test_windows_do_not_depend_on_the_session_zone(spark, make):
+    # 02:30 on this day does not exist in the first zone; the second is off by half an hour
+    orders = make([{"is_delayed": 1, "order_time": dt.datetime(2025, 3, 9, 2, 30)}]).orders
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/New_York", "Asia/Kolkata", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            assert values(late_orders(orders), "window_start", "window_end") == [
+                (dt.datetime(2025, 3, 9, 2), dt.datetime(2025, 3, 9, 3))
+            ]
+            text = orders.select(moment_text(F.col("order_time")), day_of_week(F.col("order_time")))
+            assert values(text) == [("2025-03-09 02:30:00", "Sunday")]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

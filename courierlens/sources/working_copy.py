@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courierlens.schemas import star_schemas
+from courierlens.schemas import FACT_ORDERS, star_schemas
 from courierlens.session import application_folder
 from courierlens.sources.adapter import SOURCE_TABLES, star_from_tables, table_path
 from courierlens.sources.tables import Star, save_star
@@ -40,6 +40,11 @@ def fingerprint(spark: SparkSession, root: str) -> str:
     return hashlib.sha256("|".join(facts).encode()).hexdigest()[:16]
 
 
+def _exists(spark: SparkSession, location: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def working_star(spark: SparkSession, root: str) -> Star:
     """The star of ``root``, from its working copy where a shared folder exists.
 
@@ -48,11 +53,12 @@ def working_star(spark: SparkSession, root: str) -> Star:
     folder = application_folder(spark, "star", fingerprint(spark, root))
     if folder is None:
         return star_from_tables(spark, root)
+    key = (folder, id(spark))
     with _LOCK:
-        if folder not in _WRITTEN:
+        if folder not in _WRITTEN or not _exists(spark, f"{folder}/{FACT_ORDERS}"):
             save_star(star_from_tables(spark, root), folder)
             _WRITTEN.add(folder)
-        key = (folder, id(spark))
+            _OPEN.pop(key, None)
         if key not in _OPEN:
             schemas = star_schemas("long")
             _OPEN[key] = Star.of(

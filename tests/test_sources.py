@@ -6,7 +6,9 @@ import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
+from courierlens import session
 from courierlens.functions import draws, rules
+from courierlens.registry import QUERIES
 from courierlens.schemas import DIM_CAPTAINS, FACT_ORDERS, star_schemas
 from courierlens.session import application_folder
 from courierlens.sources import builder, files, tables
@@ -129,6 +131,25 @@ def test_working_copy_follows_changed_sources(spark, tmp_path):
     assert working_star(spark, str(tmp_path)).orders.count() < before
 
 
+def test_working_copy_is_written_again_when_its_folder_is_gone(spark, tmp_path):
+    for name in ("lineitem", "part", "supplier", "nation", "orders"):
+        spark.read.parquet(f"{SMALL}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    before = working_star(spark, str(tmp_path)).orders
+    count, folder = before.count(), before.inputFiles()[0].rsplit("/fact_orders/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    assert working_star(spark, str(tmp_path)).orders.count() == count
+
+
+@pytest.mark.parametrize("name", ["mart_captain_performance", "dash_kpis", "ml_split_profile", "dq_results"])
+def test_without_a_shared_folder_plans_stay_lazy(spark, monkeypatch, name):
+    usual = sorted(map(str, QUERIES[name](spark, SMALL).collect()))
+    monkeypatch.setattr(session, "shared_folder", lambda spark: None)
+    lazy = QUERIES[name](spark, SMALL)
+    assert any(f.endswith("lineitem.parquet") for f in lazy.inputFiles())
+    assert sorted(map(str, lazy.collect())) == usual
+
+
 def test_materialize_keeps_rows_and_types(spark, built):
     df = built.captains.withColumn("x", F.array(F.lit(1)))
     copy = materialize(df, "test")

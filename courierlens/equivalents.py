@@ -507,7 +507,7 @@ FROM fact_orders f"""),
     "status_rule": _star("SELECT order_id, weather, traffic_level, delivery_time_min, status FROM fact_orders"),
     "demand_slots": _star("SELECT * FROM slots", _SLOTS),
     "demand_slot_stats": _star(
-        f"SELECT count(*) AS slots, {_up('avg(order_count)', 1)} AS avg_orders, "
+        f"SELECT count(*) AS slots, {_even('avg(order_count)', 1)} AS avg_orders, "
         "max(order_count) AS max_orders FROM slots",
         _SLOTS,
     ),
@@ -555,7 +555,7 @@ FROM (SELECT order_id, row_number() OVER (PARTITION BY is_delayed ORDER BY md5(o
     "ml_class_ratio": _star(
         f"""
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE is_delayed = 1) AS positives,
-       {_up("count(*) FILTER (WHERE is_delayed = 1) * 100.0::DOUBLE / count(*)", 1)} AS positive_pct,
+       {_even("count(*) FILTER (WHERE is_delayed = 1) * 100.0::DOUBLE / count(*)", 1)} AS positive_pct,
        {_up("count(*) FILTER (WHERE is_delayed = 0)::DOUBLE / count(*) FILTER (WHERE is_delayed = 1)", 6)} AS class_ratio
 FROM rows_""",
         _ROWS,

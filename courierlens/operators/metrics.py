@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_up, ratio
+from courierlens.functions.rounding import half_even, half_up, ratio
 
 
 def _cell(label: str, prediction: str, y: int, p: int) -> Column:
@@ -64,6 +64,6 @@ def class_profile(df: DataFrame, label: str) -> DataFrame:
     return df.agg(
         n.alias("n_rows"),
         positives.alias("positives"),
-        half_up(ratio(positives * F.lit(100.0), n), 1).alias("positive_pct"),
+        half_even(ratio(positives * F.lit(100.0), n), 1).alias("positive_pct"),
         half_up(ratio(negatives, positives), 6).alias("class_ratio"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import cycle
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -10,7 +11,7 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_up
+from courierlens.functions.rounding import half_even
 from courierlens.operators import measures as m
 from courierlens.operators.encode import known_labels, label_encoder, vocabularies
 from courierlens.operators.metrics import regression_metrics
@@ -47,7 +48,7 @@ def demand_slots(orders: DataFrame) -> DataFrame:
 def slot_stats(slots: DataFrame) -> DataFrame:
     return slots.agg(
         F.count(F.lit(1)).alias("slots"),
-        half_up(F.avg(LABEL), 1).alias("avg_orders"),
+        half_even(F.avg(LABEL), 1).alias("avg_orders"),
         F.max(LABEL).alias("max_orders"),
     )
 
@@ -106,7 +107,7 @@ def sample_scenarios(
     """One coming Thursday peak hour per district, given by name, not by code."""
     rows = [
         (district, hour, "Thursday", weather, traffic)
-        for district, hour in zip(districts or FORECAST_DISTRICTS, FORECAST_HOURS)
+        for district, hour in zip(districts or FORECAST_DISTRICTS, cycle(FORECAST_HOURS))
     ]
     return spark.createDataFrame(rows, SCENARIO_SCHEMA)
 
@@ -118,5 +119,5 @@ def score_scenarios(model: PipelineModel, scenarios: DataFrame) -> DataFrame:
     for column, labels in zip(encoder.getInputCols(), encoder.labelsArray):
         known = known_labels(known, column, list(labels))
     keys = scenarios.columns
-    scored = model.transform(known).select(*keys, F.round("prediction", 0).alias("predicted_orders"))
+    scored = model.transform(known).select(*keys, half_even(F.col("prediction"), 0).alias("predicted_orders"))
     return scenarios.join(scored.distinct(), keys, "left")

@@ -188,7 +188,8 @@ def ml_split_profile(star: Star) -> DataFrame:
 
 
 def ml_stratified_split(star: Star) -> DataFrame:
-    rows = delay_model.training_rows(star).select("order_id", delay_model.LABEL)
+    # joined once and written: finding the cuts and splitting read the rows three times
+    rows = materialize(delay_model.training_rows(star).select("order_id", delay_model.LABEL), "split-rows")
     return stratified_split(rows, "order_id", delay_model.LABEL).select("order_id", "split")
 
 

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import tempfile
+from math import ceil
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# source bytes one shuffle partition should answer for, and the most partitions that pay
+BYTES_PER_PARTITION = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 20_000
+_PARTITIONS = "spark.sql.shuffle.partitions"
 
 _LOCAL_SCRATCH: list[tempfile.TemporaryDirectory] = []
 
@@ -31,13 +37,17 @@ def is_local(spark: SparkSession) -> bool:
     return spark.conf.get("spark.master", "").startswith("local")
 
 
+def _named_folder(spark: SparkSession) -> str | None:
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+
+
 def shared_folder(spark: SparkSession) -> str | None:
     """Folder every executor can reach, or None when the cluster names none.
 
     The cluster's ``spark.checkpoint.dir`` always wins. A temporary folder is
     made only for a local master, where driver and executors share one disk.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    named = _named_folder(spark)
     if named:
         return named
     if not is_local(spark):
@@ -63,6 +73,22 @@ def release_application_folder(spark: SparkSession) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scan_bytes(df: DataFrame) -> int:
+    """File size behind a plain scan, as Catalyst sees it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def size_shuffles(spark: SparkSession, source_bytes: int, per_partition: int = BYTES_PER_PARTITION) -> None:
+    """Raise the session's shuffle partitions when the source would overfill them.
+
+    An aggregation's partitions cannot be split at run time, but adaptive execution
+    merges those that turn out small; so the number is only ever raised.
+    """
+    wanted = min(ceil(source_bytes / per_partition), MAX_SHUFFLE_PARTITIONS)
+    if wanted > int(spark.conf.get(_PARTITIONS)):
+        spark.conf.set(_PARTITIONS, str(wanted))
+
+
 def ensure_checkpointing(spark: SparkSession) -> None:
     """Let iterative learners cut their lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

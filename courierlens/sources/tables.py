@@ -78,7 +78,7 @@ def jdbc_options(
     """Options of a warehouse scan.
 
     ``split`` is (numeric or date column, lower, upper, partitions). Without it JDBC
-    reads through a single task, which only suits a dimension.
+    reads through a single task, which only suits a small dimension.
     """
     options = {"url": url, "dbtable": table, "fetchsize": "10000", **(properties or {})}
     if split:
@@ -98,7 +98,12 @@ def jdbc_reader(
     properties: dict[str, str] | None = None,
     splits: dict[str, tuple[str, str, str, int]] | None = None,
 ) -> Reader:
-    """Tables of a warehouse; projections and filters are pushed to it by Spark."""
+    """Tables of a warehouse; projections and filters are pushed to it by Spark.
+
+    The fact must come with a split, or one task would read all of it.
+    """
+    if FACT_ORDERS not in (splits or {}):
+        raise ValueError(f"reading {FACT_ORDERS} over JDBC needs a split")
 
     def read(table: str) -> DataFrame:
         options = jdbc_options(url, table.upper(), properties, (splits or {}).get(table))

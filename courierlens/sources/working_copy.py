@@ -16,7 +16,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.schemas import FACT_ORDERS, star_schemas
-from courierlens.session import application_folder
+from courierlens.session import application_folder, size_shuffles
 from courierlens.sources.adapter import SOURCE_TABLES, star_from_tables, table_path
 from courierlens.sources.tables import Star, save_star
 
@@ -26,18 +26,25 @@ _WRITTEN: set[str] = set()
 _OPEN: dict[tuple[str, int], Star] = {}
 
 
-def fingerprint(spark: SparkSession, root: str) -> str:
-    """Changes when a source table's files, sizes or times do."""
-    jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
-    facts = [root]
+def _source_state(spark: SparkSession, root: str) -> list[tuple[str, int, int, int]]:
+    """Files, bytes and time of each source table."""
+    state = []
     for table in SOURCE_TABLES:
-        path = jvm.org.apache.hadoop.fs.Path(table_path(root, table))
-        fs = path.getFileSystem(conf)
+        path = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, table))
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
         summary = fs.getContentSummary(path)
         modified = fs.getFileStatus(path).getModificationTime()
-        facts.append(f"{table}:{summary.getFileCount()}:{summary.getLength()}:{modified}")
-    return hashlib.sha256("|".join(facts).encode()).hexdigest()[:16]
+        state.append((table, summary.getFileCount(), summary.getLength(), modified))
+    return state
+
+
+def _digest(root: str, state: list[tuple[str, int, int, int]]) -> str:
+    return hashlib.sha256(repr((root, state)).encode()).hexdigest()[:16]
+
+
+def fingerprint(spark: SparkSession, root: str) -> str:
+    """Changes when a source table's files, sizes or times do."""
+    return _digest(root, _source_state(spark, root))
 
 
 def _exists(spark: SparkSession, location: str) -> bool:
@@ -50,7 +57,9 @@ def working_star(spark: SparkSession, root: str) -> Star:
 
     Without a shared folder the lazy plan is returned: slower, same rows.
     """
-    folder = application_folder(spark, "star", fingerprint(spark, root))
+    state = _source_state(spark, root)
+    size_shuffles(spark, sum(size for _, _, size, _ in state))
+    folder = application_folder(spark, "star", _digest(root, state))
     if folder is None:
         return star_from_tables(spark, root)
     key = (folder, id(spark))

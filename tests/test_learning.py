@@ -147,6 +147,7 @@ def test_demand_model_and_scenarios(spark, built):
     assert scored["nowhere"] is None
     assert scored["العليا"] >= 0 and scored["الملقا"] >= 0
     assert demand_model.score_scenarios(run.model, demand_model.sample_scenarios(spark)).count() == 5
+    assert demand_model.sample_scenarios(spark, list("abcdefg")).count() == 7
 
 
 def test_features_in_order(built):

@@ -92,6 +92,12 @@ def test_flat_folder_of_csv_files(spark, built, tmp_path):
     assert same(back[DIM_CAPTAINS], built.captains)
 
 
+def test_the_fact_is_not_read_through_one_jdbc_task(spark):
+    with pytest.raises(ValueError, match="split"):
+        tables.jdbc_reader(spark, "jdbc:x:y")
+    tables.jdbc_reader(spark, "jdbc:x:y", splits={FACT_ORDERS: ("hour_of_day", "7", "24", 17)})
+
+
 def test_jdbc_options():
     plain = tables.jdbc_options("jdbc:x:y", "FACT_ORDERS")
     assert plain == {"url": "jdbc:x:y", "dbtable": "FACT_ORDERS", "fetchsize": "10000"}

@@ -108,8 +108,8 @@ def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH) -> DelayRun:
     labels = order_vocabularies(star)
     rows = stratified_split(materialize(training_rows(star), "delay-rows"), "order_id", LABEL, SEED)
     ratio = class_profile(rows, LABEL).first()["class_ratio"]
-    if ratio is None:
-        raise ValueError("the delay model needs late orders to learn from")
+    if not ratio:
+        raise ValueError("the delay model needs both late and timely orders to learn from")
     weight = F.when(F.col(LABEL) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0))
     training = rows.filter("split = 'train'").withColumn("weight", weight)
     learner = GBTClassifier(

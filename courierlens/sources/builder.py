@@ -1,13 +1,13 @@
 """Order datasets of any size, drawn from declared distributions.
 
-All three builders start from a frame of ids (``spark.range(1, n + 1)`` for a
-fresh dataset) and use only draws tied to the id, so the same seed gives the same
+All three builders start from a frame of ids (``fresh_ids`` for a new dataset) and use only draws tied to the id, so the same seed gives the same
 rows on any cluster and after any retry.
 """
 
 from __future__ import annotations
 
 from datetime import date
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ WEEKDAY_WEIGHTS = [10, 10, 11, 20, 22, 15, 12]
 CUSTOMERS = 5000
 DEFAULT_SIZES = {FACT_ORDERS: 50_000, DIM_CAPTAINS: 200, DIM_RESTAURANTS: 80}
 DEFAULT_SEED = 99
+ROWS_PER_TASK = 5_000_000
 RESTAURANT_NAMES = 40
 
 _INDEX_DIGITS = 3
@@ -225,6 +226,12 @@ def build_orders(
     ).select(*star_schemas()[FACT_ORDERS].fieldNames())
 
 
+def fresh_ids(spark: SparkSession, n: int) -> DataFrame:
+    """Ids 1..n in tasks of at most five million rows, so that a lost task costs little."""
+    parts = max(spark.sparkContext.defaultParallelism, ceil(n / ROWS_PER_TASK))
+    return spark.range(1, n + 1, numPartitions=parts)
+
+
 def build_star(
     spark: SparkSession,
     orders: int = DEFAULT_SIZES[FACT_ORDERS],
@@ -233,6 +240,6 @@ def build_star(
     seed: int = DEFAULT_SEED,
 ) -> Star:
     """A fresh dataset of the given sizes."""
-    riders = build_captains(spark.range(1, captains + 1), seed)
-    kitchens = build_restaurants(spark.range(1, restaurants + 1), seed)
-    return Star(build_orders(spark.range(1, orders + 1), riders, kitchens, seed), riders, kitchens)
+    riders = build_captains(fresh_ids(spark, captains), seed)
+    kitchens = build_restaurants(fresh_ids(spark, restaurants), seed)
+    return Star(build_orders(fresh_ids(spark, orders), riders, kitchens, seed), riders, kitchens)

@@ -136,6 +136,8 @@ def test_a_reloaded_model_predicts_the_same(delay_run, tmp_path):
 def test_training_needs_late_orders(make):
     with pytest.raises(ValueError, match="late"):
         delay_model.train(make([{}] * 20), rounds=1)
+    with pytest.raises(ValueError, match="timely"):
+        delay_model.train(make([{"is_delayed": 1}] * 20), rounds=1)
 
 
 def test_demand_model_and_scenarios(spark, built):

@@ -192,6 +192,12 @@ def test_small_and_large_dimensions_give_the_same_orders(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_ids_come_in_small_tasks(spark):
+    ids = builder.fresh_ids(spark, 12)
+    assert [r["id"] for r in ids.orderBy("id").collect()] == list(range(1, 13))
+    assert builder.fresh_ids(spark, 10**9).rdd.getNumPartitions() == 200
+
+
 def test_builder_refuses_empty_dimensions(spark, built):
     with pytest.raises(ValueError, match="captain"):
         builder.build_orders(spark.range(5), built.captains.limit(0), built.restaurants)

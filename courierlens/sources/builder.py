@@ -129,6 +129,15 @@ def _broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int = 128) -> D
     return F.broadcast(df) if rows * bytes_per_row <= jconf.autoBroadcastJoinThreshold() else df
 
 
+def _spread(ids: DataFrame) -> DataFrame:
+    """Use all cores: drawing a row costs far more than moving its id.
+
+    Only a source with fewer splits than cores is moved; a large one has enough.
+    """
+    cores = ids.sparkSession.sparkContext.defaultParallelism
+    return ids.repartition(cores) if ids.rdd.getNumPartitions() < cores else ids
+
+
 _ORDER_DRAWS = [
     "captain", "restaurant", "day", "peak",
     "hour", "minute", "prep", "leg",
@@ -157,7 +166,7 @@ def build_orders(
     kitchens = dense_index(
         restaurants.select("restaurant_id", "district", "avg_prep_time_min"), "restaurant_id", "restaurant_no"
     )
-    drawn = draws.with_draws(ids.select("id"), "id", _ORDER_DRAWS, seed).withColumns(
+    drawn = draws.with_draws(_spread(ids.select("id")), "id", _ORDER_DRAWS, seed).withColumns(
         {
             "captain_no": draws.below(F.col("captain"), n_captains),
             "restaurant_no": draws.below(F.col("restaurant"), n_restaurants),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 _BUCKET_DIGITS = 4
 # ceil(0.8 * 16**4) as hex: rows whose hash starts below it are training rows
 _TRAIN_BELOW = "cccd"
+MAX_CLASSES = 256
 
 
 def row_hash(row_id: Column, seed: int) -> Column:
@@ -21,32 +22,48 @@ def hash_split(row_id: Column, seed: int = 42) -> Column:
     return F.when(bucket < _TRAIN_BELOW, "train").otherwise("test")
 
 
+def _of_class(value) -> Column:
+    return F.col("class").eqNullSafe(F.lit(value))
+
+
 def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> dict:
     """Per class, the highest id hash of a training row; ceil(n/5) rows lie above it.
 
     No class is sorted or gathered: a histogram of hash prefixes (at most 65,536 per
     class) finds the prefix that holds the cut, and only that prefix's distinct ids
-    are ordered. One row per class reaches the driver. Rows that repeat an id stay on
-    one side of the cut.
+    are ordered, after a plain filter. One row per class reaches the driver. Rows that
+    repeat an id stay on one side of the cut.
     """
     hashed = df.select(F.col(label).alias("class"), row_hash(F.col(row_id), seed).alias("hash"))
     ids = hashed.withColumn("prefix", F.substring("hash", 1, _BUCKET_DIGITS))
 
+    def holds_the_cut(rows: Column, upto: Column, wanted: Column) -> Column:
+        return (upto >= wanted) & (upto - rows < wanted)
+
     per_class = Window.partitionBy("class")
+    n, upto, train = F.col("n"), F.col("upto"), F.col("train")
     histogram = ids.groupBy("class", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    cut_prefix = (
+    found = (
         histogram.withColumn("upto", F.sum("n").over(per_class.orderBy("prefix")))
         .withColumn("total", F.sum("n").over(per_class))
         .withColumn("train", F.col("total") - F.ceil(F.col("total") / 5))
-        .filter((F.col("upto") >= F.col("train")) & (F.col("upto") - F.col("n") < F.col("train")))
-        .select("class", "prefix", (F.col("train") - F.col("upto") + F.col("n")).alias("take"))
+        .filter(holds_the_cut(n, upto, train))
+        .select("class", "prefix", (train - upto + n).alias("take"))
+        .limit(MAX_CLASSES + 1)
+        .collect()
     )
-    # one row per class, so the broadcast side has a fixed size
-    in_cut = ids.join(F.broadcast(cut_prefix), ["class", "prefix"])
-    per_id = in_cut.groupBy("class", "prefix", "take", "hash").agg(F.count(F.lit(1)).alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("class", "prefix").orderBy("hash"))
-    cuts = per_id.withColumn("upto", upto).filter(
-        (F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take"))
+    if not found:
+        return {}
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+
+    in_cut, take = F.lit(False), F.lit(None)
+    for row in found:
+        in_cut = in_cut | (_of_class(row["class"]) & (F.col("prefix") == row["prefix"]))
+        take = F.when(_of_class(row["class"]), F.lit(row["take"])).otherwise(take)
+    per_id = ids.filter(in_cut).groupBy("class", "hash").agg(F.count(F.lit(1)).alias("n"))
+    cuts = per_id.withColumn("upto", F.sum("n").over(per_class.orderBy("hash"))).filter(
+        holds_the_cut(n, upto, take)
     )
     return {row["class"]: row["hash"] for row in cuts.select("class", "hash").collect()}
 
@@ -58,5 +75,5 @@ def stratified_split(df: DataFrame, row_id: str, label: str, seed: int = 42) ->
     """
     side = F.when(F.lit(False), "train")
     for value, cut in stratified_cuts(df, row_id, label, seed).items():
-        side = side.when((F.col(label) == F.lit(value)) & (row_hash(F.col(row_id), seed) <= cut), "train")
+        side = side.when(F.col(label).eqNullSafe(F.lit(value)) & (row_hash(F.col(row_id), seed) <= cut), "train")
     return df.withColumn("split", side.otherwise("test"))

@@ -47,6 +47,8 @@ ROWS_PER_TASK = 5_000_000
 RESTAURANT_NAMES = 40
 
 _INDEX_DIGITS = 3
+# row header, index column and hash table slots of a broadcast row
+_ROW_OVERHEAD = 96
 
 
 def _tenths(draw: Column) -> Column:
@@ -123,10 +125,17 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
     )
 
 
-def _broadcast_if_small(df: DataFrame, rows: int, bytes_per_row: int = 128) -> DataFrame:
-    """Broadcast only when the counted rows fit the session's broadcast limit."""
-    jconf = df.sparkSession._jsparkSession.sessionState().conf()
-    return F.broadcast(df) if rows * bytes_per_row <= jconf.autoBroadcastJoinThreshold() else df
+def _measure(df: DataFrame) -> tuple[int, int]:
+    """Rows, and the bytes they take as a hash table at most."""
+    text = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
+    row = df.agg(F.count(F.lit(1)), F.sum(sum(text, F.lit(0).cast("long")))).first()
+    return row[0], row[0] * (_ROW_OVERHEAD + 8 * len(df.columns)) + (row[1] or 0)
+
+
+def _broadcast_if_small(df: DataFrame, measured_bytes: int) -> DataFrame:
+    """Broadcast only what was measured to fit the session's broadcast limit."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return F.broadcast(df) if measured_bytes <= limit else df
 
 
 def _spread(ids: DataFrame) -> DataFrame:
@@ -159,21 +168,22 @@ def build_orders(
     ids: DataFrame, captains: DataFrame, restaurants: DataFrame, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """Orders for the ids in column ``id``, each with a drawn captain and restaurant."""
-    n_captains, n_restaurants = captains.count(), restaurants.count()
+    riders = captains.select("captain_id", "rating")
+    kitchens = restaurants.select("restaurant_id", "district", "avg_prep_time_min")
+    n_captains, captain_bytes = _measure(riders)
+    n_restaurants, restaurant_bytes = _measure(kitchens)
     if not n_captains or not n_restaurants:
         raise ValueError("orders need at least one captain and one restaurant")
-    riders = dense_index(captains.select("captain_id", "rating"), "captain_id", "captain_no")
-    kitchens = dense_index(
-        restaurants.select("restaurant_id", "district", "avg_prep_time_min"), "restaurant_id", "restaurant_no"
-    )
+    riders = dense_index(riders, "captain_id", "captain_no")
+    kitchens = dense_index(kitchens, "restaurant_id", "restaurant_no")
     drawn = draws.with_draws(_spread(ids.select("id")), "id", _ORDER_DRAWS, seed).withColumns(
         {
             "captain_no": draws.below(F.col("captain"), n_captains),
             "restaurant_no": draws.below(F.col("restaurant"), n_restaurants),
         }
     )
-    joined = drawn.join(_broadcast_if_small(riders, n_captains), "captain_no").join(
-        _broadcast_if_small(kitchens, n_restaurants), "restaurant_no"
+    joined = drawn.join(_broadcast_if_small(riders, captain_bytes), "captain_no").join(
+        _broadcast_if_small(kitchens, restaurant_bytes), "restaurant_no"
     )
 
     def hours(values: list[int]) -> Column:

@@ -61,6 +61,13 @@ def test_stratified_split_is_exact_per_class(spark, n):
         assert sum(c == y for _, c, _ in split) == len(ids)
 
 
+def test_a_split_needs_few_classes(spark):
+    with pytest.raises(ValueError, match="classes"):
+        stratified_split(spark.range(3000).withColumn("y", F.col("id") % 300), "id", "y")
+    unknown = spark.range(10).withColumn("y", F.lit(None).cast("int"))
+    assert stratified_split(unknown, "id", "y").filter("split = 'test'").count() == 2
+
+
 def test_a_repeated_id_stays_on_one_side(spark):
     rows = spark.range(3000).select(
         F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), F.lit(1).alias("y")

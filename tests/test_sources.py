@@ -198,6 +198,12 @@ def test_ids_come_in_small_tasks(spark):
     assert builder.fresh_ids(spark, 10**9).rdd.getNumPartitions() == 200
 
 
+def test_dimensions_are_measured(spark, built):
+    rows, size = builder._measure(built.captains.select("captain_id", "rating"))
+    assert rows == 60 and 60 * 100 < size < 60 * 200
+    assert builder._measure(built.captains.select("captain_id").limit(0)) == (0, 0)
+
+
 def test_builder_refuses_empty_dimensions(spark, built):
     with pytest.raises(ValueError, match="captain"):
         builder.build_orders(spark.range(5), built.captains.limit(0), built.restaurants)

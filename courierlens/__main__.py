@@ -79,6 +79,7 @@ def main(argv: list[str] | None = None) -> None:
     flow.add_argument("--layout", choices=LAYOUTS, default="parquet")
     flow.add_argument("--rounds", type=int, default=ROUNDS)
     flow.add_argument("--no-models", action="store_true")
+    flow.add_argument("--extra-features", nargs="+", default=[], metavar="COLUMN")
 
     args = parser.parse_args(argv)
     spark = _session()
@@ -96,7 +97,12 @@ def main(argv: list[str] | None = None) -> None:
             REPORTS[name](star).show(args.rows, truncate=False)
     else:
         written = pipeline.run_pipeline(
-            spark, _load(spark, args.star, args.layout), args.out, not args.no_models, args.rounds
+            spark,
+            _load(spark, args.star, args.layout),
+            args.out,
+            train_models=not args.no_models,
+            rounds=args.rounds,
+            extra_features=tuple(args.extra_features),
         )
         for name, path in written.items():
             print(f"{name}\t{path}")

@@ -43,7 +43,7 @@ FEATURES = [
 ROUNDS, DEPTH, STEP, ROW_SHARE, SEED = 200, 6, 0.1, 0.8, 42
 
 
-def training_rows(star: Star) -> DataFrame:
+def training_rows(star: Star, extra: tuple[str, ...] = ()) -> DataFrame:
     """The order joined with its captain and restaurant, only the columns the model uses.
 
     Plain joins: Catalyst broadcasts a dimension whose measured size allows it;
@@ -70,6 +70,7 @@ def training_rows(star: Star) -> DataFrame:
             "captain_rating",
             "captain_speed",
             "cuisine_type",
+            *extra,
             LABEL,
         )
     )
@@ -98,15 +99,19 @@ class DelayRun:
         return classification_metrics(self.scored, LABEL, "prediction")
 
 
-def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH) -> DelayRun:
+def train(
+    star: Star, rounds: int = ROUNDS, depth: int = DEPTH, extra_features: tuple[str, ...] = ()
+) -> DelayRun:
     """Weight the classes, hold out a fifth of each, boost trees on the rest.
 
-    The class ratio comes from all rows, as do the label lists.
+    The class ratio comes from all rows, as do the label lists. ``extra_features`` are
+    numeric order columns to learn from as well; ``prep_time_min`` is known once the
+    kitchen is done and is the strongest of them.
     """
     spark = star.orders.sparkSession
     ensure_checkpointing(spark)
     labels = order_vocabularies(star)
-    rows = stratified_split(materialize(training_rows(star), "delay-rows"), "order_id", LABEL, SEED)
+    rows = stratified_split(materialize(training_rows(star, extra_features), "delay-rows"), "order_id", LABEL, SEED)
     ratio = class_profile(rows, LABEL).first()["class_ratio"]
     if not ratio:
         raise ValueError("the delay model needs both late and timely orders to learn from")
@@ -124,7 +129,7 @@ def train(star: Star, rounds: int = ROUNDS, depth: int = DEPTH) -> DelayRun:
         maxBins=max(32, *[len(v) for v in labels.values()]),
         checkpointInterval=10,
     )
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
+    assembler = VectorAssembler(inputCols=[*FEATURES, *extra_features], outputCol="features")
     model = Pipeline(stages=[label_encoder(labels, CODES), assembler, learner]).fit(training)
     return DelayRun(model, rows, model.transform(rows.filter("split = 'test'")))
 

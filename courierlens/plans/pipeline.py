@@ -22,6 +22,7 @@ def run_pipeline(
     train_models: bool = True,
     rounds: int = delay_model.ROUNDS,
     accept_failures: bool = False,
+    extra_features: tuple[str, ...] = (),
 ) -> dict[str, str]:
     """Write every product below ``out`` and return name -> path.
 
@@ -70,7 +71,7 @@ def run_pipeline(
     slots = write("gold", "demand_slots", demand_model.demand_slots(cube))
     write("gold", "demand_slot_stats", demand_model.slot_stats(slots))
     if train_models:
-        delay = delay_model.train(star, rounds)
+        delay = delay_model.train(star, rounds, extra_features=extra_features)
         demand = demand_model.train(cube, rounds)
         for name, run in (("delay", delay), ("demand", demand)):
             path = f"{out.rstrip('/')}/models/{name}"

@@ -140,6 +140,12 @@ def test_a_reloaded_model_predicts_the_same(delay_run, tmp_path):
     assert sorted(values(again, "order_id", "prediction")) == sorted(values(delay_run.scored, "order_id", "prediction"))
 
 
+def test_prep_time_is_the_strongest_extra_feature(spark, built, delay_run):
+    run = delay_model.train(built, rounds=5, depth=4, extra_features=("prep_time_min",))
+    assert run.metrics().first()["accuracy"] > delay_run.metrics().first()["accuracy"]
+    assert delay_model.importances(spark, run.model, k=1).first()["feature"] == "prep_time_min"
+
+
 def test_training_needs_late_orders(make):
     with pytest.raises(ValueError, match="late"):
         delay_model.train(make([{}] * 20), rounds=1)

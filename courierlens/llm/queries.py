@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from courierlens.llm.digest import fingerprint_documents
+from courierlens.llm.langid import learn_languages, predict_languages
+from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
+from courierlens.llm.wordpiece import byte_pieces, count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,11 +27,40 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
 
 
+def vocabulary_file() -> str:
+    """The public byte-level vocabulary; it is read where it is installed, never copied."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return predict_languages(docs, learn_languages(docs))
+
+
+def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return score_toxicity(docs, learn_toxicity(docs, table(spark, root, "labels")))
+
+
+def op6_fingerprints(spark: SparkSession, root: str) -> DataFrame:
+    return fingerprint_documents(table(spark, root, "documents"))
+
+
+def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
+    return count_tokens(table(spark, root, "documents"), byte_pieces(vocabulary_file()))
+
+
 def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return judge_urls(table(spark, root, "pages"), URL_RULES)
 
 
 LLM_QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
+    "op4_toxicity": op4_toxicity,
+    "op6_fingerprints": op6_fingerprints,
+    "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
 }
 

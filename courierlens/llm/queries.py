@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.digest import fingerprint_documents
 from courierlens.llm.langid import learn_languages, predict_languages
+from courierlens.llm.packing import pack_documents
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
 from courierlens.llm.wordpiece import byte_pieces, count_tokens
@@ -48,6 +49,10 @@ def op6_fingerprints(spark: SparkSession, root: str) -> DataFrame:
     return fingerprint_documents(table(spark, root, "documents"))
 
 
+def op7_packing(spark: SparkSession, root: str) -> DataFrame:
+    return pack_documents(table(spark, root, "documents"), vocabulary_file())
+
+
 def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return count_tokens(table(spark, root, "documents"), byte_pieces(vocabulary_file()))
 
@@ -60,6 +65,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op4_toxicity": op4_toxicity,
     "op6_fingerprints": op6_fingerprints,
+    "op7_packing": op7_packing,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
 }

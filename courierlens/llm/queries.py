@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.digest import fingerprint_documents
+from courierlens.llm.grammar import encode_documents
 from courierlens.llm.langid import learn_languages, predict_languages
 from courierlens.llm.packing import pack_documents
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
@@ -40,6 +41,10 @@ def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
     return predict_languages(docs, learn_languages(docs))
 
 
+def op3_token_files(spark: SparkSession, root: str) -> DataFrame:
+    return encode_documents(table(spark, root, "documents"), vocabulary_file())
+
+
 def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents")
     return score_toxicity(docs, learn_toxicity(docs, table(spark, root, "labels")))
@@ -63,6 +68,7 @@ def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,

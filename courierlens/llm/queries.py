@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlens.llm.digest import fingerprint_documents
 from courierlens.llm.grammar import encode_documents
 from courierlens.llm.langid import learn_languages, predict_languages
+from courierlens.llm.mixing import Mix, mix_documents, mix_sql
 from courierlens.llm.packing import pack_documents
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
@@ -24,6 +25,19 @@ URL_RULES = [
     Rule("block", "net", "/fr/"),
 ]
 
+# three domains by source; languages and sources of a domain weigh alike but for those listed
+MIX = Mix(
+    domains={f"src{i}": "web" if i < 10 else "books" if i < 15 else "reference" for i in range(20)},
+    weights={
+        ("web",): 5,
+        ("books",): 3,
+        ("reference",): 2,
+        ("web", "en"): 4,
+        ("books", "en"): 3,
+        ("web", "en", "src0"): 2,
+    },
+)
+
 
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{name}.parquet")
@@ -50,6 +64,10 @@ def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return score_toxicity(docs, learn_toxicity(docs, table(spark, root, "labels")))
 
 
+def op5_mixing(spark: SparkSession, root: str) -> DataFrame:
+    return mix_documents(table(spark, root, "documents"), MIX)
+
+
 def op6_fingerprints(spark: SparkSession, root: str) -> DataFrame:
     return fingerprint_documents(table(spark, root, "documents"))
 
@@ -70,6 +88,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
+    "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,
     "op9_token_counts": op9_token_counts,
@@ -77,5 +96,6 @@ LLM_QUERIES: dict[str, Query] = {
 }
 
 LLM_EQUIVALENTS: dict[str, str] = {
+    "op5_mixing": mix_sql(MIX),
     "op10_url_filter": judge_sql(URL_RULES),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from courierlens.llm.digest import fingerprint_documents
 from courierlens.llm.grammar import encode_documents
+from courierlens.llm.graph import link_vectors
 from courierlens.llm.langid import learn_languages, predict_languages
 from courierlens.llm.mixing import Mix, mix_documents, mix_sql
 from courierlens.llm.packing import pack_documents
@@ -76,6 +77,10 @@ def op7_packing(spark: SparkSession, root: str) -> DataFrame:
     return pack_documents(table(spark, root, "documents"), vocabulary_file())
 
 
+def op8_near_vectors(spark: SparkSession, root: str) -> DataFrame:
+    return link_vectors(table(spark, root, "embeddings"))
+
+
 def op9_token_counts(spark: SparkSession, root: str) -> DataFrame:
     return count_tokens(table(spark, root, "documents"), byte_pieces(vocabulary_file()))
 
@@ -91,6 +96,7 @@ LLM_QUERIES: dict[str, Query] = {
     "op5_mixing": op5_mixing,
     "op6_fingerprints": op6_fingerprints,
     "op7_packing": op7_packing,
+    "op8_near_vectors": op8_near_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
 }

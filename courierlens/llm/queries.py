@@ -12,6 +12,7 @@ from courierlens.llm.graph import link_vectors
 from courierlens.llm.langid import learn_languages, predict_languages
 from courierlens.llm.mixing import Mix, mix_documents, mix_sql
 from courierlens.llm.packing import pack_documents
+from courierlens.llm.setjoin import link_documents
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
 from courierlens.llm.wordpiece import byte_pieces, count_tokens
@@ -56,6 +57,10 @@ def op1_language_id(spark: SparkSession, root: str) -> DataFrame:
     return predict_languages(docs, learn_languages(docs))
 
 
+def op2_shingle_join(spark: SparkSession, root: str) -> DataFrame:
+    return link_documents(table(spark, root, "documents"))
+
+
 def op3_token_files(spark: SparkSession, root: str) -> DataFrame:
     return encode_documents(table(spark, root, "documents"), vocabulary_file())
 
@@ -91,6 +96,7 @@ def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
+    "op2_shingle_join": op2_shingle_join,
     "op3_token_files": op3_token_files,
     "op4_toxicity": op4_toxicity,
     "op5_mixing": op5_mixing,

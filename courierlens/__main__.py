@@ -19,7 +19,7 @@ from pyspark.sql import SparkSession
 from courierlens.operators.quality import run_tests
 from courierlens.plans import dashboard, gold, marts, pipeline, reports, staging, validation
 from courierlens.plans.delay_model import ROUNDS
-from courierlens.session import local_session
+from courierlens.session import local_session, release_application_folder
 from courierlens.sources import builder, files, tables
 from courierlens.sources.tables import Star
 
@@ -83,6 +83,13 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = _session()
+    try:
+        _run(spark, args)
+    finally:
+        release_application_folder(spark)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "build":
         star = builder.build_star(spark, args.orders, args.captains, args.restaurants, args.seed)
         tables.save_star(star, args.out)

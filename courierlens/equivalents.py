@@ -15,7 +15,6 @@ dim_captains AS (
          CAST(50 + (s_suppkey * 37) % 4951 AS BIGINT) AS total_deliveries,
          (60 + s_suppkey % 40) / 100.0::DOUBLE AS on_time_rate
   FROM supplier JOIN nation ON s_nationkey = n_nationkey
-  WHERE s_suppkey % 10 <> 7
 )"""
 
 _RESTAURANTS = """
@@ -81,22 +80,36 @@ def _star(body: str, *more: str) -> str:
     return f"{_STAR}{extra}\n{body}"
 
 
-def _up(x: str, n: int) -> str:
-    return f"CAST(round(round({x}, 6), {n}) AS DOUBLE)"
+def _up(s: str, n: str, digits: int) -> str:
+    """s / n in whole numbers, halves away from zero."""
+    top = f"abs(CAST({s} AS HUGEINT))"
+    return f"(sign({s}) * ((2 * {top} * {10**digits} + {n}) // (2 * {n}))::DOUBLE / {10**digits}::DOUBLE)"
 
 
-def _even(x: str, n: int) -> str:
-    return f"CAST(round_even(round({x}, 6), {n}) AS DOUBLE)"
+def _even(s: str, n: str, digits: int) -> str:
+    """s / n in whole numbers, halves to the even digit."""
+    top = f"(abs(CAST({s} AS HUGEINT)) * {10**digits})"
+    up = (
+        f"CASE WHEN 2 * ({top} % {n}) > {n} OR (2 * ({top} % {n}) = {n} AND ({top} // {n}) % 2 = 1) THEN 1 ELSE 0 END"
+    )
+    return f"(sign({s}) * ({top} // {n} + {up})::DOUBLE / {10**digits}::DOUBLE)"
+
+
+def _settled(x: str, digits: int) -> str:
+    return f"round(round({x}, 9), {digits})"
 
 
 def _big(x: str, name: str) -> str:
     return f"CAST({x} AS BIGINT) AS {name}"
 
 
-_MINUTES = "avg(delivery_time_min)"
+_MINUTES = ("sum(delivery_time_min)", "count(delivery_time_min)")
+_CENTS = "sum(CAST(round(order_value_sar * 100) AS BIGINT))"
+_VALUE = (_CENTS, "(100 * count(order_value_sar))")
 _FLAGGED = "sum(CASE WHEN is_delayed = 1 THEN 1 ELSE 0 END)"
-_RATE = f"{_FLAGGED} * 100.0::DOUBLE / count(*)"
-_MEAN_RATE = "avg(is_delayed) * 100.0::DOUBLE"
+_RATE = (f"(100 * {_FLAGGED})", "count(*)")
+_MEAN_RATE = ("(100 * sum(is_delayed))", "count(is_delayed)")
+_MART_RATE = ("(100 * sum(is_delayed))", "count(order_id)")
 _TIME_TEXT = "strftime(order_time, '%Y-%m-%d %H:%M:%S') AS order_time"
 
 _SPEED = """CASE WHEN delivery_time_min <= 30 THEN 'fast' WHEN delivery_time_min <= 50 THEN 'normal'
@@ -113,7 +126,7 @@ _ORDERS_AS_TEXT = f"SELECT * REPLACE ({_TIME_TEXT}) FROM fact_orders"
 _SCATTER = f"""
 scatter AS (
   SELECT c.captain_id, c.rating, count(o.order_id) AS total_orders,
-         {_even(_MINUTES, 1)} AS avg_time, {_even(_MEAN_RATE, 1)} AS delay_rate
+         {_even(*_MINUTES, 1)} AS avg_time, {_even(*_MEAN_RATE, 1)} AS delay_rate
   FROM fact_orders o JOIN dim_captains c ON o.captain_id = c.captain_id
   GROUP BY c.captain_id, c.rating
 )"""
@@ -150,19 +163,19 @@ def _codes(name: str, column: str, table: str) -> str:
 
 _CODES = ",".join(
     [
-        _codes("c_weather", "weather", "fact_orders"),
-        _codes("c_traffic", "traffic_level", "fact_orders"),
-        _codes("c_day", "day_of_week", "fact_orders"),
-        _codes("c_district", "district", "fact_orders"),
-        _codes("c_cuisine", "cuisine_type", "dim_restaurants"),
+        _codes("c_weather", "weather", "rows_"),
+        _codes("c_traffic", "traffic_level", "rows_"),
+        _codes("c_day", "day_of_week", "rows_"),
+        _codes("c_district", "district", "rows_"),
+        _codes("c_cuisine", "cuisine_type", "rows_"),
     ]
 )
 
 
 def _slowest(keys: str) -> str:
     return _star(f"""
-SELECT {keys}, count(o.order_id) AS total_orders, {_up("avg(o.prep_time_min)", 1)} AS avg_prep_min,
-       {_up(_MINUTES, 1)} AS avg_total_min, {_up(_RATE, 1)} AS delay_rate_pct
+SELECT {keys}, count(o.order_id) AS total_orders, {_up("sum(o.prep_time_min)", "count(o.prep_time_min)", 1)} AS avg_prep_min,
+       {_up(*_MINUTES, 1)} AS avg_total_min, {_up(*_RATE, 1)} AS delay_rate_pct
 FROM fact_orders o JOIN dim_restaurants r ON o.restaurant_id = r.restaurant_id
 GROUP BY {keys} ORDER BY avg_prep_min DESC, {keys} LIMIT 5""")
 
@@ -327,7 +340,12 @@ def _status_count(status: str, otherwise: str = "") -> str:
 
 
 def _status_pct(status: str) -> str:
-    return f"{_even(f'''sum(CASE WHEN status = '{status}' THEN 1 ELSE 0 END) * 100.0::DOUBLE / count(*)''', 1)} AS {status}_pct"
+    return f"{_even(f"(100 * sum(CASE WHEN status = '{status}' THEN 1 ELSE 0 END))", "count(*)", 1)} AS {status}_pct"
+
+
+def _features(names: str) -> str:
+    listed = ", ".join(f"('{name}')" for name in names.split())
+    return f"SELECT feature, 1::BIGINT AS in_range, 1::BIGINT AS adds_up FROM (VALUES {listed}) t(feature)"
 
 
 _RULE_CELLS = """
@@ -346,24 +364,24 @@ EQUIVALENTS: dict[str, str] = {
     "stg_captains": _star(f"SELECT *, {_TIER} FROM dim_captains"),
     "stg_restaurants": _star(f"SELECT *, {_PREP} FROM dim_restaurants"),
     "report_overview": _star(f"""
-SELECT count(*) AS total_orders, {_up(_MINUTES, 1)} AS avg_delivery_min,
-       {_up("sum(order_value_sar)", 0)} AS total_revenue_sar,
-       {_up("avg(order_value_sar)", 1)} AS avg_order_value,
+SELECT count(*) AS total_orders, {_up(*_MINUTES, 1)} AS avg_delivery_min,
+       {_up(_CENTS, "100", 0)} AS total_revenue_sar,
+       {_up(*_VALUE, 1)} AS avg_order_value,
        {_status_count("delivered")}, {_status_count("delayed")}, {_status_count("cancelled")}
 FROM fact_orders"""),
     "report_busiest_districts": _star(f"""
-SELECT district, count(*) AS total_orders, {_up(_MINUTES, 1)} AS avg_time,
-       {_big(_FLAGGED, "delayed_orders")}, {_up(_RATE, 1)} AS delay_rate_pct
+SELECT district, count(*) AS total_orders, {_up(*_MINUTES, 1)} AS avg_time,
+       {_big(_FLAGGED, "delayed_orders")}, {_up(*_RATE, 1)} AS delay_rate_pct
 FROM fact_orders GROUP BY district ORDER BY total_orders DESC, district LIMIT 5"""),
     "report_weather_impact": _star(f"""
-SELECT weather, count(*) AS orders, {_up(_MINUTES, 1)} AS avg_time, {_up(_RATE, 1)} AS delay_rate_pct
+SELECT weather, count(*) AS orders, {_up(*_MINUTES, 1)} AS avg_time, {_up(*_RATE, 1)} AS delay_rate_pct
 FROM fact_orders GROUP BY weather ORDER BY avg_time DESC, weather"""),
     "report_hours": _star(f"""
-SELECT hour_of_day, count(*) AS orders, {_up(_MINUTES, 1)} AS avg_time, {_up(_RATE, 1)} AS delay_rate_pct
+SELECT hour_of_day, count(*) AS orders, {_up(*_MINUTES, 1)} AS avg_time, {_up(*_RATE, 1)} AS delay_rate_pct
 FROM fact_orders GROUP BY hour_of_day ORDER BY orders DESC, hour_of_day LIMIT 8"""),
     "report_worst_captains": _star(f"""
-SELECT c.captain_id, c.rating, count(o.order_id) AS total_orders, {_up(_MINUTES, 1)} AS avg_time,
-       {_up(_RATE, 1)} AS delay_rate_pct
+SELECT c.captain_id, c.rating, count(o.order_id) AS total_orders, {_up(*_MINUTES, 1)} AS avg_time,
+       {_up(*_RATE, 1)} AS delay_rate_pct
 FROM fact_orders o JOIN dim_captains c ON o.captain_id = c.captain_id
 GROUP BY c.captain_id, c.rating HAVING count(o.order_id) >= 50
 ORDER BY delay_rate_pct DESC, c.captain_id, c.rating LIMIT 5"""),
@@ -374,37 +392,37 @@ SELECT 'fact_orders' AS table_name, count(*) AS n_rows FROM fact_orders
 UNION ALL SELECT 'dim_captains', count(*) FROM dim_captains
 UNION ALL SELECT 'dim_restaurants', count(*) FROM dim_restaurants"""),
     "check_status": _star(f"""
-SELECT status, count(*) AS total, {_up(_MINUTES, 1)} AS avg_time
+SELECT status, count(*) AS total, {_up(*_MINUTES, 1)} AS avg_time
 FROM fact_orders GROUP BY status ORDER BY total DESC, status"""),
     "check_districts": _star(f"""
-SELECT district, count(*) AS orders, {_up(_MINUTES, 1)} AS avg_delivery_min
+SELECT district, count(*) AS orders, {_up(*_MINUTES, 1)} AS avg_delivery_min
 FROM fact_orders GROUP BY district ORDER BY orders DESC, district LIMIT 5"""),
     "check_sample": _star("""
 SELECT order_id, district, delivery_time_min, weather, traffic_level, status
 FROM fact_orders ORDER BY order_id LIMIT 5"""),
     "mart_captain_performance": _star(f"""
 SELECT o.captain_id, c.name, c.rating, c.performance_tier, c.district, c.total_deliveries,
-       count(o.order_id) AS total_orders, {_up(_MINUTES, 1)} AS avg_delivery_min,
+       count(o.order_id) AS total_orders, {_up(*_MINUTES, 1)} AS avg_delivery_min,
        {_big("sum(o.is_delayed)", "total_delayed")},
-       {_up("sum(o.is_delayed) * 100.0::DOUBLE / count(o.order_id)", 1)} AS delay_rate_pct,
-       {_up("sum(o.order_value_sar)", 0)} AS total_revenue_sar,
-       {_up("avg(o.order_value_sar)", 1)} AS avg_order_value,
+       {_up(*_MART_RATE, 1)} AS delay_rate_pct,
+       {_up(_CENTS, "100", 0)} AS total_revenue_sar,
+       {_up(*_VALUE, 1)} AS avg_order_value,
        {_big("sum(o.is_peak_hour)", "peak_hour_orders")}
 FROM fact_orders o LEFT JOIN (SELECT *, {_TIER} FROM dim_captains) c ON o.captain_id = c.captain_id
 GROUP BY ALL ORDER BY delay_rate_pct DESC, o.captain_id"""),
     "mart_zone_analysis": _star(f"""
-SELECT district, count(order_id) AS total_orders, {_up(_MINUTES, 1)} AS avg_delivery_min,
+SELECT district, count(order_id) AS total_orders, {_up(*_MINUTES, 1)} AS avg_delivery_min,
        {_big("sum(is_delayed)", "total_delayed")},
-       {_up("sum(is_delayed) * 100.0::DOUBLE / count(order_id)", 1)} AS delay_rate_pct,
-       {_up("sum(order_value_sar)", 0)} AS total_revenue_sar,
+       {_up(*_MART_RATE, 1)} AS delay_rate_pct,
+       {_up(_CENTS, "100", 0)} AS total_revenue_sar,
        {_big("sum(is_peak_hour)", "peak_hour_orders")},
-       {_up("sum(is_peak_hour) * 100.0::DOUBLE / count(order_id)", 1)} AS peak_hour_pct
+       {_up("(100 * sum(is_peak_hour))", "count(order_id)", 1)} AS peak_hour_pct
 FROM fact_orders GROUP BY district ORDER BY total_orders DESC, district"""),
     "gold_cube": _star(f"""
 SELECT {_GRAIN}, count(*) AS n_rows, count(order_id) AS n_orders,
        {_big("sum(delivery_time_min)", "sum_minutes")}, count(delivery_time_min) AS n_minutes,
        {_big("sum(prep_time_min)", "sum_prep")}, count(prep_time_min) AS n_prep,
-       {_up("sum(order_value_sar)", 2)} AS sum_value, count(order_value_sar) AS n_value,
+       {_CENTS}::DOUBLE / 100.0::DOUBLE AS sum_value, count(order_value_sar) AS n_value,
        {_big("sum(is_delayed)", "sum_delayed")}, count(is_delayed) AS n_delayed,
        {_big(_FLAGGED, "n_flagged")}, {_big("sum(is_peak_hour)", "sum_peak")},
        CAST(sum(CASE WHEN status = 'delivered' THEN 1 END) AS BIGINT) AS rows_delivered,
@@ -412,25 +430,25 @@ SELECT {_GRAIN}, count(*) AS n_rows, count(order_id) AS n_orders,
        CAST(sum(CASE WHEN status = 'cancelled' THEN 1 END) AS BIGINT) AS rows_cancelled
 FROM fact_orders GROUP BY {_GRAIN}"""),
     "dash_kpis": _star(f"""
-SELECT count(*) AS total_orders, {_even("sum(order_value_sar) / 1000000.0::DOUBLE", 2)} AS revenue_m,
-       {_even(_MINUTES, 1)} AS avg_delivery_min, {_status_count("delivered", "ELSE 0")},
-       {_status_count("cancelled", "ELSE 0")}, {_even(_MEAN_RATE, 1)} AS delay_rate
+SELECT count(*) AS total_orders, {_even(_CENTS, "100000000", 2)} AS revenue_m,
+       {_even(*_MINUTES, 1)} AS avg_delivery_min, {_status_count("delivered", "ELSE 0")},
+       {_status_count("cancelled", "ELSE 0")}, {_even(*_MEAN_RATE, 1)} AS delay_rate
 FROM fact_orders"""),
     "dash_status_share": _star(f"""
-SELECT status, n AS count, {_even("n * 100.0::DOUBLE / (SELECT count(*) FROM fact_orders)", 1)} AS share_pct
+SELECT status, n AS count, {_even("(100 * n)", "(SELECT count(*) FROM fact_orders)", 1)} AS share_pct
 FROM (SELECT status, count(*) AS n FROM fact_orders WHERE status IS NOT NULL GROUP BY status)
 ORDER BY n DESC, status"""),
     "dash_weather_delay": _star(f"""
 SELECT weather, count(order_id) AS total, {_big("sum(is_delayed)", "delayed")},
-       {_even("sum(is_delayed) * 100.0::DOUBLE / count(order_id)", 1)} AS delay_rate
+       {_even(*_MART_RATE, 1)} AS delay_rate
 FROM fact_orders GROUP BY weather ORDER BY weather"""),
     "dash_districts": _star("""
 SELECT district, count(order_id) AS total FROM fact_orders GROUP BY district ORDER BY total DESC, district"""),
     "dash_hourly": _star("""
 SELECT hour_of_day, count(order_id) AS total FROM fact_orders GROUP BY hour_of_day ORDER BY hour_of_day"""),
     "dash_traffic": _star(f"""
-SELECT traffic_level, count(order_id) AS total_orders, {_even(_MINUTES, 1)} AS avg_delivery_min,
-       {_even(_MEAN_RATE, 1)} AS delay_rate_pct
+SELECT traffic_level, count(order_id) AS total_orders, {_even(*_MINUTES, 1)} AS avg_delivery_min,
+       {_even(*_MEAN_RATE, 1)} AS delay_rate_pct
 FROM fact_orders GROUP BY traffic_level ORDER BY traffic_level"""),
     "dash_captain_scatter": _star("SELECT * FROM scatter", _SCATTER),
     "dash_top_captains": _star(
@@ -446,12 +464,12 @@ FROM fact_orders GROUP BY traffic_level ORDER BY traffic_level"""),
         "SELECT *, rank() OVER (ORDER BY delay_rate) AS place FROM scatter", _SCATTER
     ),
     "dash_district_weather": _star(f"""
-SELECT district, weather, {_even(_MEAN_RATE, 1)} AS delay_rate
+SELECT district, weather, {_even(*_MEAN_RATE, 1)} AS delay_rate
 FROM fact_orders GROUP BY district, weather ORDER BY district, weather"""),
     "dash_district_weather_wide": _star(
         "SELECT weather, "
         + ", ".join(f"max(CASE WHEN district = '{b}' THEN delay_rate END) AS \"{b}\"" for b in _BRANDS)
-        + f""" FROM (SELECT district, weather, {_even(_MEAN_RATE, 1)} AS delay_rate
+        + f""" FROM (SELECT district, weather, {_even(*_MEAN_RATE, 1)} AS delay_rate
        FROM fact_orders GROUP BY district, weather) GROUP BY weather ORDER BY weather"""
     ),
     "dash_hour_district": _star("""
@@ -507,7 +525,7 @@ FROM fact_orders f"""),
     "status_rule": _star("SELECT order_id, weather, traffic_level, delivery_time_min, status FROM fact_orders"),
     "demand_slots": _star("SELECT * FROM slots", _SLOTS),
     "demand_slot_stats": _star(
-        f"SELECT count(*) AS slots, {_even('avg(order_count)', 1)} AS avg_orders, "
+        f"SELECT count(*) AS slots, {_even('sum(order_count)', 'count(*)', 1)} AS avg_orders, "
         "max(order_count) AS max_orders FROM slots",
         _SLOTS,
     ),
@@ -517,15 +535,64 @@ FROM fact_orders f"""),
     ),
     "demand_metrics_on_mean": _star(
         f"""
-SELECT count(*) AS n, {_up("avg(abs(order_count - p))", 4)} AS mae,
-       {_up("sqrt(avg((order_count - p) * (order_count - p)))", 4)} AS rmse,
-       {_up("avg(CASE WHEN order_count > 0 THEN abs(order_count - p) / order_count END) * 100.0::DOUBLE", 4)} AS mape_pct
-FROM split_slots s
-JOIN (SELECT district, traffic_level, avg(order_count) AS p FROM split_slots
-      WHERE split = 'train' GROUP BY ALL) USING (district, traffic_level)
-WHERE s.split = 'test'""",
+SELECT count(*) AS n, {_settled("avg(abs(order_count - p))", 4)} AS mae,
+       {_settled("sqrt(avg((order_count - p) * (order_count - p)))", 4)} AS rmse,
+       {_settled("avg(CASE WHEN order_count > 0 THEN abs(order_count - p) / order_count END) * 100.0::DOUBLE", 4)} AS mape_pct
+FROM (SELECT s.order_count,
+             coalesce(g.p, (SELECT avg(order_count) FROM split_slots WHERE split = 'train')) AS p
+      FROM split_slots s
+      LEFT JOIN (SELECT district, traffic_level, avg(order_count) AS p FROM split_slots
+                 WHERE split = 'train' GROUP BY ALL) g USING (district, traffic_level)
+      WHERE s.split = 'test')""",
+        _SLOTS,
+    ),
+    "orphan_orders": _star("""
+SELECT captain_id, count(*) AS n_orders FROM fact_orders
+WHERE captain_id NOT IN (SELECT captain_id FROM dim_captains WHERE rating >= 3.0) GROUP BY captain_id"""),
+    "ml_demand_features": _star(
+        f"""
+SELECT {_SLOT_KEYS}, c_district.code AS district_enc, c_day.code AS day_enc, c_weather.code AS weather_enc,
+       c_traffic.code AS traffic_enc, split, order_count
+FROM split_slots JOIN c_weather ON weather = c_weather.v JOIN c_traffic ON traffic_level = c_traffic.v
+     JOIN c_day ON day_of_week = c_day.v JOIN c_district ON district = c_district.v""",
+        _SLOTS,
+        ",".join(
+            _codes(name, column, "slots")
+            for name, column in [
+                ("c_weather", "weather"),
+                ("c_traffic", "traffic_level"),
+                ("c_day", "day_of_week"),
+                ("c_district", "district"),
+            ]
+        ),
+    ),
+    "ml_delay_model": _star(
+        """
+SELECT count(*) AS n_test, CAST(sum(is_delayed) AS BIGINT) AS late, count(*) AS scores_in_range,
+       0::BIGINT AS reload_mismatches, 1::BIGINT AS beats_majority
+FROM (SELECT is_delayed, row_number() OVER (PARTITION BY is_delayed ORDER BY md5(order_id || ':42')) AS place,
+             count(*) OVER (PARTITION BY is_delayed) AS n
+      FROM rows_) WHERE place > n - ceil(n / 5.0)""",
+        _ROWS,
+    ),
+    "ml_demand_model": _star(
+        """
+SELECT count(*) AS n_test, CAST(sum(order_count) AS BIGINT) AS orders, count(*) AS finite_scores,
+       0::BIGINT AS reload_mismatches
+FROM split_slots WHERE split = 'test'""",
         _SLOTS,
     ),
+    "ml_delay_importance": _features(
+        "hour_of_day is_peak_hour order_value_sar captain_rating captain_speed weather_enc traffic_enc day_enc "
+        "district_enc cuisine_enc"
+    ),
+    "ml_demand_importance": _features("district_enc hour_of_day day_enc weather_enc traffic_enc"),
+    "ml_demand_scenarios": _star("""
+SELECT district, [20, 20, 13, 13, 21][place]::BIGINT AS hour_of_day, 'Thursday' AS day_of_week,
+       'clear' AS weather, 'heavy' AS traffic_level, 1::BIGINT AS predicted
+FROM (SELECT district, row_number() OVER (ORDER BY count(*) DESC, district) AS place
+      FROM fact_orders GROUP BY district) WHERE place <= 5
+UNION ALL SELECT 'no such district', 20, 'Thursday', 'clear', 'heavy', 0"""),
     "ml_features": _star(
         """
 SELECT order_id, hour_of_day, is_peak_hour, order_value_sar, captain_rating, captain_speed,
@@ -555,16 +622,16 @@ FROM (SELECT order_id, row_number() OVER (PARTITION BY is_delayed ORDER BY md5(o
     "ml_class_ratio": _star(
         f"""
 SELECT count(*) AS n_rows, count(*) FILTER (WHERE is_delayed = 1) AS positives,
-       {_even("count(*) FILTER (WHERE is_delayed = 1) * 100.0::DOUBLE / count(*)", 1)} AS positive_pct,
-       {_up("count(*) FILTER (WHERE is_delayed = 0)::DOUBLE / count(*) FILTER (WHERE is_delayed = 1)", 6)} AS class_ratio
+       {_even("(100 * count(*) FILTER (WHERE is_delayed = 1))", "count(*)", 1)} AS positive_pct,
+       {_up("count(*) FILTER (WHERE is_delayed = 0)", "count(*) FILTER (WHERE is_delayed = 1)", 6)} AS class_ratio
 FROM rows_""",
         _ROWS,
     ),
     "ml_metrics_on_rule": _star(
         f"""
-SELECT tn, fp, fn, tp, {_up("(tp + tn)::DOUBLE / (tp + tn + fp + fn)", 4)} AS accuracy,
-       {_up("tp::DOUBLE / (tp + fp)", 4)} AS precision_1, {_up("tp::DOUBLE / (tp + fn)", 4)} AS recall_1,
-       {_up("2 * tp::DOUBLE / (2 * tp + fp + fn)", 4)} AS f1_1
+SELECT tn, fp, fn, tp, {_up("(tp + tn)", "(tp + tn + fp + fn)", 4)} AS accuracy,
+       {_up("tp", "(tp + fp)", 4)} AS precision_1, {_up("tp", "(tp + fn)", 4)} AS recall_1,
+       {_up("(2 * tp)", "(2 * tp + fp + fn)", 4)} AS f1_1
 FROM cells""",
         _RULE_CELLS,
     ),
@@ -572,6 +639,7 @@ FROM cells""",
     "landed_captains": _star("SELECT * FROM dim_captains"),
     "landed_restaurants": _star("SELECT * FROM dim_restaurants"),
     "warehouse_orders": _star(_ORDERS_AS_TEXT),
+    "catalog_orders": _star(_ORDERS_AS_TEXT),
     "built_captains": f"WITH {_BUILT_CAPTAINS} SELECT * FROM built_captains",
     "built_restaurants": f"WITH {_BUILT_RESTAURANTS} SELECT * FROM built_restaurants",
     "built_orders": f"{_BUILT} SELECT * FROM built_orders",
@@ -580,6 +648,26 @@ SELECT count(*) AS total_orders,
        {_status_count("delivered", "ELSE 0")}, {_status_pct("delivered")},
        {_status_count("delayed", "ELSE 0")}, {_status_pct("delayed")},
        {_status_count("cancelled", "ELSE 0")}, {_status_pct("cancelled")},
-       {_even(_MINUTES, 1)} AS avg_delivery_min, {_even("avg(order_value_sar)", 1)} AS avg_order_value
+       {_even(*_MINUTES, 1)} AS avg_delivery_min, {_even(*_VALUE, 1)} AS avg_order_value
 FROM built_orders""",
 }
+
+# the products of the whole flow that are the rows of a query above, and the others by their own count
+_FLOW = {
+    name: f"({EQUIVALENTS[name]})"
+    for name in [
+        "dq_results", "gold_cube", "mart_captain_performance", "report_overview", "report_busiest_districts",
+        "report_weather_impact", "report_hours", "check_status", "check_districts", "mart_zone_analysis",
+        "dash_kpis", "dash_status_share", "dash_weather_delay", "dash_districts", "dash_hourly", "dash_traffic",
+        "dash_district_weather", "dash_hour_district", "dash_alerts", "report_worst_captains",
+        "report_slowest_restaurants", "dash_captain_scatter", "dash_top_captains", "dash_attention_captains",
+        "dash_district_weather_wide", "check_row_counts", "check_sample", "demand_slots", "demand_slot_stats",
+    ]
+} | {
+    "captain_parts": f"({_star('SELECT DISTINCT captain_id FROM fact_orders')})",
+    "restaurant_parts": f"({_star('SELECT DISTINCT restaurant_id FROM fact_orders')})",
+    "build_summary": "(SELECT 1)",
+}
+EQUIVALENTS["flow_products"] = "\nUNION ALL ".join(
+    f"SELECT '{name}' AS product, count(*) AS n_rows FROM {rows}" for name, rows in _FLOW.items()
+)

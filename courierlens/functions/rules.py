@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from courierlens.schemas import TIMESTAMP_FORMAT
 
 # fixed rule values
+OPEN_HOURS = range(7, 24)
 PEAK_HOURS = [12, 13, 19, 20, 21]
 DELAY_LIMIT_MINUTES = 50
 MIN_PREP_MINUTES = 5

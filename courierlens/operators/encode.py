@@ -2,23 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexerModel
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer, StringIndexerModel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_LABELS = 256
 
+def code_table(df: DataFrame, column: str) -> DataFrame:
+    """(label, code) of a column's distinct labels.
+
+    Labels are numbered within their first character, and characters are offset by a
+    running sum over at most as many rows as there are first characters.
+    """
+    first = F.substring("label", 1, 1)
+    labels = df.select(F.col(column).alias("label")).where(F.col("label").isNotNull()).distinct()
+    labels = labels.withColumn("first", first)
+    sizes = labels.groupBy("first").agg(F.count(F.lit(1)).alias("n"))
+    offsets = sizes.select("first", (F.sum("n").over(Window.orderBy("first")) - F.col("n")).alias("offset"))
+    place = F.row_number().over(Window.partitionBy("first").orderBy("label"))
+    placed = labels.withColumn("place", place).join(offsets, "first")
+    return placed.select("label", (F.col("offset") + F.col("place") - 1).cast("long").alias("code"))
+
+
+def encode_columns(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+    """``df`` with a code column per label column, by joins with the code tables of its own rows.
 
-class TooManyLabels(ValueError):
-    """A column has more distinct labels than a tree learner can take as categories."""
+    A NULL label is an error, as it is for the learner's encoder.
+    """
+
+    def add(rows: DataFrame, names: tuple[str, str]) -> DataFrame:
+        column, output = names
+        codes = code_table(df, column).select(F.col("label").alias(column), F.col("code").alias(output))
+        found = F.when(F.col(output).isNotNull(), F.col(output)).otherwise(
+            F.raise_error(F.lit(f"NULL value in {column}")).cast("long")
+        )
+        return rows.join(codes, column, "left").withColumn(output, found)
+
+    return reduce(add, outputs.items(), df)
 
 
-def vocabularies(df: DataFrame, columns: list[str], max_labels: int = MAX_LABELS) -> dict[str, list[str]]:
-    """Sorted distinct labels per column.
+def vocabularies(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
+    """Sorted distinct labels per column, as a saved model has to hold them.
 
     Rows shrink to distinct combinations on the map side before they are spread
-    over columns, so the fact is read once. The driver takes at most one label more
-    than all columns together may have; too many labels is an error, never a cut.
+    over columns, so the rows are read once.
     """
     combos = df.select(*columns).distinct()
     pairs = combos.select(
@@ -26,26 +55,29 @@ def vocabularies(df: DataFrame, columns: list[str], max_labels: int = MAX_LABELS
     )
     labels = pairs.filter(F.col("label").isNotNull()).distinct()
     found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in labels.limit(max_labels * len(columns) + 1).collect():
+    for row in labels.toLocalIterator():
         found[row["name"]].append(row["label"])
-    # when the limit bites, some column holds more than its share
-    for name, values in found.items():
-        if len(values) > max_labels:
-            raise TooManyLabels(f"{name} has more than {max_labels} labels")
+    for values in found.values():
         values.sort()
     return found
 
 
-def label_encoder(labels: dict[str, list[str]], outputs: dict[str, str]) -> StringIndexerModel:
-    """A ready indexer stage over known vocabularies, one per column."""
-    return StringIndexerModel.from_arrays_of_labels(
-        [labels[c] for c in outputs],
-        inputCols=list(outputs),
-        outputCols=list(outputs.values()),
-        handleInvalid="error",
+def label_encoder(labels: dict[str, list[str]], outputs: dict[str, str]) -> PipelineModel:
+    """A ready stage over known vocabularies: one indexer per column, each with its own number of labels."""
+    return PipelineModel(
+        [
+            StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=code, handleInvalid="error")
+            for c, code in outputs.items()
+        ]
     )
 
 
+def plain_numbers(columns: list[str]) -> SQLTransformer:
+    """A stage that lets a tree learner see these codes as numbers, not as categories."""
+    kept = ", ".join(f"double({c}) + 0.0D AS {c}_number" for c in columns)
+    return SQLTransformer(statement=f"SELECT *{', ' + kept if kept else ''} FROM __THIS__")
+
+
 def known_labels(wanted: DataFrame, column: str, labels: list[str]) -> DataFrame:
     """Keep the rows whose label was seen when the encoder was built."""
     return wanted.filter(F.col(column).isin(labels))

@@ -14,9 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_even, half_up, percent, ratio
+from courierlens.functions.rounding import half_even, half_up
 
-Rounding = Callable[[Column, int], Column]
+Rounding = Callable[[Column, Column, int], Column]
 
 
 @dataclass(frozen=True)
@@ -40,6 +40,11 @@ def _sum(column: str) -> Callable[[], Column]:
     return lambda: F.sum(column)
 
 
+def _hundredths(column: str) -> Callable[[], Column]:
+    # money is added up in whole hundredths: a double sum depends on its order
+    return lambda: F.sum(F.round(F.col(column) * 100).cast("long"))
+
+
 def _status_rows(status: str) -> Callable[[], Column]:
     return lambda: F.sum(F.when(F.col("status") == status, F.lit(1)))
 
@@ -53,7 +58,7 @@ PARTS = {
         Part("n_minutes", _count("delivery_time_min"), is_count=True),
         Part("sum_prep", _sum("prep_time_min")),
         Part("n_prep", _count("prep_time_min"), is_count=True),
-        Part("sum_value", _sum("order_value_sar")),
+        Part("sum_hundredths", _hundredths("order_value_sar")),
         Part("n_value", _count("order_value_sar"), is_count=True),
         Part("sum_delayed", _sum("is_delayed")),
         Part("n_delayed", _count("is_delayed"), is_count=True),
@@ -80,16 +85,16 @@ def _plain(part: str) -> Callable[[str], Measure]:
     return lambda alias: Measure(alias, (part,), lambda c: c)
 
 
-def _average(total: str, known: str):
+def _average(total: str, known: str, unit: int = 1):
     def build(alias: str, digits: int = 1, law: Rounding = half_up) -> Measure:
-        return Measure(alias, (total, known), lambda s, n: law(ratio(s, n), digits))
+        return Measure(alias, (total, known), lambda s, n: law(s, n * unit, digits))
 
     return build
 
 
 def _rate(hits: str, base: str):
     def build(alias: str, digits: int = 1, law: Rounding = half_up) -> Measure:
-        return Measure(alias, (hits, base), lambda h, n: law(percent(h, n), digits))
+        return Measure(alias, (hits, base), lambda h, n: law(h * 100, n, digits))
 
     return build
 
@@ -105,7 +110,7 @@ cancelled_rows = _plain("rows_cancelled")
 
 avg_minutes = _average("sum_minutes", "n_minutes")
 avg_prep = _average("sum_prep", "n_prep")
-avg_value = _average("sum_value", "n_value")
+avg_value = _average("sum_hundredths", "n_value", unit=100)
 
 flagged_rate = _rate("n_flagged", "n_rows")      # delayed flag per row, as the reports define it
 mart_delay_rate = _rate("sum_delayed", "n_orders")  # delayed flag per counted order id
@@ -123,18 +128,18 @@ def count_or_zero(measure: Measure) -> Measure:
 
 
 def revenue(alias: str, digits: int = 0) -> Measure:
-    return Measure(alias, ("sum_value",), lambda s: half_up(s, digits))
+    return Measure(alias, ("sum_hundredths",), lambda s: half_up(s, F.lit(100), digits))
 
 
 def revenue_millions(alias: str) -> Measure:
-    return Measure(alias, ("sum_value",), lambda s: half_even(s / F.lit(1e6), 2))
+    return Measure(alias, ("sum_hundredths",), lambda s: half_even(s, F.lit(100 * 10**6), 2))
 
 
 def share_of_rows(alias: str, part: str) -> Measure:
     return Measure(
         alias,
         (part, "n_rows"),
-        lambda hits, n: half_even(percent(F.coalesce(hits, F.lit(0)), n), 1),
+        lambda hits, n: half_even(F.coalesce(hits, F.lit(0)) * 100, n, 1),
     )
 
 

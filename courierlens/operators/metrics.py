@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_even, half_up, ratio
+from courierlens.functions.rounding import half_even, half_up, settled
 
 
 def _cell(label: str, prediction: str, y: int, p: int) -> Column:
@@ -30,7 +30,7 @@ def classification_metrics(df: DataFrame, label: str, prediction: str, digits: i
     tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
 
     def share(top: Column, base: Column) -> Column:
-        return half_up(F.coalesce(ratio(top, base), F.lit(0.0)), digits)
+        return F.coalesce(half_up(top, base, digits), F.lit(0.0))
 
     return confusion(df, label, prediction).select(
         "tn",
@@ -50,9 +50,9 @@ def regression_metrics(df: DataFrame, label: str, prediction: str, digits: int =
     error = y - F.col(prediction)
     return df.agg(
         F.count(F.lit(1)).alias("n"),
-        half_up(F.avg(F.abs(error)), digits).alias("mae"),
-        half_up(F.sqrt(F.avg(error * error)), digits).alias("rmse"),
-        half_up(F.avg(F.when(y > 0, F.abs(error) / y)) * F.lit(100.0), digits).alias("mape_pct"),
+        settled(F.avg(F.abs(error)), digits).alias("mae"),
+        settled(F.sqrt(F.avg(error * error)), digits).alias("rmse"),
+        settled(F.avg(F.when(y > 0, F.abs(error) / y)) * F.lit(100.0), digits).alias("mape_pct"),
     )
 
 
@@ -64,6 +64,6 @@ def class_profile(df: DataFrame, label: str) -> DataFrame:
     return df.agg(
         n.alias("n_rows"),
         positives.alias("positives"),
-        half_even(ratio(positives * F.lit(100.0), n), 1).alias("positive_pct"),
-        half_up(ratio(negatives, positives), 6).alias("class_ratio"),
+        half_even(positives * 100, n, 1).alias("positive_pct"),
+        half_up(negatives, positives, 6).alias("class_ratio"),
     )

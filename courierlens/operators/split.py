@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from courierlens.sources.working_copy import materialize
+
 _BUCKET_DIGITS = 4
 # ceil(0.8 * 16**4) as hex: rows whose hash starts below it are training rows
 _TRAIN_BELOW = "cccd"
-MAX_CLASSES = 256
+# a cut is narrowed down by this many hex digits at a time
+_STEP_DIGITS = 3
+_STEPS = 2
 
 
 def row_hash(row_id: Column, seed: int) -> Column:
@@ -22,58 +26,41 @@ def hash_split(row_id: Column, seed: int = 42) -> Column:
     return F.when(bucket < _TRAIN_BELOW, "train").otherwise("test")
 
 
-def _of_class(value) -> Column:
-    return F.col("class").eqNullSafe(F.lit(value))
-
-
-def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> dict:
-    """Per class, the highest id hash of a training row; ceil(n/5) rows lie above it.
+def stratified_cuts(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataFrame:
+    """Per class, the highest id hash of a training row: (class, cut); ceil(n/5) rows lie above it.
 
-    No class is sorted or gathered: a histogram of hash prefixes (at most 65,536 per
-    class) finds the prefix that holds the cut, and only that prefix's distinct ids
-    are ordered, after a plain filter. One row per class reaches the driver. Rows that
-    repeat an id stay on one side of the cut.
+    No class is sorted or gathered: histograms of hash prefixes (at most 4,096 per class and
+    step) narrow the cut down to one prefix of six digits, and only that prefix's distinct
+    ids are ordered. Rows that repeat an id stay on one side of the cut.
     """
-    hashed = df.select(F.col(label).alias("class"), row_hash(F.col(row_id), seed).alias("hash"))
-    ids = hashed.withColumn("prefix", F.substring("hash", 1, _BUCKET_DIGITS))
-
-    def holds_the_cut(rows: Column, upto: Column, wanted: Column) -> Column:
-        return (upto >= wanted) & (upto - rows < wanted)
-
-    per_class = Window.partitionBy("class")
-    n, upto, train = F.col("n"), F.col("upto"), F.col("train")
-    histogram = ids.groupBy("class", "prefix").agg(F.count(F.lit(1)).alias("n"))
-    found = (
-        histogram.withColumn("upto", F.sum("n").over(per_class.orderBy("prefix")))
-        .withColumn("total", F.sum("n").over(per_class))
-        .withColumn("train", F.col("total") - F.ceil(F.col("total") / 5))
-        .filter(holds_the_cut(n, upto, train))
-        .select("class", "prefix", (train - upto + n).alias("take"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if not found:
-        return {}
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-
-    in_cut, take = F.lit(False), F.lit(None)
-    for row in found:
-        in_cut = in_cut | (_of_class(row["class"]) & (F.col("prefix") == row["prefix"]))
-        take = F.when(_of_class(row["class"]), F.lit(row["take"])).otherwise(take)
-    per_id = ids.filter(in_cut).groupBy("class", "hash").agg(F.count(F.lit(1)).alias("n"))
-    cuts = per_id.withColumn("upto", F.sum("n").over(per_class.orderBy("hash"))).filter(
-        holds_the_cut(n, upto, take)
-    )
-    return {row["class"]: row["hash"] for row in cuts.select("class", "hash").collect()}
+    ids = df.select(F.col(label).alias("class"), row_hash(F.col(row_id), seed).alias("hash"))
+    sizes = ids.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    # rows that are still to be taken below the cut, within the prefix found so far
+    cut = sizes.select("class", F.lit("").alias("prefix"), (F.col("n") - F.ceil(F.col("n") / 5)).alias("take"))
+
+    def narrowed(rows: DataFrame, cut: DataFrame, key: Column) -> DataFrame:
+        """The key that holds the cut, and the rows to take within it."""
+        inside = rows.join(cut.withColumnRenamed("class", "of"), F.col("class").eqNullSafe(F.col("of")))
+        inside = inside.where(F.startswith("hash", "prefix"))
+        counts = inside.groupBy("class", "take", key.alias("key")).agg(F.count(F.lit(1)).alias("n"))
+        upto = F.sum("n").over(Window.partitionBy("class").orderBy("key"))
+        found = counts.withColumn("upto", upto).where((F.col("upto") >= F.col("take")) & (F.col("upto") - F.col("n") < F.col("take")))
+        return found.select("class", F.col("key").alias("prefix"), (F.col("take") - F.col("upto") + F.col("n")).alias("take"))
+
+    # each step is written: one row per class, whose size Spark then knows for the join
+    for step in range(1, _STEPS + 1):
+        cut = narrowed(ids, materialize(cut, "cuts"), F.substring("hash", 1, step * _STEP_DIGITS))
+    found = narrowed(ids, materialize(cut, "cuts"), F.col("hash"))
+    return materialize(found.select("class", F.col("prefix").alias("cut")), "cuts")
 
 
 def stratified_split(df: DataFrame, row_id: str, label: str, seed: int = 42) -> DataFrame:
     """Add ``split`` so that exactly ceil(n/5) rows of each class are test rows.
 
-    The cuts are found first; the split itself is a plain expression over the row.
+    The cuts are one row per class; a class without one has test rows only.
     """
-    side = F.when(F.lit(False), "train")
-    for value, cut in stratified_cuts(df, row_id, label, seed).items():
-        side = side.when(F.col(label).eqNullSafe(F.lit(value)) & (row_hash(F.col(row_id), seed) <= cut), "train")
-    return df.withColumn("split", side.otherwise("test"))
+    names = df.columns
+    cuts = stratified_cuts(df, row_id, label, seed).withColumnRenamed("class", "_class")
+    marked = df.join(cuts, F.col(label).eqNullSafe(F.col("_class")), "left")
+    below = row_hash(F.col(row_id), seed) <= F.col("cut")
+    return marked.select(*names, F.when(below, "train").otherwise("test").alias("split"))

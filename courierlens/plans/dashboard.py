@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_even, percent
+from courierlens.functions.rounding import half_even
 from courierlens.functions.rules import alert_text
 from courierlens.operators import measures as m
 from courierlens.operators.summarize import finish, summarize, summarize_through
@@ -39,7 +39,7 @@ def status_share(orders: DataFrame) -> DataFrame:
     counted = summarize(orders, ["status"], [m.row_count("count")], known_keys_only=True)
     # one row per status by now, so the unpartitioned total adds up a handful of rows
     total = F.sum("count").over(Window.partitionBy())
-    shared = counted.withColumn("share_pct", half_even(percent(F.col("count"), total), 1))
+    shared = counted.withColumn("share_pct", half_even(F.col("count") * 100, total, 1))
     return finish(shared, order=("count desc", "status"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
@@ -10,15 +11,16 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from courierlens.functions.rounding import half_up
-from courierlens.operators.encode import label_encoder, vocabularies
-from courierlens.operators.metrics import class_profile, classification_metrics
+from courierlens.functions.rounding import settled
+from courierlens.operators.encode import encode_columns, label_encoder, plain_numbers, vocabularies
+from courierlens.operators.metrics import classification_metrics
 from courierlens.operators.split import stratified_split
 from courierlens.session import ensure_checkpointing
 from courierlens.sources.tables import Star
 from courierlens.sources.working_copy import materialize
 
 LABEL = "is_delayed"
+# fixed values: label columns and the names of their codes
 CODES = {
     "weather": "weather_enc",
     "traffic_level": "traffic_enc",
@@ -41,6 +43,10 @@ FEATURES = [
 ]
 # fixed learner settings
 ROUNDS, DEPTH, STEP, ROW_SHARE, SEED = 200, 6, 0.1, 0.8, 42
+# a column with more labels is a plain number to the trees, as all codes are in the usual libraries
+CATEGORIES = 256
+# rows one task of a boosting round answers for
+ROWS_PER_TASK = 20_000
 
 
 def training_rows(star: Star, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -76,17 +82,25 @@ def training_rows(star: Star, extra: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def order_vocabularies(star: Star) -> dict[str, list[str]]:
-    """Label lists from the tables that own the columns, so no join is needed to get them."""
-    of_orders = [c for c in CODES if c != "cuisine_type"]
-    return vocabularies(star.orders, of_orders) | vocabularies(star.restaurants, ["cuisine_type"])
+def encoded_features(rows: DataFrame) -> DataFrame:
+    """Ten numeric features and the label; codes are whole numbers from the rows' own labels."""
+    return encode_columns(rows, CODES).select("order_id", *FEATURES, LABEL)
 
 
-def encoded_features(rows: DataFrame, labels: dict[str, list[str]]) -> DataFrame:
-    """Ten numeric features and the label; codes are whole numbers."""
-    coded = label_encoder(labels, CODES).transform(rows)
-    codes = [F.col(c).cast("long").alias(c) if c in CODES.values() else F.col(c) for c in FEATURES]
-    return coded.select("order_id", *codes, LABEL)
+def inputs(features: list[str], codes: dict[str, str], labels: dict[str, list[str]]) -> tuple[list[str], list[str]]:
+    """Codes of more labels than a tree takes as categories, and the learner's columns with these as numbers."""
+    wide = [code for column, code in codes.items() if len(labels[column]) > CATEGORIES]
+    return wide, [f"{name}_number" if name in wide else name for name in features]
+
+
+def bins(labels: dict[str, list[str]]) -> int:
+    """Enough bins for every categorical column, and for the numbers at least the learner's default."""
+    return max(32, *[len(v) for v in labels.values() if len(v) <= CATEGORIES])
+
+
+def training_tasks(rows: DataFrame) -> DataFrame:
+    """The rows in as many tasks as their number asks for: every boosting round runs all of them several times."""
+    return rows.repartition(max(1, ceil(rows.count() / ROWS_PER_TASK)))
 
 
 @dataclass(frozen=True)
@@ -95,6 +109,10 @@ class DelayRun:
     rows: DataFrame  # all rows with their split
     scored: DataFrame  # test rows with predictions
 
+    def added(self) -> list[str]:
+        """Columns that scoring added."""
+        return [c for c in self.scored.columns if c not in self.rows.columns]
+
     def metrics(self) -> DataFrame:
         return classification_metrics(self.scored, LABEL, "prediction")
 
@@ -104,19 +122,20 @@ def train(
 ) -> DelayRun:
     """Weight the classes, hold out a fifth of each, boost trees on the rest.
 
-    The class ratio comes from all rows, as do the label lists. ``extra_features`` are
+    The class ratio and the label lists come from all joined rows. ``extra_features`` are
     numeric order columns to learn from as well; ``prep_time_min`` is known once the
     kitchen is done and is the strongest of them.
     """
     spark = star.orders.sparkSession
     ensure_checkpointing(spark)
-    labels = order_vocabularies(star)
-    rows = stratified_split(materialize(training_rows(star, extra_features), "delay-rows"), "order_id", LABEL, SEED)
-    ratio = class_profile(rows, LABEL).first()["class_ratio"]
-    if not ratio:
+    rows = materialize(training_rows(star, extra_features), "delay-rows")
+    labels = vocabularies(rows, list(CODES))
+    late, timely = rows.agg(F.count_if(F.col(LABEL) == 1), F.count_if(F.col(LABEL) == 0)).first()
+    if not late or not timely:
         raise ValueError("the delay model needs both late and timely orders to learn from")
-    weight = F.when(F.col(LABEL) == 1, F.lit(float(ratio))).otherwise(F.lit(1.0))
-    training = rows.filter("split = 'train'").withColumn("weight", weight)
+    rows = materialize(stratified_split(rows, "order_id", LABEL, SEED), "delay-split")
+    weight = F.when(F.col(LABEL) == 1, F.lit(timely / late)).otherwise(F.lit(1.0))
+    training = training_tasks(rows.filter("split = 'train'").withColumn("weight", weight))
     learner = GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -126,25 +145,31 @@ def train(
         stepSize=STEP,
         subsamplingRate=ROW_SHARE,
         seed=SEED,
-        maxBins=max(32, *[len(v) for v in labels.values()]),
+        maxBins=bins(labels),
         checkpointInterval=10,
     )
-    assembler = VectorAssembler(inputCols=[*FEATURES, *extra_features], outputCol="features")
-    model = Pipeline(stages=[label_encoder(labels, CODES), assembler, learner]).fit(training)
+    wide, names = inputs([*FEATURES, *extra_features], CODES, labels)
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    stages = [label_encoder(labels, CODES), plain_numbers(wide), assembler, learner]
+    model = Pipeline(stages=stages).fit(training)
     return DelayRun(model, rows, model.transform(rows.filter("split = 'test'")))
 
 
-def importances(spark: SparkSession, model: PipelineModel, k: int | None = None) -> DataFrame:
-    """Features by importance, highest first; at most one row per feature."""
-    names = model.stages[1].getInputCols()
+def importances(
+    spark: SparkSession, model: PipelineModel, k: int | None = None, digits: int | None = 3
+) -> DataFrame:
+    """Features by importance, highest first; at most one row per feature.
+
+    The order is that of the scores themselves; they are rounded for display after it.
+    """
+    names = [n.removesuffix("_number") for n in model.stages[2].getInputCols()]
     scores = model.stages[-1].featureImportances.toArray()
     rows = spark.createDataFrame(
         [(n, float(s)) for n, s in zip(names, scores)], "feature string, importance double"
     )
-    ranked = rows.withColumn("importance", half_up(F.col("importance"), 3)).orderBy(
-        F.desc("importance"), "feature"
-    )
-    return ranked if k is None else ranked.limit(k)
+    ranked = rows.orderBy(F.desc("importance"), "feature")
+    ranked = ranked if k is None else ranked.limit(k)
+    return ranked if digits is None else ranked.withColumn("importance", settled(F.col("importance"), digits))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from courierlens.functions.rounding import half_even
 from courierlens.operators import measures as m
-from courierlens.operators.encode import known_labels, label_encoder, vocabularies
+from courierlens.operators.encode import encode_columns, known_labels, label_encoder, plain_numbers, vocabularies
 from courierlens.operators.metrics import regression_metrics
 from courierlens.operators.split import hash_split
 from courierlens.operators.summarize import summarize
-from courierlens.plans.delay_model import DEPTH, ROUNDS, ROW_SHARE, SEED, STEP
+from courierlens.plans.delay_model import DEPTH, ROUNDS, ROW_SHARE, SEED, STEP, bins, inputs, training_tasks
 from courierlens.session import ensure_checkpointing
 from courierlens.sources.working_copy import materialize
 
 LABEL = "order_count"
+# fixed values: what makes a slot, and the names of its codes
 SLOT_KEYS = ["district", "hour_of_day", "day_of_week", "is_peak_hour", "weather", "traffic_level"]
 CODES = {
     "district": "district_enc",
@@ -48,7 +49,7 @@ def demand_slots(orders: DataFrame) -> DataFrame:
 def slot_stats(slots: DataFrame) -> DataFrame:
     return slots.agg(
         F.count(F.lit(1)).alias("slots"),
-        half_even(F.avg(LABEL), 1).alias("avg_orders"),
+        half_even(F.sum(LABEL), F.count(LABEL), 1).alias("avg_orders"),
         F.max(LABEL).alias("max_orders"),
     )
 
@@ -62,9 +63,21 @@ def split_slots(slots: DataFrame) -> DataFrame:
 
 
 def mean_predictor(split: DataFrame, by: list[str]) -> DataFrame:
-    """Test slots scored with the training mean of their group: the bar a model must clear."""
-    means = split.filter("split = 'train'").groupBy(*by).agg(F.avg(LABEL).alias("prediction"))
-    return split.filter("split = 'test'").join(means, by)
+    """Test slots scored with the training mean of their group: the bar a model must clear.
+
+    A group without training slots gets the mean of all training slots.
+    """
+    training = split.filter("split = 'train'")
+    means = training.groupBy(*by).agg(F.avg(LABEL).alias("of_group"))
+    overall = training.agg(F.avg(LABEL)).first()[0]
+    scored = split.filter("split = 'test'").join(means, by, "left")
+    return scored.withColumn("prediction", F.coalesce("of_group", F.lit(overall).cast("double"))).drop("of_group")
+
+
+def encoded_slots(slots: DataFrame) -> DataFrame:
+    """The slots with their codes, split and label, as the learner sees them."""
+    coded = encode_columns(split_slots(slots), CODES)
+    return coded.select(*SLOT_KEYS, *[c for c in FEATURES if c not in SLOT_KEYS], "split", LABEL)
 
 
 @dataclass(frozen=True)
@@ -73,6 +86,10 @@ class DemandRun:
     slots: DataFrame
     scored: DataFrame
 
+    def added(self) -> list[str]:
+        """Columns that scoring added."""
+        return [c for c in self.scored.columns if c not in self.slots.columns]
+
     def metrics(self) -> DataFrame:
         return regression_metrics(self.scored, LABEL, "prediction")
 
@@ -91,13 +108,13 @@ def train(orders: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH) -> Demand
         subsamplingRate=ROW_SHARE,
         seed=SEED,
         lossType="squared",
-        maxBins=max(32, *[len(v) for v in labels.values()]),
+        maxBins=bins(labels),
         checkpointInterval=10,
     )
-    assembler = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    model = Pipeline(stages=[label_encoder(labels, CODES), assembler, learner]).fit(
-        slots.filter("split = 'train'")
-    )
+    wide, names = inputs(FEATURES, CODES, labels)
+    assembler = VectorAssembler(inputCols=names, outputCol="features")
+    stages = [label_encoder(labels, CODES), plain_numbers(wide), assembler, learner]
+    model = Pipeline(stages=stages).fit(training_tasks(slots.filter("split = 'train'")))
     return DemandRun(model, slots, model.transform(slots.filter("split = 'test'")))
 
 
@@ -114,10 +131,9 @@ def sample_scenarios(
 
 def score_scenarios(model: PipelineModel, scenarios: DataFrame) -> DataFrame:
     """Expected orders per scenario; a label the model never saw gives NULL."""
-    encoder = model.stages[0]
     known = scenarios
-    for column, labels in zip(encoder.getInputCols(), encoder.labelsArray):
-        known = known_labels(known, column, list(labels))
+    for encoder in model.stages[0].stages:
+        known = known_labels(known, encoder.getInputCol(), list(encoder.labels))
     keys = scenarios.columns
-    scored = model.transform(known).select(*keys, half_even(F.col("prediction"), 0).alias("predicted_orders"))
+    scored = model.transform(known).select(*keys, F.bround("prediction", 0).alias("predicted_orders"))
     return scenarios.join(scored.distinct(), keys, "left")

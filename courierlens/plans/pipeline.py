@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlens.operators.quality import run_tests
 from courierlens.plans import dashboard, delay_model, demand_model, marts, reports, staging, validation
 from courierlens.plans.gold import FROM_GOLD, captain_parts, gold_cube, restaurant_parts
-from courierlens.session import scan_bytes, size_shuffles
 from courierlens.sources.tables import Star, load_star, parquet_reader, save_star
 
 
@@ -41,7 +40,6 @@ def run_pipeline(
     bronze = f"{out.rstrip('/')}/bronze"
     save_star(star, bronze)
     star = load_star(parquet_reader(spark, bronze))
-    size_shuffles(spark, scan_bytes(star.orders))
     views = staging.staged(star)
     orders, captains, restaurants = (
         views[n] for n in (staging.STG_ORDERS, staging.STG_CAPTAINS, staging.STG_RESTAURANTS)

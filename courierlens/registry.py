@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions import rules
-from courierlens.functions.rounding import half_up
 from courierlens.operators.metrics import class_profile, classification_metrics, regression_metrics
 from courierlens.operators.quality import accepted_values, not_null, run_tests, unique
 from courierlens.operators.split import hash_split, stratified_split
@@ -26,18 +28,14 @@ from courierlens.plans import (
 from courierlens.schemas import DIM_CAPTAINS, DIM_RESTAURANTS, FACT_ORDERS, star_schemas
 from courierlens.session import application_folder
 from courierlens.sources import builder, files, tables
-from courierlens.sources.adapter import table_path
+from courierlens.plans.pipeline import run_pipeline
+from courierlens.sources.adapter import LABELS, table_path
 from courierlens.sources.tables import Star
-from courierlens.sources.working_copy import fingerprint, materialize, working_star
+from courierlens.sources.working_copy import materialize, star_folder, working_star
 from courierlens.streaming.alerts import late_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# boosting rounds of the registered model queries; the library default is 200
-QUERY_ROUNDS = 4
-QUERY_DEPTH = 4
-
-
 def over_star(build: Callable[[Star], DataFrame]) -> Query:
     return lambda spark, root: build(working_star(spark, root))
 
@@ -71,10 +69,7 @@ def _source(spark: SparkSession, root: str, table: str) -> DataFrame:
 
 
 def _exchange_folder(spark: SparkSession, name: str) -> str:
-    folder = application_folder(spark, "exchange", f"{name}-{uuid.uuid4().hex[:12]}")
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder to exchange files")
-    return folder
+    return application_folder(spark, "exchange", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
 # sources and sinks
@@ -92,7 +87,7 @@ def landed_dimension(table: str) -> Query:
     def run(spark: SparkSession, root: str) -> DataFrame:
         base = _exchange_folder(spark, "landing")
         files.land({table: working_star(spark, root).tables()[table]}, base)
-        return files.read_csv(spark, files.entity_path(base, table), star_schemas("long")[table])
+        return files.read_csv(spark, files.entity_path(base, table), star_schemas("long")[table], multi_line=True)
 
     return run
 
@@ -106,6 +101,24 @@ def warehouse_orders(spark: SparkSession, root: str) -> DataFrame:
     return _time_as_text(tables.load_star(tables.parquet_reader(spark, folder)).orders)
 
 
+def catalog_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Orders saved as a table of the catalog, and read back through it."""
+    name = f"orders_{uuid.uuid4().hex[:12]}"
+    tables.save_table(working_star(spark, root).orders, name, path=_exchange_folder(spark, name))
+    schema = star_schemas()[FACT_ORDERS]
+    return _time_as_text(tables.conform(tables.catalog_reader(spark)(name), schema))
+
+
+def flow_products(spark: SparkSession, root: str) -> DataFrame:
+    """The whole flow without models: every product with its rows, as read back from what was written."""
+    written = run_pipeline(spark, working_star(spark, root), _exchange_folder(spark, "flow"), train_models=False)
+    counts = [
+        spark.read.parquet(path).agg(F.lit(name).alias("product"), F.count(F.lit(1)).alias("n_rows"))
+        for name, path in written.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def _ids(spark: SparkSession, root: str, table: str, key: str) -> DataFrame:
     return _source(spark, root, table).select(F.col(key).alias("id"))
 
@@ -119,9 +132,11 @@ def built_restaurants(spark: SparkSession, root: str) -> DataFrame:
 
 
 def built_orders(spark: SparkSession, root: str) -> DataFrame:
-    return builder.build_orders(
-        _ids(spark, root, "orders", "o_orderkey"), built_captains(spark, root), built_restaurants(spark, root)
-    )
+    # the dimensions are written first: their sizes are then known to the joins
+    captains = materialize(built_captains(spark, root), "built-captains")
+    restaurants = materialize(built_restaurants(spark, root), "built-restaurants")
+    ids = _ids(spark, root, "orders", "o_orderkey")
+    return builder.build_orders(ids, captains, restaurants, partitions=spark.sparkContext.defaultParallelism)
 
 
 # rules and projections
@@ -148,7 +163,17 @@ def delay_enrichment(orders: DataFrame) -> DataFrame:
 
 
 def status_rule(orders: DataFrame) -> DataFrame:
-    return orders.select("order_id", "weather", "traffic_level", "delivery_time_min", "status")
+    status = rules.order_status(
+        F.col("delivery_time_min"), F.col("weather"), F.col("traffic_level"), LABELS, F.col("order_id") % 100
+    )
+    return orders.select("order_id", "weather", "traffic_level", "delivery_time_min", status.alias("status"))
+
+
+def orphan_orders(orders: DataFrame, captains: DataFrame) -> DataFrame:
+    """Orders whose captain is not among those rated three and better, by captain: what a left join leaves open."""
+    listed = captains.where("rating >= 3.0").select("captain_id", "name")
+    counted = orders.groupBy("captain_id").agg(F.count(F.lit(1)).alias("n_orders"))
+    return counted.join(listed, "captain_id", "left").where("name IS NULL").select("captain_id", "n_orders")
 
 
 # data tests
@@ -175,7 +200,12 @@ def raw_tests(spark: SparkSession, root: str) -> DataFrame:
 
 
 def ml_features(star: Star) -> DataFrame:
-    return delay_model.encoded_features(delay_model.training_rows(star), delay_model.order_vocabularies(star))
+    # joined once and written: the label codes come from these rows
+    return delay_model.encoded_features(materialize(delay_model.training_rows(star), "feature-rows"))
+
+
+def ml_demand_features(orders: DataFrame) -> DataFrame:
+    return demand_model.encoded_slots(materialize(demand_model.demand_slots(orders), "feature-slots"))
 
 
 def _split_profile(split: DataFrame) -> DataFrame:
@@ -218,50 +248,89 @@ _RUNS: dict[tuple[str, ...], object] = {}
 
 def _trained(spark: SparkSession, root: str, name: str, train: Callable[[Star], object]):
     """Train once per application and source; the model queries share the result."""
-    key = (name, spark.sparkContext.applicationId, root, fingerprint(spark, root))
+    key = (name, spark.sparkContext.applicationId, star_folder(spark, root))
     if key not in _RUNS:
         _RUNS[key] = train(working_star(spark, root))
     return _RUNS[key]
 
 
 def _delay_run(spark: SparkSession, root: str) -> delay_model.DelayRun:
-    return _trained(spark, root, "delay", lambda s: delay_model.train(s, QUERY_ROUNDS, QUERY_DEPTH))
+    return _trained(spark, root, "delay", delay_model.train)
 
 
 def _demand_run(spark: SparkSession, root: str) -> demand_model.DemandRun:
-    return _trained(spark, root, "demand", lambda s: demand_model.train(s.orders, QUERY_ROUNDS, QUERY_DEPTH))
+    return _trained(spark, root, "demand", lambda s: demand_model.train(s.orders))
 
 
-def ml_delay_model(spark: SparkSession, root: str) -> DataFrame:
-    return _delay_run(spark, root).metrics()
+def _reloaded(spark: SparkSession, model: PipelineModel) -> PipelineModel:
+    path = _exchange_folder(spark, "model")
+    delay_model.save_model(model, path)
+    return delay_model.load_model(path)
 
 
-def ml_delay_importance(spark: SparkSession, root: str) -> DataFrame:
-    return delay_model.importances(spark, _delay_run(spark, root).model, k=5)
+def ml_delay_model(spark: SparkSession, root: str) -> DataFrame:
+    """What any right run has: all test rows scored by a saved and reloaded model, better than the majority."""
+    run = _delay_run(spark, root)
+    first = run.scored.select("order_id", delay_model.LABEL, "prediction", vector_to_array("probability")[1].alias("p"))
+    again = _reloaded(spark, run.model).transform(run.scored.drop(*run.added()))
+    both = first.join(again.select("order_id", F.col("prediction").alias("again")), "order_id")
+    late = F.sum(delay_model.LABEL)
+    right = F.count_if(F.col(delay_model.LABEL) == F.col("prediction"))
+    n = F.count(F.lit(1))
+    return both.agg(
+        n.alias("n_test"),
+        late.alias("late"),
+        F.count_if(F.col("p").between(0, 1)).alias("scores_in_range"),
+        F.count_if(F.col("prediction") != F.col("again")).alias("reload_mismatches"),
+        rules.flag(right > F.greatest(late, n - late)).alias("beats_majority"),
+    )
 
 
 def ml_demand_model(spark: SparkSession, root: str) -> DataFrame:
-    return _demand_run(spark, root).metrics()
+    """What any right run has: all test slots scored with numbers, the same after saving and reloading."""
+    run = _demand_run(spark, root)
+    keys = demand_model.SLOT_KEYS
+    first = run.scored.select(*keys, demand_model.LABEL, "prediction")
+    again = _reloaded(spark, run.model).transform(run.scored.drop(*run.added()))
+    both = first.join(again.select(*keys, F.col("prediction").alias("again")), keys)
+    return both.agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.sum(demand_model.LABEL).alias("orders"),
+        F.count_if(F.abs("prediction") < float("inf")).alias("finite_scores"),
+        F.count_if(F.col("prediction") != F.col("again")).alias("reload_mismatches"),
+    )
+
+
+def _importance_facts(spark: SparkSession, model: PipelineModel) -> DataFrame:
+    """Every feature once, with a share between 0 and 1, and all shares adding up to 1."""
+    ranked = delay_model.importances(spark, model, digits=None)
+    # one row per feature
+    total = F.sum("importance").over(Window.partitionBy(F.lit(1)))
+    return ranked.select(
+        "feature",
+        rules.flag(F.col("importance").between(0, 1)).alias("in_range"),
+        rules.flag(F.abs(total - 1) < 1e-6).alias("adds_up"),
+    )
+
+
+def ml_delay_importance(spark: SparkSession, root: str) -> DataFrame:
+    return _importance_facts(spark, _delay_run(spark, root).model)
 
 
 def ml_demand_importance(spark: SparkSession, root: str) -> DataFrame:
-    return delay_model.importances(spark, _demand_run(spark, root).model)
+    return _importance_facts(spark, _demand_run(spark, root).model)
 
 
 def ml_demand_scenarios(spark: SparkSession, root: str) -> DataFrame:
-    """Expected orders of the busiest districts in coming peak hours, from a reloaded model."""
-    path = _exchange_folder(spark, "demand_model")
-    delay_model.save_model(_demand_run(spark, root).model, path)
-    scenarios = reports.busiest_districts(working_star(spark, root).orders).select(
-        "district",
-        F.explode(F.array(*[F.lit(h).cast("long") for h in sorted(set(demand_model.FORECAST_HOURS))])).alias(
-            "hour_of_day"
-        ),
-        F.lit("Thursday").alias("day_of_week"),
-        F.lit("clear").alias("weather"),
-        F.lit("heavy").alias("traffic_level"),
-    )
-    return demand_model.score_scenarios(delay_model.load_model(path), scenarios)
+    """The sample forecast from a reloaded model: the busiest districts, each with its hour, and an unknown one.
+
+    ``predicted`` says whether the model gave a number: the unknown district has none.
+    """
+    busiest = reports.busiest_districts(working_star(spark, root).orders).collect()
+    names = [r["district"] for r in busiest] + ["no such district"]
+    scenarios = demand_model.sample_scenarios(spark, names, weather="clear", traffic=LABELS.heavy)
+    scored = demand_model.score_scenarios(_reloaded(spark, _demand_run(spark, root).model), scenarios)
+    return scored.withColumn("predicted", rules.flag(F.col("predicted_orders").isNotNull())).drop("predicted_orders")
 
 
 QUERIES: dict[str, Query] = {
@@ -288,7 +357,9 @@ QUERIES: dict[str, Query] = {
     ),
     "mart_zone_analysis": over_orders(marts.zone_analysis),
     "gold_cube": over_orders(
-        lambda o: gold.gold_cube(o).withColumn("sum_value", half_up(F.col("sum_value"), 2))
+        lambda o: gold.gold_cube(o)
+        .withColumn("sum_value", F.col("sum_hundredths") / F.lit(100.0))
+        .drop("sum_hundredths")
     ),
     # dashboard datasets
     "dash_kpis": over_orders(dashboard.kpis),
@@ -317,12 +388,14 @@ QUERIES: dict[str, Query] = {
     "peak_flags": over_orders(peak_flags),
     "delay_enrichment": over_orders(delay_enrichment),
     "status_rule": over_orders(status_rule),
+    "orphan_orders": over_captains(orphan_orders),
     # demand and model data
     "demand_slots": over_orders(demand_model.demand_slots),
     "demand_slot_stats": over_orders(lambda o: demand_model.slot_stats(demand_model.demand_slots(o))),
     "demand_slot_split": over_orders(demand_slot_split),
     "demand_metrics_on_mean": over_orders(demand_metrics_on_mean),
     "ml_features": over_star(ml_features),
+    "ml_demand_features": over_orders(ml_demand_features),
     "ml_split_profile": over_star(ml_split_profile),
     "ml_stratified_split": over_star(ml_stratified_split),
     "ml_class_ratio": over_star(lambda s: class_profile(delay_model.training_rows(s), delay_model.LABEL)),
@@ -332,6 +405,8 @@ QUERIES: dict[str, Query] = {
     "landed_captains": landed_dimension(DIM_CAPTAINS),
     "landed_restaurants": landed_dimension(DIM_RESTAURANTS),
     "warehouse_orders": warehouse_orders,
+    "catalog_orders": catalog_orders,
+    "flow_products": flow_products,
     "built_captains": built_captains,
     "built_restaurants": built_restaurants,
     "built_orders": lambda spark, root: _time_as_text(built_orders(spark, root)),

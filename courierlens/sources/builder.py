@@ -34,7 +34,7 @@ TRAFFIC = ["خفيف", "متوسط", "كثيف", "شديد الكثافة"]
 CUISINES = ["برغر", "مندي", "بيتزا", "سوشي", "مشاوي", "فراخ", "حلويات"]
 RESTAURANT_PREFIX = "مطعم "
 LABELS = rules.Conditions(stormy="عاصف", very_hot="حار جداً", severe="شديد الكثافة", heavy="كثيف")
-OFF_PEAK_HOURS = [h for h in range(7, 24) if h not in rules.PEAK_HOURS]
+OFF_PEAK_HOURS = [h for h in rules.OPEN_HOURS if h not in rules.PEAK_HOURS]
 PEAK_ORDERS_PERCENT = 40
 FIRST_DAY = date(2025, 1, 1)
 LAST_DAY = date(2026, 5, 23)
@@ -47,8 +47,6 @@ ROWS_PER_TASK = 5_000_000
 RESTAURANT_NAMES = 40
 
 _INDEX_DIGITS = 3
-# row header, index column and hash table slots of a broadcast row
-_ROW_OVERHEAD = 96
 
 
 def _tenths(draw: Column) -> Column:
@@ -125,28 +123,6 @@ def dense_index(df: DataFrame, key: str, index: str) -> DataFrame:
     )
 
 
-def _measure(df: DataFrame) -> tuple[int, int]:
-    """Rows, and the bytes they take as a hash table at most."""
-    text = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c, kind in df.dtypes if kind == "string"]
-    row = df.agg(F.count(F.lit(1)), F.sum(sum(text, F.lit(0).cast("long")))).first()
-    return row[0], row[0] * (_ROW_OVERHEAD + 8 * len(df.columns)) + (row[1] or 0)
-
-
-def _broadcast_if_small(df: DataFrame, measured_bytes: int) -> DataFrame:
-    """Broadcast only what was measured to fit the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return F.broadcast(df) if measured_bytes <= limit else df
-
-
-def _spread(ids: DataFrame) -> DataFrame:
-    """Use all cores: drawing a row costs far more than moving its id.
-
-    Only a source with fewer splits than cores is moved; a large one has enough.
-    """
-    cores = ids.sparkSession.sparkContext.defaultParallelism
-    return ids.repartition(cores) if ids.rdd.getNumPartitions() < cores else ids
-
-
 _ORDER_DRAWS = [
     "captain", "restaurant", "day", "peak",
     "hour", "minute", "prep", "leg",
@@ -165,26 +141,33 @@ _EXTRA_DRAW = {
 
 
 def build_orders(
-    ids: DataFrame, captains: DataFrame, restaurants: DataFrame, seed: int = DEFAULT_SEED
+    ids: DataFrame,
+    captains: DataFrame,
+    restaurants: DataFrame,
+    seed: int = DEFAULT_SEED,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Orders for the ids in column ``id``, each with a drawn captain and restaurant."""
+    """Orders for the ids in column ``id``, each with a drawn captain and restaurant.
+
+    The dimensions should be stored tables: their file sizes tell Catalyst whether to
+    broadcast them. ``partitions`` spreads the ids first; drawing a row costs far more than
+    moving its id, so it pays where the source has fewer splits than the cluster has cores.
+    """
     riders = captains.select("captain_id", "rating")
     kitchens = restaurants.select("restaurant_id", "district", "avg_prep_time_min")
-    n_captains, captain_bytes = _measure(riders)
-    n_restaurants, restaurant_bytes = _measure(kitchens)
+    n_captains, n_restaurants = riders.count(), kitchens.count()
     if not n_captains or not n_restaurants:
         raise ValueError("orders need at least one captain and one restaurant")
     riders = dense_index(riders, "captain_id", "captain_no")
     kitchens = dense_index(kitchens, "restaurant_id", "restaurant_no")
-    drawn = draws.with_draws(_spread(ids.select("id")), "id", _ORDER_DRAWS, seed).withColumns(
+    ids = ids.select("id") if partitions is None else ids.select("id").repartition(partitions)
+    drawn = draws.with_draws(ids, "id", _ORDER_DRAWS, seed).withColumns(
         {
             "captain_no": draws.below(F.col("captain"), n_captains),
             "restaurant_no": draws.below(F.col("restaurant"), n_restaurants),
         }
     )
-    joined = drawn.join(_broadcast_if_small(riders, captain_bytes), "captain_no").join(
-        _broadcast_if_small(kitchens, restaurant_bytes), "restaurant_no"
-    )
+    joined = drawn.join(riders, "captain_no").join(kitchens, "restaurant_no")
 
     def hours(values: list[int]) -> Column:
         picks = F.array(*[F.lit(h) for h in values])

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType, TimestampNTZType
+from pyspark.sql.types import DataType, StringType, StructType, TimestampNTZType
 
 from courierlens.schemas import (
     DIM_CAPTAINS,
@@ -46,9 +45,13 @@ def normalize_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    """Replace the catalog table ``name``."""
+def save_table(
+    df: DataFrame, name: str, partition_by: list[str] | None = None, path: str | None = None
+) -> None:
+    """Replace the catalog table ``name``; with ``path`` its files lie there."""
     writer = df.write.mode("overwrite")
+    if path:
+        writer = writer.option("path", path)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.saveAsTable(name)
@@ -116,9 +119,15 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Declared columns in declared order and type; keys keep the type they have.
 
     Warehouses store times as text and whole numbers as decimals. A value that does
-    not fit its declared type fails the job. Columns already in type stay untouched,
-    so pruning and push-down still reach the scan.
+    not fit its declared type fails the job, whether the session is in ANSI mode or not.
+    Columns already in type stay untouched, so pruning and push-down still reach the scan.
     """
+
+    def strictly(column: Column, name: str, kind: DataType) -> Column:
+        value = column.try_cast(kind)
+        message = F.concat(F.lit(f"{name} does not fit {kind.simpleString()}: "), column.cast("string"))
+        return F.when(column.isNull() | value.isNotNull(), value).otherwise(F.raise_error(message).cast(kind))
+
     have = {f.name: f.dataType for f in df.schema.fields}
     columns = []
     for field in schema.fields:
@@ -126,21 +135,14 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
         if kind == field.dataType or field.name.endswith("_id"):
             columns.append(column)
         elif isinstance(kind, StringType) and isinstance(field.dataType, TimestampNTZType):
-            parsed = F.to_timestamp_ntz(column, F.lit(TIMESTAMP_FORMAT))
-            columns.append(parsed.alias(field.name))
+            known = F.when(F.length(column) == len(TIMESTAMP_FORMAT), column).otherwise(F.concat(column, F.lit("?")))
+            columns.append(strictly(known, field.name, field.dataType).alias(field.name))
         else:
-            columns.append(column.cast(field.dataType).alias(field.name))
+            columns.append(strictly(column, field.name, field.dataType).alias(field.name))
     return df.select(*columns)
 
 
-def load_star(read: Reader, cache: bool = False) -> Star:
-    """The star from any reader, with lower-case names and declared types.
-
-    ``cache`` keeps it for many queries of one session; blocks that do not fit in
-    memory go to disk, and blocks lost with an executor are read again.
-    """
-    tables = {}
-    for name, schema in star_schemas().items():
-        df = conform(normalize_columns(read(name)), schema)
-        tables[name] = df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
-    return Star.of(tables)
+def load_star(read: Reader) -> Star:
+    """The star from any reader, with lower-case names and declared types."""
+    schemas = star_schemas().items()
+    return Star.of({name: conform(normalize_columns(read(name)), schema) for name, schema in schemas})

@@ -1,10 +1,10 @@
-"""The star derived once per application and read back as Parquet.
+"""The star written once to the shared folder and read back as Parquet.
 
-Many reports read the same fact. Deriving it costs a shuffle of the largest
-tables, so the first use writes it to the application's part of the shared
-folder and later uses scan that copy, with column pruning, filter push-down and
-exact file sizes for Catalyst's broadcast decision. The copy is on shared
-storage, so a lost executor costs no recomputation.
+Many reports read the same fact. Deriving it costs a shuffle of the largest tables, so
+the first use writes it below the shared folder, at an address made from the source and
+its version; later uses, also of other applications, scan that copy with column pruning,
+filter push-down and exact file sizes for Catalyst's broadcast decision. A lost executor
+costs no recomputation.
 """
 
 from __future__ import annotations
@@ -15,15 +15,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from courierlens.schemas import FACT_ORDERS, star_schemas
-from courierlens.session import application_folder, size_shuffles
+from courierlens.schemas import star_schemas
+from courierlens.session import application_folder, delete_folder, shared_folder
 from courierlens.sources.adapter import SOURCE_TABLES, star_from_tables, table_path
 from courierlens.sources.tables import Star, save_star
 
 _LOCK = threading.Lock()
-_WRITTEN: set[str] = set()
+# versions found by listing, once per application and source
+_VERSIONS: dict[tuple[str, str], str] = {}
 # open copies by folder and session; each holds its session, so the id stays taken
 _OPEN: dict[tuple[str, int], Star] = {}
+# written last: a copy without it is not whole
+_DONE = "_WHOLE"
 
 
 def _source_state(spark: SparkSession, root: str) -> list[tuple[str, int, int, int]]:
@@ -38,13 +41,23 @@ def _source_state(spark: SparkSession, root: str) -> list[tuple[str, int, int, i
     return state
 
 
-def _digest(root: str, state: list[tuple[str, int, int, int]]) -> str:
-    return hashlib.sha256(repr((root, state)).encode()).hexdigest()[:16]
+def source_version(spark: SparkSession, root: str) -> str:
+    """A version from the source's file lists, which are read once per application."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _VERSIONS:
+        _VERSIONS[key] = hashlib.sha256(repr(_source_state(spark, root)).encode()).hexdigest()[:16]
+    return _VERSIONS[key]
 
 
-def fingerprint(spark: SparkSession, root: str) -> str:
-    """Changes when a source table's files, sizes or times do."""
-    return _digest(root, _source_state(spark, root))
+def star_folder(spark: SparkSession, root: str, version: str | None = None) -> str:
+    """Where the copy of ``root`` in this version lies.
+
+    A caller that knows the source's version, say a table snapshot, names it and nothing is
+    listed. Otherwise the file lists stand for it, as they were at the first use.
+    """
+    version = version or source_version(spark, root)
+    name = hashlib.sha256(repr((root, version)).encode()).hexdigest()[:16]
+    return f"{shared_folder(spark)}/courierlens/stars/{name}"
 
 
 def _exists(spark: SparkSession, location: str) -> bool:
@@ -52,21 +65,19 @@ def _exists(spark: SparkSession, location: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def working_star(spark: SparkSession, root: str) -> Star:
-    """The star of ``root``, from its working copy where a shared folder exists.
+def _mark(spark: SparkSession, location: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
 
-    Without a shared folder the lazy plan is returned: slower, same rows.
-    """
-    state = _source_state(spark, root)
-    size_shuffles(spark, sum(size for _, _, size, _ in state))
-    folder = application_folder(spark, "star", _digest(root, state))
-    if folder is None:
-        return star_from_tables(spark, root)
+
+def working_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
+    """The star of ``root`` from its working copy, which the first use writes."""
+    folder = star_folder(spark, root, version)
     key = (folder, id(spark))
     with _LOCK:
-        if folder not in _WRITTEN or not _exists(spark, f"{folder}/{FACT_ORDERS}"):
+        if not _exists(spark, f"{folder}/{_DONE}"):
             save_star(star_from_tables(spark, root), folder)
-            _WRITTEN.add(folder)
+            _mark(spark, f"{folder}/{_DONE}")
             _OPEN.pop(key, None)
         if key not in _OPEN:
             schemas = star_schemas("long")
@@ -76,15 +87,22 @@ def working_star(spark: SparkSession, root: str) -> Star:
         return _OPEN[key]
 
 
+def release_star(spark: SparkSession, root: str, version: str | None = None) -> None:
+    """Delete the working copy, and look at the source again at the next use."""
+    folder = star_folder(spark, root, version)
+    with _LOCK:
+        _OPEN.pop((folder, id(spark)), None)
+        _VERSIONS.pop((spark.sparkContext.applicationId, root), None)
+        delete_folder(spark, folder)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write a frame to the shared folder and continue from there.
+    """Write a frame to this application's folder and continue from there.
 
     Iterative jobs start from the written rows, so neither their lineage nor a lost
-    executor reaches back to the joins. Without a shared folder the frame is returned.
+    executor reaches back to the joins. The rows go with ``release_application_folder``.
     """
     spark = df.sparkSession
     folder = application_folder(spark, "steps", f"{label}-{uuid.uuid4().hex[:12]}")
-    if folder is None:
-        return df
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from courierlens.functions import draws, rules, tiers
-from courierlens.functions.rounding import half_even, half_up, percent, ratio
+from courierlens.functions.rounding import half_even, half_up, ratio, settled
 
 
 def column(spark, values, kind):
@@ -38,21 +38,22 @@ def test_tier_edges(spark, tier, kind, given, expected):
 
 
 def test_the_two_rounding_laws(spark):
-    halves = [0.25, 0.35, 0.45, 2.65, 2.675, -0.25]
-    run = column(spark, halves, "double")
-    assert run(half_up(F.col("v"), 1)) == [0.3, 0.4, 0.5, 2.7, 2.7, -0.3]
-    assert run(half_even(F.col("v"), 1)) == [0.2, 0.4, 0.4, 2.6, 2.7, -0.2]
+    thousandths = [250, 350, 450, 2650, 2675, -250, 449, None]
+    run = column(spark, thousandths, "bigint")
+    n = F.lit(1000)
+    assert run(half_up(F.col("v"), n, 1)) == [0.3, 0.4, 0.5, 2.7, 2.7, -0.3, 0.4, None]
+    assert run(half_even(F.col("v"), n, 1)) == [0.2, 0.4, 0.4, 2.6, 2.7, -0.2, 0.4, None]
+    assert run(half_up(F.col("v"), F.lit(0), 1)) == [None] * 8
 
 
-def test_rounding_forgives_an_ulp(spark):
+def test_real_values_settle_at_nine_places(spark):
     just_below = 116289.49999999999
-    assert column(spark, [just_below], "double")(half_up(F.col("v"), 0)) == [116290.0]
+    assert column(spark, [just_below], "double")(settled(F.col("v"), 0)) == [116290.0]
 
 
 def test_ratio_over_nothing_is_null(spark):
     run = column(spark, [0, 4], "bigint")
     assert run(ratio(F.lit(3), F.col("v"))) == [None, 0.75]
-    assert run(percent(F.lit(3), F.col("v"))) == [None, 75.0]
 
 
 def test_flags(spark):

@@ -16,7 +16,7 @@ def test_whole_flow(spark, built, tmp_path):
     total = built.orders.count()
     assert spark.read.parquet(written["report_overview"]).first()["total_orders"] == total
     assert spark.read.parquet(written["demand_slot_stats"]).first()["slots"] > 0
-    assert len(load_model(written["delay_model"]).stages) == 3
+    assert len(load_model(written["delay_model"]).stages) == 4
     again = run_pipeline(spark, built, str(tmp_path), train_models=False)
     assert spark.read.parquet(again["report_overview"]).first()["total_orders"] == total
 

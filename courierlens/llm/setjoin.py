@@ -327,9 +327,13 @@ def meet_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def parity(values: np.ndarray) -> bytes:
-    """Parities of the set's elements in a power of two of buckets, at least as many as elements."""
-    bits = max(64, 1 << int(len(values) - 1).bit_length())
+def parity(values: np.ndarray, spread: int = 1) -> bytes:
+    """Parities of the set's elements in a power of two of buckets, at least ``spread`` times as many as elements.
+
+    Elements that meet in a bucket hide each other; the more buckets, the closer the number of
+    different parities comes to the number of different elements.
+    """
+    bits = max(64, spread << int(len(values) - 1).bit_length())
     count = np.bincount((values & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
     return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -361,7 +365,9 @@ def close_sets(n: np.ndarray, marks: list[bytes], percent: int) -> Iterator[tupl
             yield int(i), others[fits & (apart <= (n[i] + n[others]) * (100 - percent) // (100 + percent))]
 
 
-INFO = "doc_id long, n_shingles long, set_hash long, set_check long, parity binary"
+INFO = "doc_id long, n_shingles long, set_hash long, set_check long, parity binary, fine binary"
+# buckets per element of the parities that decide within large buckets
+FINE = 4
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -379,8 +385,9 @@ def describe(docs: DataFrame) -> DataFrame:
                         pa.array(sets.sizes),
                         *(pa.array((v[sets.bounds[1:]] - v[sets.bounds[:-1]]).view(np.int64)) for v in (one, two)),
                         pa.array([parity(sets.row(i)) for i in range(b - a)], pa.binary()),
+                        pa.array([parity(sets.row(i), FINE) for i in range(b - a)], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "set_hash", "set_check", "parity"],
+                    names=["doc_id", "n_shingles", "set_hash", "set_check", "parity", "fine"],
                 )
 
     return docs.mapInArrow(run, INFO)
@@ -448,14 +455,16 @@ def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, j: Join) ->
     rows = rows.select("bucket", F.explode(F.arrays_zip("members", "roles")).alias("m"))
     rows = rows.select("bucket", F.col("m.members").alias("doc_id"), F.col("m.roles").alias("role"))
     rows = rows.join(where, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    rows = rows.withColumn("component", F.coalesce("component", "rep"))
-    known = info.select(F.col("doc_id").alias("rep"), "n_shingles", "parity")
-    rows = rows.join(known, "rep").groupBy("bucket", "rep", "component", "role", "n_shingles", "parity").count()
+    # equal sets become one row of a bucket before the join, however many they are
+    rows = rows.select("bucket", "rep", "role", F.coalesce("component", "rep").alias("component")).distinct()
+    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    rows = rows.join(several.where("low <> high").select("bucket"), "bucket", "left_semi")
+    rows = rows.join(info.select(F.col("doc_id").alias("rep"), "n_shingles", "fine"), "rep")
 
     def run(table: pa.Table) -> pa.Table:
         rep, component, role, n = (table.column(c).to_numpy() for c in ("rep", "component", "role", "n_shingles"))
         out = [np.zeros((0, 2), np.int64)]
-        for i, near in close_sets(n, table.column("parity").to_pylist(), j.percent):
+        for i, near in close_sets(n, table.column("fine").to_pylist(), j.percent):
             near = near[(component[near] != component[i]) & meets(np.full(len(near), role[i]), role[near])]
             one = np.full(len(near), rep[i])
             out.append(np.stack([np.minimum(one, rep[near]), np.maximum(one, rep[near])], axis=1))
@@ -490,7 +499,7 @@ def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
     copies = scratch_table(copies.drop("n"), "copies")
     reps = scratch_table(named.join(copies, sets).where("doc_id <> rep").select("doc_id", "rep").distinct(), "reps")
     reps_info = scratch_table(
-        named.join(reps.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_shingles", "parity").distinct(),
+        named.join(reps.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_shingles", "parity", "fine").distinct(),
         "rep-info",
     )
 

@@ -154,12 +154,12 @@ def plan_mix(docs: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
     return slim, scratch_table(plan.select(*LEAF, "quota", "whole", "rest", upto.alias("upto")), "mix-plan")
 
 
-def _epochs(mix: Mix, mark: str) -> Column:
+def _epochs(mix: Mix) -> Column:
     """The epochs in which a row is taken: every whole one, and the next if its key is in the prefix."""
-    whole, rest, upto, row = (F.col(f"{mark}{n}") for n in ("whole", "rest", "upto", "row"))
-    none = F.array().cast("array<int>")
-    last = (rest > 0) & (order_key(mix, whole, row) <= upto)
-    return F.concat(F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(none), F.when(last, F.array(whole)).otherwise(none))
+    whole, none = F.col("whole"), F.array().cast("array<int>")
+    last = (F.col("rest") > 0) & (order_key(mix, whole, F.col("row")) <= F.col("upto"))
+    all_of = F.when(whole > 0, F.sequence(F.lit(0), whole - 1)).otherwise(none)
+    return F.concat(all_of, F.when(last, F.array(whole)).otherwise(none))
 
 
 def mix_documents(docs: DataFrame, mix: Mix) -> DataFrame:
@@ -172,19 +172,20 @@ def mix_documents(docs: DataFrame, mix: Mix) -> DataFrame:
     * Extra columns are ignored; an empty table gives no rows.
     """
     slim, plan = plan_mix(docs, mix)
-    taken = slim.join(plan, LEAF).withColumn("epoch", F.explode(_epochs(mix, "")))
-    return taken.select("doc_id", "epoch", F.col("tokens").alias("n_tokens"), *LEAF, "quota")
+    taken = slim.join(plan, LEAF).withColumn("epoch", F.explode(_epochs(mix)))
+    return taken.select("doc_id", F.col("epoch").cast("long").alias("epoch"), F.col("tokens").alias("n_tokens"), *LEAF, "quota")
 
 
 def mixed_rows(docs: DataFrame, mix: Mix) -> DataFrame:
     """The rows of ``docs`` taken, with all their columns, once per epoch."""
-    names = docs.columns
     _, plan = plan_mix(docs, mix)
-    plan = plan.select(*[F.col(c).alias(f"_{c}") for c in plan.columns])
-    keyed = docs.withColumns({f"_{n}": c for n, c in leaf_columns(mix).items()})
-    keyed = keyed.withColumn("_row", row_key(F.col("doc_id"), F.col("text")))
-    both = keyed.join(plan, [f"_{n}" for n in LEAF])
-    return both.withColumn("_epoch", F.explode(_epochs(mix, "_"))).select(*names)
+    # the row travels as one value, so that none of its columns can clash with the plan's
+    keyed = docs.select(
+        F.struct(*docs.columns).alias("taken_row"),
+        *[c.alias(n) for n, c in leaf_columns(mix).items()],
+        row_key(F.col("doc_id"), F.col("text")).alias("row"),
+    )
+    return keyed.join(plan, LEAF).withColumn("epoch", F.explode(_epochs(mix))).select("taken_row.*")
 
 
 def mix_sql(mix: Mix) -> str:
@@ -242,9 +243,9 @@ plan AS (
 ), runs AS (
   SELECT *, sum(tokens) OVER (PARTITION BY domain, language, origin ORDER BY key) AS run FROM keyed
 ), taken AS (
-  SELECT *, unnest(range(whole))::INT AS epoch FROM runs
+  SELECT *, unnest(range(whole))::BIGINT AS epoch FROM runs
   UNION ALL
-  SELECT *, whole AS epoch FROM runs WHERE run <= rest AND rest > 0
+  SELECT *, whole::BIGINT AS epoch FROM runs WHERE run <= rest AND rest > 0
 )
 SELECT doc_id, epoch, tokens AS n_tokens, domain, language, origin, quota FROM taken
 """

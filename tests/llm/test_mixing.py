@@ -83,10 +83,12 @@ def test_equal_to_sql(spark, documents):
 
 
 def test_rows_keep_their_columns(spark, documents):
-    rows = [(*r, None, "mine") for r in make_rows(60)]
-    table = documents(rows, "doc_id long, text string, lang string, source string, n_chars long, domain string")
+    rows = [(*r, None, "mine", 7, "x") for r in make_rows(60)]
+    extra = "domain string, epoch int, row string"
+    table = documents(rows, f"doc_id long, text string, lang string, source string, n_chars long, {extra}")
     found = mixed_rows(table, MIX)
     assert found.columns == table.columns
+    assert {(r.domain, r.epoch, r.row) for r in found.collect()} == {("mine", 7, "x")}
     slim = mix_documents(table, MIX)
     assert sorted(str(r.doc_id) for r in found.collect()) == sorted(str(r.doc_id) for r in slim.collect())
     assert set(LEAF) <= set(slim.columns)

@@ -20,7 +20,7 @@ from courierlens.llm.setjoin import first_of_each
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 
 # a text is of no known language if no language reaches this mean probability over its bytes
-LEAST_LANGUAGE_SCORE = 0.35
+LEAST_LANGUAGE_SCORE = 0.3
 # each document at most once, so that a sequence never holds a text twice
 PIPELINE_MIX = replace(MIX, epochs=1)
 

@@ -66,7 +66,7 @@ def test_every_stage_and_the_whole(spark, folder, tmp_path):
 
     known = predict_languages(docs, learn_languages(docs)).collect()
     first = stage(spark, 0, docs, folder)
-    assert ids(first) == {r.doc_id for r in known if r.lang_pred != "und" and r.score >= 0.35}
+    assert ids(first) == {r.doc_id for r in known if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_LANGUAGE_SCORE}
     assert {2000, 2001, 2002} & ids(first) == set()
     assert len(ids(first)) >= 0.95 * 480
     first.write.parquet(f"{tmp_path}/0")

@@ -31,7 +31,7 @@ INDEX, INDEX_PROBE, INDEX_PROBE_ONE, INDEX_LESS, PROBE_LESS, PROBE, PROBE_ONE =
 _SALT = np.uint64(0xA0761D6478BD642F)
 # documents of one packed block: their place and role share sixteen bits
 BLOCK_DOCS = 1 << 13
-BLOCK_BYTES = 1 << 24
+BLOCK_BYTES = 1 << 23
 # buckets of up to so many documents give all their pairs; larger ones a star first
 SMALL = 4
 # requests for one copy of a star's centre
@@ -167,10 +167,10 @@ def signatures(sets: Sets, j: Join) -> tuple[np.ndarray, np.ndarray, np.ndarray]
                 less, at = parts.less_one(level == 2)
                 out.append((less, PROBE_LESS, rows[at]))
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint8), np.zeros(0, np.int32)
     hashes = np.concatenate([h for h, _, _ in out])
-    roles = np.concatenate([np.broadcast_to(r, h.shape) for h, r, _ in out])
-    return hashes, roles, np.concatenate([r for _, _, r in out])
+    roles = np.concatenate([np.broadcast_to(r, h.shape).astype(np.uint8) for h, r, _ in out])
+    return hashes, roles, np.concatenate([r.astype(np.int32) for _, _, r in out])
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -210,11 +210,11 @@ def block_batches(batches: Iterator[pa.RecordBatch], j: Join, parts: int) -> Ite
             for at in range(a, b, BLOCK_DOCS):
                 end = min(at + BLOCK_DOCS, b)
                 found = []
-                for c, d in slices(offsets[at : end + 1], 1 << 20):
+                for c, d in slices(offsets[at : end + 1]):
                     c, d = at + c, at + d
                     sets = shingle_sets(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])
                     hashes, roles, rows = signatures(sets, j)
-                    found.append((hashes, roles, rows + c - at))
+                    found.append((hashes, roles, rows + np.int32(c - at)))
                 blocks = list(pack_blocks(ids[at:end], *(np.concatenate(v) for v in zip(*found, strict=True)), parts))
                 if blocks:
                     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
@@ -367,7 +367,7 @@ def close_sets(n: np.ndarray, marks: list[bytes], percent: int) -> Iterator[tupl
 
 INFO = "doc_id long, n_shingles long, set_hash long, set_check long, parity binary, fine binary"
 # buckets per element of the parities that decide within large buckets
-FINE = 4
+FINE = 2
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -450,8 +450,8 @@ def refuted(pairs: DataFrame, info: DataFrame, j: Join) -> DataFrame:
 
 def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, j: Join) -> DataFrame:
     """Candidate pairs of large buckets that lie in different components and are not refuted."""
-    name = F.sha2(F.concat_ws("|", F.array_join("members", ","), F.array_join("roles", ",")), 256)
-    rows = groups.withColumn("bucket", name).dropDuplicates(["bucket"])
+    # two buckets that share a name are searched as one, which only adds candidates
+    rows = groups.withColumn("bucket", F.xxhash64("members", "roles"))
     rows = rows.select("bucket", F.explode(F.arrays_zip("members", "roles")).alias("m"))
     rows = rows.select("bucket", F.col("m.members").alias("doc_id"), F.col("m.roles").alias("role"))
     rows = rows.join(where, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))

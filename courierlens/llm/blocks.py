@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from courierlens.session import application_folder
 
 # bytes of text in one slice
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 SEED = 0x5EED
 
 
@@ -60,25 +60,26 @@ class SpanHasher:
     shifted back by the inverse power of its start, so each byte is touched once.
     """
 
+    #: odd, and 5 modulo 8; one base serves all hashers of a worker, whose byte tables differ
+    BASE = 0x9E3779B97F4A7C15 >> 3 << 3 | 5
+    powers = back = np.ones(1, np.uint64)
+
     def __init__(self, seed: int = SEED) -> None:
         rng = np.random.default_rng(seed)
         self.table = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = (int(rng.integers(1, 2**60)) << 3 | 5) % 2**64
-        self.inverse = pow(self.base, -1, 2**64)
-        self.powers = self.back = np.ones(1, np.uint64)
 
-    def _grow(self, n: int) -> None:
-        while len(self.powers) < n:
-            step = np.uint64(pow(self.base, len(self.powers), 2**64))
-            undo = np.uint64(pow(self.inverse, len(self.back), 2**64))
-            self.powers = np.concatenate([self.powers, self.powers * step])
-            self.back = np.concatenate([self.back, self.back * undo])
+    @classmethod
+    def _grow(cls, n: int) -> None:
+        inverse = pow(cls.BASE, -1, 2**64)
+        while len(cls.powers) < n:
+            step, undo = (np.uint64(pow(b, len(cls.powers), 2**64)) for b in (cls.BASE, inverse))
+            cls.powers, cls.back = np.concatenate([cls.powers, cls.powers * step]), np.concatenate([cls.back, cls.back * undo])
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        self._grow(len(data) + 1)
+        SpanHasher._grow(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.table[data] * self.powers[: len(data)], out=sums[1:])
-        span = (sums[ends] - sums[starts]) * self.back[starts]
+        np.cumsum(self.table[data] * SpanHasher.powers[: len(data)], out=sums[1:])
+        span = (sums[ends] - sums[starts]) * SpanHasher.back[starts]
         return mixed(span + (ends - starts).astype(np.uint64))
 
 

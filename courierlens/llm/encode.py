@@ -22,8 +22,8 @@ from courierlens.llm.wordpiece import byte_alphabet
 SPACE, LETTER, NUMBER, OTHER = range(4)
 # code points below this were assigned, and their classes fixed, long ago
 KNOWN = 0x250
-# distinct pieces kept by one worker: about 40 bytes each
-KEEP = 4_000_000
+# distinct pieces kept by one worker: about 60 bytes each
+KEEP = 1_000_000
 
 
 def _classes() -> np.ndarray:

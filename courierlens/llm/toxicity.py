@@ -133,7 +133,7 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None
                 for own in np.split(pairs, cuts):
                     if len(own):
                         i = int(own[0] >> BITS)
-                        at = np.append(own & ((1 << BITS) - 1), 1 << BITS)
+                        at = np.append(own & ((1 << BITS) - 1), 1 << BITS).astype(np.int32)
                         rows.append((ids[i], at, labels_[i], weights[i]))
         rows.sort(key=lambda r: r[0])
         places, values = fit([r[1:] for r in rows], settings)

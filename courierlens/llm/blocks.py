@@ -22,7 +22,11 @@ SEED = 0x5EED
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes and n + 1 offsets of a string column; a null is empty."""
+    """Bytes and n + 1 offsets of a string column; a null is empty.
+
+    What Arrow freed of earlier batches goes back first: workers live on through many stages.
+    """
+    pa.default_memory_pool().release_unused()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = column.cast(pa.large_string()).fill_null("")

@@ -3,7 +3,8 @@
 A byte-level BPE tokenizer cuts a text into pieces by a fixed pattern and encodes every
 piece on its own. The cutting is done here on whole slices of text; each new distinct
 piece then goes through the library's model, and its ids are kept for the next batches.
-A text with a character outside the ranges whose class is known goes to the library whole.
+A text with a character outside the ranges whose class is known goes to the library whole,
+and so does one that holds the content of an added token, which the library cuts out first.
 """
 
 from __future__ import annotations
@@ -89,15 +90,35 @@ def piece_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return places[starts], places[np.append(starts[1:], n)] if len(starts) else starts, np.searchsorted(starts, row_at)
 
 
+def rows_with(data: np.ndarray, offsets: np.ndarray, contents: list[bytes]) -> np.ndarray:
+    """Rows in which one of the contents stands whole."""
+    raw, found = data.tobytes(), []
+    for content in contents:
+        at = raw.find(content)
+        while at >= 0:
+            row = int(np.searchsorted(offsets, at, side="right")) - 1
+            whole = at + len(content) <= offsets[row + 1]
+            if whole:
+                found.append(row)
+            at = raw.find(content, int(offsets[row + 1]) if whole else at + 1)
+    return np.unique(np.array(found, np.int64))
+
+
 class Encoder:
-    """Ids of texts, with the pieces seen so far kept by two independent 64-bit hashes."""
+    """Ids of texts, with the pieces seen so far kept by two independent 64-bit hashes.
+
+    With ``added``, the library's default, the content of an added token gives that token;
+    without, it is text like any other.
+    """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        self.whole.encode_special_tokens = not added
+        tokens = self.whole.get_added_tokens_decoder().values()
+        self.added = [t.content.encode() for t in tokens if added or not t.special]
         self.model = self.whole.model
         self.spell = {b: c for c, b in byte_alphabet().items()}
         self.one, self.two = SpanHasher(0x1D51), SpanHasher(0x1D52)
@@ -170,7 +191,9 @@ class Encoder:
         for a, b in slices(offsets):
             # leading bytes from here on start code points that are not known
             places = np.flatnonzero(data[offsets[a] : offsets[b]] >= 0xC0 + (KNOWN >> 6)) + offsets[a]
-            strange = np.unique(np.searchsorted(offsets, places, side="right") - 1)
+            strange = np.searchsorted(offsets, places, side="right") - 1
+            holding = rows_with(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], self.added) + a
+            strange = np.unique(np.concatenate([strange, holding]))
             at = a
             # runs of plain rows together, every other row through the library
             for i in [*strange.tolist(), b]:
@@ -187,14 +210,14 @@ class Encoder:
         return np.concatenate([np.zeros(0, np.uint32), *parts]), np.cumsum(sizes)
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, added: bool = False) -> Encoder:
     """This worker's encoder; it lives as long as the worker does."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if (path, added) not in _ENCODERS:
+        _ENCODERS[path, added] = Encoder(path, added)
+    return _ENCODERS[path, added]
 
 
 def closed(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:

@@ -198,7 +198,7 @@ def write_shards(docs: DataFrame, path: str, folder: str, end_id: int = END_ID,
             return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SHARDS.split(", ")])
 
         for batch in batches:
-            found, offsets = closed(*encoder(path).encode(batch.column(1)), end_id)
+            found, offsets = closed(*encoder(path, added=True).encode(batch.column(1)), end_id)
             for name, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 if names and held + b - a > shard_ids:
                     yield out()

@@ -168,7 +168,7 @@ def cut_documents(docs: DataFrame, path: str, capacity: int, end_id: int) -> Dat
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            ids, offsets = closed(*encoder(path).encode(batch.column(1)), end_id)
+            ids, offsets = closed(*encoder(path, added=True).encode(batch.column(1)), end_id)
             rows: list[tuple] = []
             for doc_id, a, b in zip(batch.column(0).to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 start = 0

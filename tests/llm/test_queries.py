@@ -14,6 +14,8 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as contract
 from courierlens.llm.encode import encoder
+from courierlens.llm.grammar import encode_documents
+from courierlens.llm.packing import pack_documents
 from courierlens.llm.queries import LLM_EQUIVALENTS, LLM_QUERIES, vocabulary_file
 
 SMALL = "/root/testdata/sf0.001"
@@ -71,6 +73,20 @@ def test_token_files_equal_the_library(spark):
         at += len(ids)
 
 
+def test_added_tokens_equal_the_library(spark, documents):
+    library = Tokenizer.from_file(vocabulary_file())
+    rng = random.Random(9)
+    parts = ["a", " ", "<|endoftext|>", "<|endof", "text|>", "中", "é", "'s", "\n", "1"]
+    texts = ["a <|endoftext|> b", "<|endof", "text|>", *("".join(rng.choices(parts, k=rng.randint(0, 9))) for _ in range(400))]
+    ids = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert ids[0] == [64, 220, 50256, 275]
+    table = documents(list(enumerate(texts))).repartition(3)
+    found = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in encode_documents(table, vocabulary_file()).collect()}
+    assert found == {i: (len(x) + 1, zlib.crc32(np.array([*x, 2], "<u4").tobytes())) for i, x in enumerate(ids)}
+    packed = {r.doc_id: (r.length, r.ids_crc32) for r in pack_documents(table, vocabulary_file()).collect()}
+    assert packed == {i: (len(x) + 1, zlib.crc32(np.array([*x, 0], "<u4").tobytes())) for i, x in enumerate(ids)}
+
+
 def test_edits_equal_their_definition(spark):
     found = {r.doc_id: r for r in LLM_QUERIES["op6_fingerprints"](spark, SMALL).collect()}
     rows = documents_of(SMALL)

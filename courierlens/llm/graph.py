@@ -2,9 +2,14 @@
 
 Every vector belongs to the shards of its two nearest centroids. Each shard builds pruned
 neighbour lists; the lists of a vector from all its shards are united. Every vector then
-searches its shards: greedily from the nearest medoids, then expanding all that lies in
-range. Links are verified by their cosine in double precision, and the recall of the whole
-is audited against brute force for a bounded set of queries.
+searches the shards that can hold a vector in its range: greedily from the nearest medoids,
+then expanding all that lies in range. A vector counts in its nearest cell only, so each link
+is met once a side. Links are verified by their cosine in double precision, and the recall of
+the whole is audited against brute force for a bounded set of queries.
+
+A vector in range of a query lies within d = sqrt(2 - 2 * threshold) of it; so its nearest
+cell is one whose border with the query's own nearest cell is at most d away. Queries visit
+cells up to a share of d first, and farther ones until the audit is satisfied or d is reached.
 """
 
 from __future__ import annotations
@@ -26,13 +31,19 @@ class Graph:
     """Bounds and widths of the index.
 
     ``sample`` vectors at most fit the centroids; a shard holds ``shard`` index vectors at
-    most on average, and larger cells are split by hash, with their queries in every part.
+    most on average, and larger cells are split by hash. The queries of a cell are split by
+    hash into blocks of ``block``; every block meets every part. ``reaches`` are the shares of
+    the range to which queries leave their cell; the next one follows while the audit is
+    below ``recall``. The last one, the whole range, leaves out no cell that can hold a link.
     """
 
     threshold: float = 0.93
     sample: int = 20_000
     cell: int = 1_000
     shard: int = 2_000
+    block: int = 4_000
+    reaches: tuple[float, ...] = (0.25, 0.5, 1.0)
+    recall: float = 0.95
     near: int = 16
     far: int = 8
     pool: int = 40
@@ -96,49 +107,114 @@ def fit_cells(nodes: DataFrame, g: Graph) -> dict[str, np.ndarray]:
     return cells
 
 
-def nearest_cells(cells: dict[str, np.ndarray], spaces: np.ndarray, vectors: list[np.ndarray]) -> list[list[int]]:
-    """The one or two nearest cells of each vector, nearest first."""
-    out: list[list[int]] = [[0]] * len(spaces)
-    for space in set(spaces.tolist()):
-        centers = cells.get(space)
-        own = np.flatnonzero(spaces == space)
-        if centers is None or len(centers) < 2:
-            continue
-        sims = np.stack([vectors[i] for i in own]) @ centers.T
-        for i, row in zip(own.tolist(), np.argsort(-sims, axis=1, kind="stable")[:, :2].tolist(), strict=True):
-            out[i] = row
+def near_cells(centers: np.ndarray | None, x: np.ndarray, range_: float) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Per unit vector: the cells that can hold a vector within ``range_``, and how far their borders are.
+
+    The nearest cell comes first and the second nearest next, both at no distance.
+    """
+    if centers is None or len(centers) < 2:
+        return [(np.zeros(1, np.int64), np.zeros(1))] * len(x)
+    out = []
+    squares = (centers * centers).sum(axis=1)
+    between = centers @ centers.T
+    for a in range(0, len(x), 1024):
+        sims = x[a : a + 1024] @ centers.T
+        for row in sims:
+            first, second = np.argsort(-row, kind="stable")[:2].tolist()
+            apart = np.sqrt(np.maximum(squares + squares[first] - 2 * between[first], 1e-18))
+            border = np.maximum((row[first] - row) / apart, 0.0)
+            border[[first, second]] = 0.0
+            # a little wider than the range, for rounding
+            able = np.flatnonzero(border <= range_ + 1e-6)
+            able = able[(able != first) & (able != second)]
+            cells = np.concatenate([[first, second], able])
+            out.append((cells, border[cells]))
     return out
 
 
-def shard_members(nodes: DataFrame, cells: dict[str, np.ndarray], g: Graph) -> DataFrame:
-    """Rows (space, cell, part, vec_id, unit, cells, copies, indexed): who is indexed and searched where."""
+def place_vectors(nodes: DataFrame, cells: dict[str, np.ndarray], g: Graph) -> DataFrame:
+    """Rows (space, vec_id, copies, unit, cells, borders): the cells of each vector, as ``near_cells`` gives them."""
     shared = nodes.sparkSession.sparkContext.broadcast(cells)
+    range_ = float(np.sqrt(2 - 2 * g.threshold))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spaces = np.array(batch.column("space").to_pylist(), object)
             units = [unit_rows(np.array([v]))[0] for v in batch.column("embedding").to_pylist()]
-            found = nearest_cells(shared.value, spaces, units)
+            found: list = [None] * len(units)
+            for space in set(spaces.tolist()):
+                own = np.flatnonzero(spaces == space).tolist()
+                near = near_cells(shared.value.get(space), np.stack([units[i] for i in own]), range_)
+                for i, cell in zip(own, near, strict=True):
+                    found[i] = cell
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("space"),
                     batch.column("vec_id"),
                     batch.column("copies"),
                     pa.array(units, pa.list_(pa.float64())),
-                    pa.array(found, pa.list_(pa.int32())),
+                    pa.array([c.astype(np.int32) for c, _ in found], pa.list_(pa.int32())),
+                    pa.array([d / range_ for _, d in found], pa.list_(pa.float64())),
                 ],
-                names=["space", "vec_id", "copies", "unit", "cells"],
+                names=["space", "vec_id", "copies", "unit", "cells", "borders"],
             )
 
-    placed = nodes.select("space", "vec_id", "copies", "embedding").mapInArrow(
-        run, "space string, vec_id long, copies long, unit array<double>, cells array<int>"
+    return nodes.select("space", "vec_id", "copies", "embedding").mapInArrow(
+        run, "space string, vec_id long, copies long, unit array<double>, cells array<int>, borders array<double>"
     )
-    placed = scratch_table(placed, "placed").withColumn("cell", F.explode("cells"))
-    parts = placed.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / g.shard).cast("int").alias("parts"))
-    members = placed.join(parts, ["space", "cell"])
-    members = members.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    home = F.pmod(F.xxhash64("vec_id"), F.col("parts")) == F.col("part")
-    return members.withColumn("indexed", home).drop("parts")
+
+
+def shard_members(placed: DataFrame, g: Graph) -> DataFrame:
+    """Rows (space, cell, part, vec_id, copies, unit, home): each vector in one shard of its two nearest cells."""
+    near = placed.select("space", "vec_id", "copies", "unit", F.posexplode(F.slice("cells", 1, 2)).alias("nth", "cell"))
+    parts = near.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / g.shard).cast("int").alias("parts"))
+    members = near.join(parts, ["space", "cell"])
+    return members.select(
+        "space",
+        "cell",
+        F.pmod(F.xxhash64("vec_id"), F.col("parts")).cast("int").alias("part"),
+        "vec_id",
+        "copies",
+        "unit",
+        (F.col("nth") == 0).alias("home"),
+    )
+
+
+def search_tasks(placed: DataFrame, listed: DataFrame, g: Graph, above: float, reach: float) -> DataFrame:
+    """Rows of groups (space, cell, part, block): a part's members, and a block of the queries that visit its cell.
+
+    Queries are those whose border with the cell lies in (above, reach]; ``around`` is null for them.
+    """
+    routes = placed.select("space", "vec_id", "unit", F.explode(F.arrays_zip("cells", "borders")).alias("c"))
+    border = F.col("c.borders")
+    # the last reach takes what near_cells lets through for rounding
+    far = border <= (reach if reach < 1 else 2.0)
+    routes = routes.where((border > above) & far).select("space", F.col("c.cells").alias("cell"), "vec_id", "unit")
+    blocks = routes.groupBy("space", "cell").agg(F.ceil(F.count(F.lit(1)) / g.block).cast("int").alias("blocks"))
+    parts = listed.groupBy("space", "cell").agg((F.max("part") + 1).alias("parts"))
+    sizes = parts.join(blocks, ["space", "cell"])
+    asked = routes.join(sizes, ["space", "cell"]).select(
+        "space",
+        "cell",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+        F.pmod(F.xxhash64("vec_id", F.lit(1)), F.col("blocks")).cast("int").alias("block"),
+        "vec_id",
+        F.lit(0).cast("long").alias("copies"),
+        "unit",
+        F.lit(None).cast("array<bigint>").alias("around"),
+    )
+    members = listed.join(sizes, ["space", "cell"]).select(
+        "space",
+        "cell",
+        "part",
+        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        "vec_id",
+        # a vector counts in its nearest cell; in the other one it only leads on
+        F.when(F.col("home"), F.col("copies")).otherwise(0).alias("copies"),
+        "unit",
+        "around",
+    )
+    return asked.unionByName(members)
 
 
 def prune(x: np.ndarray, pool: np.ndarray, width: int, alpha: float) -> np.ndarray:
@@ -237,8 +313,13 @@ def search(queries: np.ndarray, x: np.ndarray, lists: np.ndarray, g: Graph) -> n
         done = np.concatenate([done, np.zeros_like(new_ids, bool)], axis=1)
         best = np.argsort(-score, axis=1, kind="stable")[:, : g.beam]
         ids, score, done = (np.take_along_axis(v, best, axis=1) for v in (ids, score, done))
+    # a query whose whole beam is in range reads the shard at once: its links may be most of it
+    hot = (score >= g.threshold).all(axis=1) & (ids >= 0).all(axis=1)
+    for a in range(0, nq, 512):
+        own = a + np.flatnonzero(hot[a : a + 512])
+        hits[own] = queries[own] @ x.T >= g.threshold
     # widen: everything found within the range and a little beyond opens its neighbours
-    close = (score >= g.threshold - g.slack) & (ids >= 0)
+    close = (score >= g.threshold - g.slack) & (ids >= 0) & ~hot[:, None]
     q, node = rows.repeat(close.sum(axis=1)), ids[close]
     while len(q):
         q, node, cosine = expand(q, node)
@@ -265,37 +346,32 @@ LINKS = "vec_id long, links long, root long"
 
 
 def search_shard(table: pa.Table, g: Graph) -> pa.Table:
-    """Per member: the copies it links with here, and the smallest member of its component here.
-
-    Two vectors may share two shards; their link counts in the first cell they share.
-    """
+    """Per vector here: the copies it links with in this part, and the smallest member of its component here."""
     # the smallest id first, so that a component's smallest place is its smallest id
     table = table.sort_by("vec_id")
-    ids, copies = (table.column(c).to_numpy() for c in ("vec_id", "copies"))
-    units, indexed = matrix(table.column("unit")), table.column("indexed").to_numpy(zero_copy_only=False)
-    inside = np.flatnonzero(indexed)
-    if not len(inside):
-        return pa.table({"vec_id": ids, "links": np.zeros(len(ids), np.int64), "root": ids})
-    place = {int(v): i for i, v in enumerate(ids[inside].tolist())}
-    around = table.column("around").to_pylist()
-    own = [[place[v] for v in around[i] if v in place] for i in inside.tolist()]
-    lists = np.full((len(inside), max(1, max(map(len, own)))), -1, np.int64)
-    for i, near in enumerate(own):
-        lists[i, : len(near)] = near
-    hits = search(units, units[inside], lists, g)
-    both = np.ix_(inside, np.arange(len(inside)))
-    hits[both] |= hits[both].T
-    q, x = np.nonzero(hits)
-    x = inside[x]
-    q, x = q[q != x], x[q != x]
-    # both cells of every member; a member of one cell repeats it
-    own_cells = np.array([[c[0], c[-1]] for c in table.column("cells").to_pylist()])
-    here = table.column("cell")[0].as_py()
-    shared = (own_cells[q][:, :, None] == own_cells[x][:, None, :]).any(axis=2)
-    first = np.where(shared, own_cells[q], np.iinfo(np.int64).max).min(axis=1) == here
-    links = np.zeros(len(ids), np.int64)
-    np.add.at(links, q[first], copies[x[first]])
-    return pa.table({"vec_id": ids, "links": links, "root": ids[local_components(len(ids), q, x)]})
+    indexed = table.column("around").combine_chunks().is_valid().to_numpy(zero_copy_only=False)
+    every, units = table.column("vec_id").to_numpy(), matrix(table.column("unit"))
+    inside, asking = np.flatnonzero(indexed), np.flatnonzero(~indexed)
+    ids = np.unique(every)
+    links, label = np.zeros(len(ids), np.int64), np.arange(len(ids))
+    if len(inside) and len(asking):
+        place = {int(v): i for i, v in enumerate(every[inside].tolist())}
+        around = table.column("around").to_pylist()
+        own = [[place[v] for v in around[i] if v in place] for i in inside.tolist()]
+        lists = np.full((len(inside), max(1, max(map(len, own)))), -1, np.int64)
+        for i, near in enumerate(own):
+            lists[i, : len(near)] = near
+        hits = search(units[asking], units[inside], lists, g)
+        q_at, x_at = np.searchsorted(ids, every[asking]), np.searchsorted(ids, every[inside])
+        copies = table.column("copies").to_numpy()[inside]
+        nodes = np.arange(len(ids))
+        for a in range(0, len(asking), 256):
+            q, x = np.nonzero(hits[a : a + 256])
+            q, weight, x = q_at[a + q], copies[x], x_at[x]
+            apart = q != x
+            np.add.at(links, q[apart], weight[apart])
+            label = local_components(len(ids), np.concatenate([q, nodes]), np.concatenate([x, label]))
+    return pa.table({"vec_id": ids, "links": links, "root": ids[label]})
 
 
 def audit_recall(nodes: DataFrame, found: DataFrame, g: Graph) -> float:
@@ -342,12 +418,14 @@ def link_vectors(vectors: DataFrame, g: Graph | None = None) -> DataFrame:
       non-finite vectors, and rows with a null id or label, link with nothing.
     * Exactly equal vectors are one node; its copies count as links and share its component.
     * Repeated ids are one node of the component; each row counts its own vector's links.
-    * A cell of any size is split into bounded shards; every query visits all its parts.
+    * A cell of any size is split into bounded shards, and its queries into bounded blocks;
+      every query visits all parts of its cells. A group may spread over any number of cells.
     * Extra columns are ignored; an empty table gives no rows.
     """
     g = g or Graph()
     nodes = scratch_table(usable(vectors), "nodes")
-    members = scratch_table(shard_members(nodes, fit_cells(nodes, g), g), "members")
+    placed = scratch_table(place_vectors(nodes, fit_cells(nodes, g), g), "placed")
+    members = scratch_table(shard_members(placed, g), "members")
     shard = ["space", "cell", "part"]
 
     def build(table: pa.Table) -> pa.Table:
@@ -366,16 +444,21 @@ def link_vectors(vectors: DataFrame, g: Graph | None = None) -> DataFrame:
             }
         )
 
-    lists = members.where("indexed").groupBy(*shard).applyInArrow(build, "vec_id long, around array<long>")
+    lists = members.groupBy(*shard).applyInArrow(build, "vec_id long, around array<long>")
     # one vector is in two shards, so its united list is at most twice as long
     united = lists.groupBy("vec_id").agg(F.array_distinct(F.flatten(F.collect_list("around"))).alias("around"))
-    asked = members.join(united, "vec_id", "left").withColumn(
-        "around", F.coalesce("around", F.array().cast("array<bigint>"))
-    )
-    found = scratch_table(asked.groupBy(*shard).applyInArrow(lambda t: search_shard(t, g), LINKS), "links")
-    links = found.groupBy("vec_id").agg(F.sum("links").alias("links"))
+    around = F.coalesce("around", F.array().cast("array<bigint>"))
+    listed = scratch_table(members.join(united, "vec_id", "left").withColumn("around", around), "listed")
+    found, above, recall = None, -1.0, 0.0
+    for reach in g.reaches:
+        tasks = search_tasks(placed, listed, g, above, reach).groupBy(*shard, "block")
+        more = scratch_table(tasks.applyInArrow(lambda t: search_shard(t, g), LINKS), "links")
+        found, above = more if found is None else found.unionByName(more), reach
+        links = scratch_table(found.groupBy("vec_id").agg(F.sum("links").alias("links")), "link-counts")
+        recall = audit_recall(nodes, links, g)
+        if recall >= g.recall:
+            break
     roots = connected_components(found.select(F.col("vec_id").alias("a"), F.col("root").alias("b")))
-    recall = audit_recall(nodes, links.join(nodes.select("vec_id", "copies"), "vec_id").select("vec_id", "links"), g)
     group = F.concat_ws("|", F.col("label").cast("string"), F.size("embedding"))
     known = nodes.withColumnsRenamed({"vec_id": "rep"}).select("space", "embedding", "rep", "copies")
     known = known.join(links.withColumnRenamed("vec_id", "rep"), "rep", "left")

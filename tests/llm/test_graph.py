@@ -63,6 +63,24 @@ def test_links_and_components(spark, bounds):
     assert min(r.audited_recall for r in found.values()) >= 0.9
 
 
+def test_a_group_over_many_cells_stays_whole(spark):
+    rng = np.random.default_rng(4)
+    center = rng.standard_normal(32)
+    near = center / np.sqrt(center @ center) + 0.035 * rng.standard_normal((300, 32))
+    x = np.concatenate([near, 0.18 * rng.standard_normal((600, 32))])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    table = spark.createDataFrame([(*r, 5) for r in rows], SCHEMA).repartition(4)
+    # some thirty cells for the group, searched in parts of 20 by blocks of 50
+    found = {r.vec_id: r for r in link_vectors(table, Graph(cell=10, shard=20, block=50)).collect()}
+    wanted = brute(rows)
+    got = sum(found[i].n_links for i in wanted)
+    assert sum(wanted.values()) > 50_000
+    assert all(found[i].n_links <= n for i, n in wanted.items())
+    assert got / sum(wanted.values()) >= 0.95
+    assert {found[i].component_id for i in range(300) if wanted[i]} == {0}
+    assert all(r.audited_recall >= 0.9 for r in found.values())
+
+
 def test_empty_and_null_ids(spark):
     table = spark.createDataFrame([(None, [1.0, 0.0], 1, 0), (None, [1.0, 0.0], 1, 0)], SCHEMA)
     assert [(r.n_links, r.component_id, r.kept) for r in link_vectors(table).collect()] == [(0, None, True)] * 2

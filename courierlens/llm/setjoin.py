@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from courierlens.llm.blocks import flat, mixed, scratch_table, shuffle_partitions, slices
@@ -40,12 +40,17 @@ CHUNK = 256
 
 @dataclass(frozen=True)
 class Join:
-    """The link threshold in percent, the ratio of a band's sizes, and where deletions are indexed."""
+    """The link threshold in percent, the ratio of a band's sizes, and where deletions are indexed.
+
+    A bucket whose centre left more than ``large`` sets open is split before they are compared,
+    and blocks of ``large`` sets are compared with each other.
+    """
 
     percent: int = 75
     ratio: float = 2.0
     tiny: int = 32
     least_part: int = 7
+    large: int = 2048
 
 
 @dataclass(frozen=True)
@@ -448,8 +453,65 @@ def refuted(pairs: DataFrame, info: DataFrame, j: Join) -> DataFrame:
     return both.select(*names, "n_a", "p_a", "n_b", "p_b").mapInArrow(run, pairs.schema).distinct()
 
 
-def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, j: Join) -> DataFrame:
-    """Candidate pairs of large buckets that lie in different components and are not refuted."""
+def elements(texts: DataFrame) -> DataFrame:
+    """One row (rep, element) per shingle of each document's set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = flat(batch.column(1))
+            for a, b in slices(offsets):
+                sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                ids = batch.column(0)[a:b].to_numpy(zero_copy_only=False)
+                values = np.concatenate([sets.row(i) for i in range(b - a)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.repeat(ids, sets.sizes)), pa.array(values.view(np.int64))], names=["rep", "element"]
+                )
+
+    return texts.select("doc_id", "text").mapInArrow(run, "rep long, element long").distinct()
+
+
+def split_large(rows: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
+    """The rows of large buckets by the rare shingles they share, under a new ``bucket``; links stay together.
+
+    Let a bucket's shingles be ordered by how many of its sets hold them. Two sets that link share
+    one of the first n - ceil(n * percent / 100) + 1 of their n shingles; a passage that makes a
+    bucket large comes last.
+    """
+    members = rows.groupBy("bucket", "rep").agg(F.min("n_shingles").alias("n"))
+    wanted = texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    held = scratch_table(members.join(elements(wanted), "rep"), "held")
+    often = held.groupBy("bucket", "element").agg(F.count(F.lit(1)).alias("often"))
+    one = Window.partitionBy("bucket", "rep")
+    ranked = held.join(often, ["bucket", "element"])
+    ranked = ranked.withColumn("nth", F.row_number().over(one.orderBy("often", "element")))
+    ranked = ranked.withColumn("there", F.count(F.lit(1)).over(one))
+    # in whole numbers; an id with several texts keeps the shingles of all
+    first = F.expr(f"n - (n * {j.percent} + 99) div 100 + 1")
+    early = (F.col("nth") <= first) | (F.col("there") != F.col("n"))
+    shared = ranked.where(early & (F.col("often") > 1)).select("bucket", "rep", "element")
+    split = rows.join(shared, ["bucket", "rep"])
+    # two groups that share a name are searched as one, which only adds candidates
+    return split.withColumn("bucket", F.xxhash64("bucket", "element")).select(*rows.columns)
+
+
+def spanning(rows: DataFrame) -> DataFrame:
+    """The rows of buckets that hold more than one component."""
+    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return rows.join(several.where("low <> high").select("bucket"), "bucket", "left_semi")
+
+
+def deal_blocks(rows: DataFrame, j: Join) -> DataFrame:
+    """Rows of groups (bucket, low, high): every two blocks of a bucket, and each with itself, meet in one group."""
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / j.large).cast("int").alias("blocks"))
+    dealt = rows.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return dealt.select(
+        *rows.columns, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+
+
+def open_groups(groups: DataFrame, info: DataFrame, where: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
+    """Rows of large buckets in bounded groups (bucket, low, high), in which all pairs that may link meet."""
     # two buckets that share a name are searched as one, which only adds candidates
     rows = groups.withColumn("bucket", F.xxhash64("members", "roles"))
     rows = rows.select("bucket", F.explode(F.arrays_zip("members", "roles")).alias("m"))
@@ -457,9 +519,19 @@ def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, j: Join) ->
     rows = rows.join(where, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
     # equal sets become one row of a bucket before the join, however many they are
     rows = rows.select("bucket", "rep", "role", F.coalesce("component", "rep").alias("component")).distinct()
-    several = rows.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    rows = rows.join(several.where("low <> high").select("bucket"), "bucket", "left_semi")
-    rows = rows.join(info.select(F.col("doc_id").alias("rep"), "n_shingles", "fine"), "rep")
+    sizes = info.select(F.col("doc_id").alias("rep"), "n_shingles")
+    rows = scratch_table(spanning(rows).join(sizes, "rep"), "open-rows")
+    hot = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > j.large).select("bucket")
+    hot = scratch_table(hot, "hot-buckets")
+    if not hot.isEmpty():
+        split = spanning(split_large(rows.join(hot, "bucket", "left_semi"), texts, j))
+        rows = scratch_table(rows.join(hot, "bucket", "left_anti").unionByName(split), "split-rows")
+    return deal_blocks(rows, j).join(info.select(F.col("doc_id").alias("rep"), "fine"), "rep")
+
+
+def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
+    """Candidate pairs of large buckets that lie in different components and are not refuted."""
+    rows = open_groups(groups, info, where, texts, j)
 
     def run(table: pa.Table) -> pa.Table:
         rep, component, role, n = (table.column(c).to_numpy() for c in ("rep", "component", "role", "n_shingles"))
@@ -471,7 +543,7 @@ def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, j: Join) ->
         pairs = np.unique(np.concatenate(out), axis=0)
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    return rows.groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+    return rows.groupBy("bucket", "low", "high").applyInArrow(run, "a long, b long").distinct()
 
 
 def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
@@ -535,7 +607,7 @@ def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
     where = reps.unionByName(joined.select(F.col("node").alias("doc_id"), F.col("node").alias("rep")))
     where = where.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
     where = scratch_table(where.select("doc_id", "rep", "component"), "where")
-    others = open_pairs(stars.join(failed, "a", "left_semi"), reps_info, where, j)
+    others = open_pairs(stars.join(failed, "a", "left_semi"), reps_info, where, texts, j)
     more = scratch_table(rest.unionByName(others).distinct().join(first, ["a", "b"], "left_anti"), "more")
     late = scratch_table(verify(texts, more, j), "late-links")
     tied = links.unionByName(late).unionByName(copies_links(reps))

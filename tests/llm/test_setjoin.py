@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from courierlens.llm import setjoin
 from courierlens.llm.blocks import flat
 from courierlens.llm.setjoin import (
     Join,
@@ -174,6 +175,35 @@ def test_components_equal_brute_force(spark, documents):
     assert ids == sorted(i for i, c in wanted.items() if i == c)
 
 
+def test_large_buckets_are_split_and_whole(spark, documents, monkeypatch):
+    rng = random.Random(21)
+    word = lambda: rng.choice("abcdefghij") + str(rng.randrange(4000))
+    passage = " ".join(word() for _ in range(90))
+    other = [f"{passage} {' '.join(word() for _ in range(60))}" for _ in range(90)]
+    near = [edited(rng, t, 2) for t in other[:20]]
+    rows = list(enumerate([*other, *near]))
+    groups, dealt = [], setjoin.open_groups
+
+    def seen(*args):
+        out = dealt(*args)
+        groups.extend(r["count"] for r in out.groupBy("bucket", "low", "high").count().collect())
+        return out
+
+    large, split = [], setjoin.split_large
+
+    def before(rows, *args):
+        large.extend(r["count"] for r in rows.groupBy("bucket").count().collect())
+        return split(rows, *args)
+
+    monkeypatch.setattr(setjoin, "open_groups", seen)
+    monkeypatch.setattr(setjoin, "split_large", before)
+    found = link_documents(documents(rows).repartition(4), Join(large=8)).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute(rows)
+    # the passage makes buckets of most rows; sets that share nothing else are never compared
+    assert max(large) > 40
+    assert max(groups, default=0) <= 20
+
+
 def test_empty_tables_and_blank_texts(spark, documents):
     table = documents([(1, None), (2, " "), (3, "")])
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in link_documents(table).collect()) == [

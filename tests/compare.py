@@ -25,7 +25,7 @@ def _rows(names: list[str], rows: list[tuple]) -> list[tuple]:
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
 
 
-_FAMILIES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+_FAMILIES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def differences(df, con: duckdb.DuckDBPyConnection, sql: str) -> list[str]:

@@ -13,6 +13,7 @@ from courierlens.llm.langid import learn_languages, predict_languages
 from courierlens.llm.mixing import Mix, mix_documents, mix_sql
 from courierlens.llm.packing import pack_documents
 from courierlens.llm.setjoin import link_documents
+from courierlens.llm.sharding import shard_documents, shard_sql
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
 from courierlens.llm.wordpiece import byte_pieces, count_tokens
@@ -94,6 +95,10 @@ def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return judge_urls(table(spark, root, "pages"), URL_RULES)
 
 
+def op13_sharding(spark: SparkSession, root: str) -> DataFrame:
+    return shard_documents(table(spark, root, "documents"))
+
+
 LLM_QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_shingle_join": op2_shingle_join,
@@ -105,9 +110,11 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_near_vectors": op8_near_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
+    "op13_sharding": op13_sharding,
 }
 
 LLM_EQUIVALENTS: dict[str, str] = {
     "op5_mixing": mix_sql(MIX),
     "op10_url_filter": judge_sql(URL_RULES),
+    "op13_sharding": shard_sql(),
 }

@@ -31,6 +31,7 @@ COLUMNS = {
     "op8_": ["vec_id", "n_links", "component_id", "kept"],
     "op9_": ["doc_id"],
     "op10_": ["page_id", "host", "path", "rule", "verdict"],
+    "op13_": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
 ROWS = {"op8_": "embeddings", "op10_": "pages"}
 

@@ -12,10 +12,12 @@ from courierlens.llm.graph import link_vectors
 from courierlens.llm.langid import learn_languages, predict_languages
 from courierlens.llm.mixing import Mix, mix_documents, mix_sql
 from courierlens.llm.packing import pack_documents
+from courierlens.llm.prefixtrie import prefix_trie, trie_sql
 from courierlens.llm.setjoin import link_documents
 from courierlens.llm.sharding import shard_documents, shard_sql
 from courierlens.llm.toxicity import learn_toxicity, score_toxicity
 from courierlens.llm.urls import Rule, judge_sql, judge_urls
+from courierlens.llm.vectorcodes import code_vectors, codes_sql
 from courierlens.llm.wordpiece import byte_pieces, count_tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -95,6 +97,14 @@ def op10_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return judge_urls(table(spark, root, "pages"), URL_RULES)
 
 
+def op11_prefix_trie(spark: SparkSession, root: str) -> DataFrame:
+    return prefix_trie(table(spark, root, "conversations"))
+
+
+def op12_vector_codes(spark: SparkSession, root: str) -> DataFrame:
+    return code_vectors(table(spark, root, "embeddings"))
+
+
 def op13_sharding(spark: SparkSession, root: str) -> DataFrame:
     return shard_documents(table(spark, root, "documents"))
 
@@ -110,11 +120,15 @@ LLM_QUERIES: dict[str, Query] = {
     "op8_near_vectors": op8_near_vectors,
     "op9_token_counts": op9_token_counts,
     "op10_url_filter": op10_url_filter,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_vector_codes": op12_vector_codes,
     "op13_sharding": op13_sharding,
 }
 
 LLM_EQUIVALENTS: dict[str, str] = {
     "op5_mixing": mix_sql(MIX),
     "op10_url_filter": judge_sql(URL_RULES),
+    "op11_prefix_trie": trie_sql(),
+    "op12_vector_codes": codes_sql(),
     "op13_sharding": shard_sql(),
 }

@@ -31,9 +31,11 @@ COLUMNS = {
     "op8_": ["vec_id", "n_links", "component_id", "kept"],
     "op9_": ["doc_id"],
     "op10_": ["page_id", "host", "path", "rule", "verdict"],
+    "op11_": ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"],
+    "op12_": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
     "op13_": ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"],
 }
-ROWS = {"op8_": "embeddings", "op10_": "pages"}
+ROWS = {"op8_": "embeddings", "op10_": "pages", "op12_": "embeddings"}
 
 
 def rows_of(folder, table):
@@ -51,7 +53,7 @@ def test_rows_and_columns(spark, name):
     prefix = name.split("_")[0] + "_"
     found = LLM_QUERIES[name](spark, SMALL)
     assert found.columns[: len(COLUMNS[prefix])] == COLUMNS[prefix]
-    if prefix not in ("op5_", "op7_"):
+    if prefix not in ("op5_", "op7_", "op11_"):
         assert found.count() == rows_of(SMALL, ROWS.get(prefix, "documents"))
 
 

@@ -359,6 +359,106 @@ cells AS (
 
 _BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
+_TREE_FEATURES = ["district_enc", "hour_of_day", "day_enc", "weather_enc", "traffic_enc"]
+_SCENARIOS = """
+  SELECT district, [20, 20, 13, 13, 21][place]::BIGINT AS hour_of_day, 'Thursday' AS day_of_week,
+         'clear' AS weather, 'heavy' AS traffic_level
+  FROM (SELECT district, row_number() OVER (ORDER BY count(*) DESC, district) AS place
+        FROM fact_orders GROUP BY district) WHERE place <= 5
+  UNION ALL SELECT 'no such district', 20, 'Thursday', 'clear', 'heavy'"""
+
+
+def _boosted(rounds: int, depth: int, rate: float, least: int) -> str:
+    """Regression trees over the training slots, grown level by level; every step is a table.
+
+    Round after round: rows are summed per node, feature and value; values are put in order
+    (hours as they are, labels by their mean); the cut with the largest drop in variance
+    wins, ties going to the first feature and value; rows move to their side. Each later
+    tree learns twice the error that is left and counts ``rate``.
+    """
+    steps = [
+        f"""
+base AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, split, order_count, {_SLOT_KEYS} FROM split_slots
+  UNION ALL
+  SELECT -row_number() OVER (), 'scenario', NULL, district, hour_of_day, day_of_week, NULL, weather, traffic_level
+  FROM ({_SCENARIOS})
+),
+parts AS MATERIALIZED (
+  SELECT rid, split, unnest([0, 1, 2, 3, 4]) AS f,
+         unnest([district, lpad(hour_of_day::VARCHAR, 2, '0'), day_of_week, weather, traffic_level]) AS v
+  FROM base
+),
+hours AS MATERIALIZED (
+  SELECT v, (v::DOUBLE + lead(v::DOUBLE) OVER (ORDER BY v)) / 2 AS midpoint
+  FROM (SELECT DISTINCT v FROM parts WHERE f = 1 AND split = 'train')
+),
+pred0 AS MATERIALIZED (SELECT rid, 0.0::DOUBLE AS p FROM base)"""
+    ]
+    nodes = []
+    for r in range(rounds):
+        goal = "order_count::DOUBLE" if r == 0 else "2 * (order_count - p)"
+        steps.append(f"""
+goal{r} AS MATERIALIZED (
+  SELECT rid, {goal} AS t FROM base JOIN pred{r} USING (rid) WHERE split = 'train'
+),
+at{r}_0 AS MATERIALIZED (SELECT rid, 1::BIGINT AS node FROM base)""")
+        for d in range(depth):
+            steps.append(f"""
+ordered{r}_{d} AS MATERIALIZED (
+  SELECT *, row_number() OVER w AS place, sum(n) OVER w AS ln, sum(s) OVER w AS ls, sum(q) OVER w AS lq,
+         sum(n) OVER (PARTITION BY node, f) AS n_all, sum(s) OVER (PARTITION BY node, f) AS s_all,
+         sum(q) OVER (PARTITION BY node, f) AS q_all
+  FROM (SELECT node, f, v, count(*) AS n, sum(t) AS s, sum(t * t) AS q
+        FROM at{r}_{d} JOIN goal{r} USING (rid) JOIN parts USING (rid)
+        WHERE node >= {2**d} GROUP BY node, f, v)
+  WINDOW w AS (PARTITION BY node, f ORDER BY CASE WHEN f = 1 THEN 0 ELSE s / n END, v ROWS UNBOUNDED PRECEDING)
+),
+best{r}_{d} AS MATERIALIZED (
+  SELECT *
+  FROM (SELECT node, f, v, place, (q_all - s_all * s_all / n_all) / n_all - (lq - ls * ls / ln) / n_all
+               - ((q_all - lq) - (s_all - ls) * (s_all - ls) / (n_all - ln)) / n_all AS gain
+        FROM ordered{r}_{d} WHERE ln >= {least} AND n_all - ln >= {least})
+  WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY round(gain, 9) DESC, f, place) = 1
+),
+left{r}_{d} AS MATERIALIZED (
+  SELECT o.node, o.f, o.v FROM ordered{r}_{d} o JOIN best{r}_{d} b ON o.node = b.node AND o.f = b.f AND o.place <= b.place
+),
+at{r}_{d + 1} AS MATERIALIZED (
+  SELECT a.rid, CASE WHEN b.node IS NULL THEN a.node
+                     WHEN CASE WHEN b.f = 1 THEN p.v <= b.v ELSE l.v IS NOT NULL END THEN 2 * a.node
+                     ELSE 2 * a.node + 1 END AS node
+  FROM at{r}_{d} a LEFT JOIN best{r}_{d} b USING (node) LEFT JOIN parts p ON p.rid = a.rid AND p.f = b.f
+       LEFT JOIN left{r}_{d} l ON l.node = a.node AND l.f = p.f AND l.v = p.v
+)""")
+            nodes.append(f"""
+  SELECT {r} AS tree, node, any_value(feature) AS feature, any_value(threshold) AS threshold,
+         any_value(left_labels) AS left_labels, any_value(gain) AS gain, count(*) AS n_rows, avg(t) AS value
+  FROM at{r}_{d} JOIN goal{r} USING (rid) LEFT JOIN (
+    SELECT b.node, {_TREE_FEATURES}[b.f + 1] AS feature, any_value(CASE WHEN b.f = 1 THEN midpoint END) AS threshold,
+           string_agg(CASE WHEN b.f <> 1 THEN l.v END, '|' ORDER BY l.v) AS left_labels, any_value(gain) AS gain
+    FROM best{r}_{d} b JOIN left{r}_{d} l USING (node) LEFT JOIN hours h ON b.f = 1 AND b.v = h.v GROUP BY b.node, b.f
+  ) USING (node) WHERE node >= {2**d} GROUP BY node""")
+        nodes.append(f"""
+  SELECT {r}, node, NULL, NULL, NULL, NULL, count(*), avg(t)
+  FROM at{r}_{depth} JOIN goal{r} USING (rid) WHERE node >= {2**depth} GROUP BY node""")
+        share = 1.0 if r == 0 else rate
+        steps.append(f"""
+pred{r + 1} AS MATERIALIZED (
+  SELECT rid, p + {share}::DOUBLE * value AS p
+  FROM pred{r} JOIN at{r}_{depth} USING (rid)
+       JOIN (SELECT node, avg(t) AS value FROM at{r}_{depth} JOIN goal{r} USING (rid) GROUP BY node) USING (node)
+)""")
+    steps.append(f"""
+nodes AS MATERIALIZED ({" UNION ALL ".join(nodes)}
+),
+scored AS (SELECT base.*, p FROM base JOIN pred{rounds} USING (rid))""")
+    return ",".join(steps)
+
+
+_SMALL = f"{_SLOTS},{_boosted(rounds=3, depth=3, rate=0.1, least=20)}"
+
 EQUIVALENTS: dict[str, str] = {
     "stg_orders": _star(f"SELECT *, {_SPEED}, {_SEGMENT} FROM ({_ORDERS_AS_TEXT})"),
     "stg_captains": _star(f"SELECT *, {_TIER} FROM dim_captains"),
@@ -472,6 +572,11 @@ FROM fact_orders GROUP BY district, weather ORDER BY district, weather"""),
         + f""" FROM (SELECT district, weather, {_even(*_MEAN_RATE, 1)} AS delay_rate
        FROM fact_orders GROUP BY district, weather) GROUP BY weather ORDER BY weather"""
     ),
+    "dash_district_weather_map": _star(f"""
+SELECT weather, count(*) AS districts,
+       string_agg(district || '=' || coalesce(delay_rate::VARCHAR, 'none'), ', ' ORDER BY district) AS rates
+FROM (SELECT district, weather, {_even(*_MEAN_RATE, 1)} AS delay_rate FROM fact_orders GROUP BY district, weather)
+GROUP BY weather"""),
     "dash_hour_district": _star("""
 SELECT hour_of_day, district, count(*) AS orders FROM fact_orders
 GROUP BY hour_of_day, district ORDER BY hour_of_day, district"""),
@@ -487,6 +592,12 @@ SELECT strftime(date_trunc('hour', order_time), '%Y-%m-%d %H:%M:%S') AS window_s
        district || ' — ' || format('{:,}', count(*)) || ' delayed orders detected' AS alert
 FROM fact_orders WHERE is_delayed = 1
 GROUP BY date_trunc('hour', order_time), district"""),
+    "raised_alerts": _star("""
+SELECT strftime(make_timestamp(start * 604800000000), '%Y-%m-%d %H:%M:%S') AS window_start, district,
+       raised_at, district || ' — ' || format('{:,}', raised_at) || ' delayed orders detected' AS alert
+FROM (SELECT start, district, unnest(list_filter([2 * (1::BIGINT << k) FOR k IN range(40)], lambda b: b <= n)) AS raised_at
+      FROM (SELECT epoch(order_time)::BIGINT // 604800 AS start, district, count(*) AS n
+            FROM fact_orders WHERE is_delayed = 1 GROUP BY ALL))"""),
     "dq_results": _star(
         "\nUNION ALL ".join(
             [
@@ -513,6 +624,24 @@ GROUP BY date_trunc('hour', order_time), district"""),
             _dq_unique("part", "p_name"),
         ]
     ),
+    "dq_rejected_rows": """
+SELECT table_name, row_id, tests FROM (
+  SELECT 'lineitem' AS table_name, l_orderkey || '|' || l_linenumber AS row_id, concat_ws(', ',
+         CASE WHEN l_orderkey IS NOT NULL AND count(*) OVER (PARTITION BY l_orderkey) > 1 THEN 'l_orderkey unique' END,
+         CASE WHEN l_suppkey IS NULL THEN 'l_suppkey not_null' END,
+         CASE WHEN l_returnflag NOT IN ('A') THEN 'l_returnflag accepted_values' END) AS tests
+  FROM lineitem
+  UNION ALL
+  SELECT 'orders', o_orderkey::VARCHAR, concat_ws(', ',
+         CASE WHEN o_orderkey IS NOT NULL AND count(*) OVER (PARTITION BY o_orderkey) > 1 THEN 'o_orderkey unique' END,
+         CASE WHEN o_custkey IS NOT NULL AND count(*) OVER (PARTITION BY o_custkey) > 1 THEN 'o_custkey unique' END,
+         CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN 'o_orderpriority accepted_values' END)
+  FROM orders
+  UNION ALL
+  SELECT 'part', p_partkey::VARCHAR, concat_ws(', ', CASE WHEN p_name IS NULL THEN 'p_name not_null' END,
+         CASE WHEN p_name IS NOT NULL AND count(*) OVER (PARTITION BY p_name) > 1 THEN 'p_name unique' END)
+  FROM part
+) WHERE tests <> ''""",
     "peak_flags": _star(f"""
 SELECT order_id, {_TIME_TEXT}, CAST(extract(hour FROM f.order_time) AS BIGINT) AS hour_of_day,
        dayname(f.order_time) AS day_of_week,
@@ -593,6 +722,36 @@ SELECT district, [20, 20, 13, 13, 21][place]::BIGINT AS hour_of_day, 'Thursday'
 FROM (SELECT district, row_number() OVER (ORDER BY count(*) DESC, district) AS place
       FROM fact_orders GROUP BY district) WHERE place <= 5
 UNION ALL SELECT 'no such district', 20, 'Thursday', 'clear', 'heavy', 0"""),
+    "ml_small_demand_trees": _star(
+        f"""
+SELECT tree, node, feature, threshold, left_labels, {_settled("gain", 6)} AS gain, n_rows, {_settled("value", 6)} AS value
+FROM nodes""",
+        _SMALL,
+    ),
+    "ml_small_demand_scores": _star(
+        f"SELECT {_SLOT_KEYS}, order_count, {_settled('p', 6)} AS score FROM scored WHERE split = 'test'", _SMALL
+    ),
+    "ml_small_demand_metrics": _star(
+        f"""
+SELECT count(*) AS n, {_settled("avg(abs(order_count - p))", 4)} AS mae,
+       {_settled("sqrt(avg((order_count - p) * (order_count - p)))", 4)} AS rmse,
+       {_settled("avg(CASE WHEN order_count > 0 THEN abs(order_count - p) / order_count END) * 100.0::DOUBLE", 4)} AS mape_pct
+FROM scored WHERE split = 'test'""",
+        _SMALL,
+    ),
+    "ml_small_demand_importance": _star(
+        f"""
+SELECT feature, {_settled("sum(gain * n_rows) / (SELECT sum(gain * n_rows) FROM nodes)", 6)} AS importance
+FROM nodes WHERE feature IS NOT NULL GROUP BY feature""",
+        _SMALL,
+    ),
+    "ml_small_demand_scenarios": _star(
+        """
+SELECT district, hour_of_day, day_of_week, weather, traffic_level,
+       CASE WHEN district IN (SELECT district FROM slots) THEN round_even(p, 0) END AS predicted_orders
+FROM scored WHERE split = 'scenario'""",
+        _SMALL,
+    ),
     "ml_features": _star(
         """
 SELECT order_id, hour_of_day, is_peak_hour, order_value_sar, captain_rating, captain_speed,
@@ -635,6 +794,27 @@ SELECT tn, fp, fn, tp, {_up("(tp + tn)", "(tp + tn + fp + fn)", 4)} AS accuracy,
 FROM cells""",
         _RULE_CELLS,
     ),
+    "ml_permutation_on_rule": _star(
+        """
+SELECT feature, count(*) AS n_rows, CAST(sum(CASE WHEN a.is_delayed <> a.is_peak_hour THEN 1 ELSE 0 END) AS BIGINT) AS base_loss,
+       CAST(sum(CASE WHEN a.is_delayed <> CASE WHEN feature = 'is_peak_hour' THEN b.is_peak_hour ELSE a.is_peak_hour END
+                THEN 1 ELSE 0 END) AS BIGINT) AS permuted_loss
+FROM placed a, (VALUES ('is_peak_hour', 1), ('weather', 2), ('traffic_level', 3)) f(feature, step)
+     JOIN placed b ON b.bucket = a.bucket AND b.place = (a.place + step) % a.size
+GROUP BY feature""",
+        """
+hashed AS (
+  SELECT order_id, is_delayed, is_peak_hour, md5(order_id || ':42') AS h,
+         greatest(1, ceil((SELECT count(*) FROM fact_orders) / 4096.0))::BIGINT AS buckets
+  FROM fact_orders
+),
+bucketed AS (SELECT *, ('0x' || substr(h, 1, 8))::BIGINT % buckets AS bucket FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h, order_id) - 1 AS place,
+         count(*) OVER (PARTITION BY bucket) AS size
+  FROM bucketed
+)""",
+    ),
     "landed_orders": _star(_ORDERS_AS_TEXT),
     "landed_captains": _star("SELECT * FROM dim_captains"),
     "landed_restaurants": _star("SELECT * FROM dim_restaurants"),
@@ -652,6 +832,15 @@ SELECT count(*) AS total_orders,
 FROM built_orders""",
 }
 
+# incrementally folded tables have the rows of those built at once
+for _name, _same in {
+    "refreshed_captain_mart": "mart_captain_performance",
+    "refreshed_zone_mart": "mart_zone_analysis",
+    "refreshed_demand_slots": "demand_slots",
+    "refreshed_slowest_restaurants": "report_slowest_restaurants",
+}.items():
+    EQUIVALENTS[_name] = EQUIVALENTS[_same]
+
 # the products of the whole flow that are the rows of a query above, and the others by their own count
 _FLOW = {
     name: f"({EQUIVALENTS[name]})"

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexerModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,58 +24,37 @@ def code_table(df: DataFrame, column: str) -> DataFrame:
     return placed.select("label", (F.col("offset") + F.col("place") - 1).cast("long").alias("code"))
 
 
-def encode_columns(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
-    """``df`` with a code column per label column, by joins with the code tables of its own rows.
+def attach_codes(
+    df: DataFrame, tables: dict[str, DataFrame], outputs: dict[str, str], strict: bool = True
+) -> DataFrame:
+    """``df`` with a code column per label column, joined from tables (label, code).
 
-    A NULL label is an error, as it is for the learner's encoder.
+    A NULL and a label that its table does not hold are errors, or else have a NULL code.
     """
 
     def add(rows: DataFrame, names: tuple[str, str]) -> DataFrame:
         column, output = names
-        codes = code_table(df, column).select(F.col("label").alias(column), F.col("code").alias(output))
-        found = F.when(F.col(output).isNotNull(), F.col(output)).otherwise(
-            F.raise_error(F.lit(f"NULL value in {column}")).cast("long")
+        codes = tables[column].select(F.col("label").alias(column), F.col("code").alias(output))
+        joined = rows.join(codes, column, "left")
+        if not strict:
+            return joined
+        missing = F.when(F.col(column).isNull(), F.lit(f"NULL value in {column}")).otherwise(
+            F.concat(F.lit(f"Unseen label in {column}: "), F.col(column).cast("string"))
         )
-        return rows.join(codes, column, "left").withColumn(output, found)
+        found = F.when(F.col(output).isNotNull(), F.col(output)).otherwise(F.raise_error(missing).cast("long"))
+        return joined.withColumn(output, found)
 
     return reduce(add, outputs.items(), df)
 
 
-def vocabularies(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct labels per column, as a saved model has to hold them.
+def encode_columns(df: DataFrame, outputs: dict[str, str]) -> DataFrame:
+    """``df`` with a code column per label column, by joins with the code tables of its own rows.
 
-    Rows shrink to distinct combinations on the map side before they are spread
-    over columns, so the rows are read once.
+    A NULL label is an error, as it is for the learner's encoder.
     """
-    combos = df.select(*columns).distinct()
-    pairs = combos.select(
-        F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("label")) for c in columns]))
-    )
-    labels = pairs.filter(F.col("label").isNotNull()).distinct()
-    found: dict[str, list[str]] = {c: [] for c in columns}
-    for row in labels.toLocalIterator():
-        found[row["name"]].append(row["label"])
-    for values in found.values():
-        values.sort()
-    return found
-
-
-def label_encoder(labels: dict[str, list[str]], outputs: dict[str, str]) -> PipelineModel:
-    """A ready stage over known vocabularies: one indexer per column, each with its own number of labels."""
-    return PipelineModel(
-        [
-            StringIndexerModel.from_labels(labels[c], inputCol=c, outputCol=code, handleInvalid="error")
-            for c, code in outputs.items()
-        ]
-    )
-
-
-def plain_numbers(columns: list[str]) -> SQLTransformer:
-    """A stage that lets a tree learner see these codes as numbers, not as categories."""
-    kept = ", ".join(f"double({c}) + 0.0D AS {c}_number" for c in columns)
-    return SQLTransformer(statement=f"SELECT *{', ' + kept if kept else ''} FROM __THIS__")
-
-
-def known_labels(wanted: DataFrame, column: str, labels: list[str]) -> DataFrame:
-    """Keep the rows whose label was seen when the encoder was built."""
-    return wanted.filter(F.col(column).isin(labels))
+    return attach_codes(df, {c: code_table(df, c) for c in outputs}, outputs)
+
+
+def known_labels(wanted: DataFrame, column: str, table: DataFrame) -> DataFrame:
+    """Keep the rows whose label is in a table (label, code)."""
+    return wanted.join(table.select(F.col("label").alias(column)), column, "left_semi")

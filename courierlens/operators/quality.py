@@ -83,3 +83,38 @@ def run_tests(tables: dict[str, DataFrame], tests: list[ColumnTest]) -> DataFram
             results.append(_row_tests(df, per_row))
         results += [_unique_test(df, t) for t in mine if t.kind == "unique"]
     return reduce(DataFrame.unionByName, results)
+
+
+def broken_tests(df: DataFrame, tests: list[ColumnTest], name: str = "broken") -> DataFrame:
+    """``df`` with the names of the tests that each row breaks, in the order of ``tests``.
+
+    A row breaks ``unique`` if its value is in several rows; those values are found by one
+    aggregate per test and joined back, one row each, however many rows have them.
+    """
+    found, flags = df, []
+    for i, test in enumerate(tests):
+        value, label = F.col(test.column), F.lit(f"{test.column} {test.kind}")
+        if test.kind == "not_null":
+            broken = value.isNull()
+        elif test.kind == "accepted_values":
+            broken = value.isNotNull() & ~value.isin(list(test.accepted))
+        else:
+            counted = df.where(value.isNotNull()).groupBy(test.column).agg(F.count(F.lit(1)).alias("n"))
+            repeated = counted.where("n > 1").select(test.column, F.lit(True).alias(f"_repeated{i}"))
+            found = found.join(repeated, test.column, "left")
+            broken = F.col(f"_repeated{i}").isNotNull()
+        flags.append(F.when(broken, label))
+    marked = F.array_compact(F.array(*flags)) if flags else F.array().cast("array<string>")
+    return found.select(*df.columns, marked.alias(name))
+
+
+def quarantine(df: DataFrame, tests: list[ColumnTest], path: str) -> tuple[DataFrame, DataFrame]:
+    """Write accepted and rejected rows apart in one pass, and read both back.
+
+    Rejected rows keep the names of the tests they break.
+    """
+    marked = broken_tests(df, tests)
+    marked.withColumn("rejected", (F.size("broken") > 0).cast("int")).write.mode("overwrite").partitionBy("rejected").parquet(path)
+    written = df.sparkSession.read.parquet(path)
+    accepted = written.where("rejected = 0").select(*df.columns)
+    return accepted, written.where("rejected = 1").select(*df.columns, "broken")

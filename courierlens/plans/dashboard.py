@@ -175,6 +175,25 @@ def district_weather_wide(orders: DataFrame, districts: list[str] | None = None)
     return finish(grid, order=("weather",))
 
 
+def district_weather_map(orders: DataFrame) -> DataFrame:
+    """The heat map with one row per weather: a sorted map of district to rate.
+
+    Nothing is looked up on the driver and no column is made per district, so there may be
+    as many districts as fit a row. ``map_columns`` spreads a few of them over columns.
+    """
+    long_form = summarize(
+        orders, ["district", "weather"], [m.mean_delay_rate("delay_rate", law=_EVEN)], known_keys_only=True
+    )
+    rates = F.sort_array(F.collect_list(F.struct("district", "delay_rate")))
+    grid = long_form.groupBy("weather").agg(F.map_from_entries(rates).alias("rates"))
+    return finish(grid, order=("weather",))
+
+
+def map_columns(grid: DataFrame, districts: list[str]) -> DataFrame:
+    """Declared districts of ``district_weather_map`` as columns; one without orders is NULL."""
+    return grid.select("weather", *[F.try_element_at("rates", F.lit(d)).alias(d) for d in districts])
+
+
 def hour_district(orders: DataFrame) -> DataFrame:
     return summarize(
         orders,

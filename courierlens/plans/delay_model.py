@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlens.functions.rounding import settled
-from courierlens.operators.encode import encode_columns, label_encoder, plain_numbers, vocabularies
+from courierlens.operators.boosting import BoostedTrees, Encoding, label_tables
+from courierlens.operators.encode import encode_columns
 from courierlens.operators.metrics import classification_metrics
 from courierlens.operators.split import stratified_split
 from courierlens.session import ensure_checkpointing
@@ -43,10 +41,6 @@ FEATURES = [
 ]
 # fixed learner settings
 ROUNDS, DEPTH, STEP, ROW_SHARE, SEED = 200, 6, 0.1, 0.8, 42
-# a column with more labels is a plain number to the trees, as all codes are in the usual libraries
-CATEGORIES = 256
-# rows one task of a boosting round answers for
-ROWS_PER_TASK = 20_000
 
 
 def training_rows(star: Star, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -87,25 +81,9 @@ def encoded_features(rows: DataFrame) -> DataFrame:
     return encode_columns(rows, CODES).select("order_id", *FEATURES, LABEL)
 
 
-def inputs(features: list[str], codes: dict[str, str], labels: dict[str, list[str]]) -> tuple[list[str], list[str]]:
-    """Codes of more labels than a tree takes as categories, and the learner's columns with these as numbers."""
-    wide = [code for column, code in codes.items() if len(labels[column]) > CATEGORIES]
-    return wide, [f"{name}_number" if name in wide else name for name in features]
-
-
-def bins(labels: dict[str, list[str]]) -> int:
-    """Enough bins for every categorical column, and for the numbers at least the learner's default."""
-    return max(32, *[len(v) for v in labels.values() if len(v) <= CATEGORIES])
-
-
-def training_tasks(rows: DataFrame) -> DataFrame:
-    """The rows in as many tasks as their number asks for: every boosting round runs all of them several times."""
-    return rows.repartition(max(1, ceil(rows.count() / ROWS_PER_TASK)))
-
-
 @dataclass(frozen=True)
 class DelayRun:
-    model: PipelineModel
+    model: BoostedTrees
     rows: DataFrame  # all rows with their split
     scored: DataFrame  # test rows with predictions
 
@@ -122,20 +100,21 @@ def train(
 ) -> DelayRun:
     """Weight the classes, hold out a fifth of each, boost trees on the rest.
 
-    The class ratio and the label lists come from all joined rows. ``extra_features`` are
+    The class ratio and the label tables come from all joined rows. ``extra_features`` are
     numeric order columns to learn from as well; ``prep_time_min`` is known once the
     kitchen is done and is the strongest of them.
     """
     spark = star.orders.sparkSession
     ensure_checkpointing(spark)
     rows = materialize(training_rows(star, extra_features), "delay-rows")
-    labels = vocabularies(rows, list(CODES))
+    features = [*FEATURES, *extra_features]
+    encoding = Encoding.of(label_tables(rows, list(CODES)), CODES, features)
     late, timely = rows.agg(F.count_if(F.col(LABEL) == 1), F.count_if(F.col(LABEL) == 0)).first()
     if not late or not timely:
         raise ValueError("the delay model needs both late and timely orders to learn from")
     rows = materialize(stratified_split(rows, "order_id", LABEL, SEED), "delay-split")
     weight = F.when(F.col(LABEL) == 1, F.lit(timely / late)).otherwise(F.lit(1.0))
-    training = training_tasks(rows.filter("split = 'train'").withColumn("weight", weight))
+    training = rows.filter("split = 'train'").withColumn("weight", weight)
     learner = GBTClassifier(
         labelCol=LABEL,
         featuresCol="features",
@@ -145,25 +124,21 @@ def train(
         stepSize=STEP,
         subsamplingRate=ROW_SHARE,
         seed=SEED,
-        maxBins=bins(labels),
         checkpointInterval=10,
     )
-    wide, names = inputs([*FEATURES, *extra_features], CODES, labels)
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    stages = [label_encoder(labels, CODES), plain_numbers(wide), assembler, learner]
-    model = Pipeline(stages=stages).fit(training)
+    model = BoostedTrees.fit(learner, training, encoding)
     return DelayRun(model, rows, model.transform(rows.filter("split = 'test'")))
 
 
 def importances(
-    spark: SparkSession, model: PipelineModel, k: int | None = None, digits: int | None = 3
+    spark: SparkSession, model: BoostedTrees, k: int | None = None, digits: int | None = 3
 ) -> DataFrame:
     """Features by importance, highest first; at most one row per feature.
 
     The order is that of the scores themselves; they are rounded for display after it.
     """
-    names = [n.removesuffix("_number") for n in model.stages[2].getInputCols()]
-    scores = model.stages[-1].featureImportances.toArray()
+    names = model.encoding.features
+    scores = model.learner.featureImportances.toArray()
     rows = spark.createDataFrame(
         [(n, float(s)) for n, s in zip(names, scores)], "feature string, importance double"
     )
@@ -172,10 +147,10 @@ def importances(
     return ranked if digits is None else ranked.withColumn("importance", settled(F.col("importance"), digits))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """Encoder, feature list and trees in one folder, replacing what is there."""
-    model.write().overwrite().save(path)
+def save_model(model: BoostedTrees, path: str) -> None:
+    """Label tables, feature list and trees in one folder, replacing what is there."""
+    model.save(path)
 
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
+def load_model(spark: SparkSession, path: str) -> BoostedTrees:
+    return BoostedTrees.load(spark, path)

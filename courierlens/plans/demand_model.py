@@ -5,19 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import cycle
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from courierlens.functions.rounding import half_even
 from courierlens.operators import measures as m
-from courierlens.operators.encode import encode_columns, known_labels, label_encoder, plain_numbers, vocabularies
+from courierlens.operators.boosting import BoostedTrees, Encoding, label_tables
+from courierlens.operators.encode import encode_columns
 from courierlens.operators.metrics import regression_metrics
 from courierlens.operators.split import hash_split
 from courierlens.operators.summarize import summarize
-from courierlens.plans.delay_model import DEPTH, ROUNDS, ROW_SHARE, SEED, STEP, bins, inputs, training_tasks
+from courierlens.plans.delay_model import DEPTH, ROUNDS, ROW_SHARE, SEED, STEP
 from courierlens.session import ensure_checkpointing
 from courierlens.sources.working_copy import materialize
 
@@ -82,7 +81,7 @@ def encoded_slots(slots: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class DemandRun:
-    model: PipelineModel
+    model: BoostedTrees
     slots: DataFrame
     scored: DataFrame
 
@@ -94,27 +93,30 @@ class DemandRun:
         return regression_metrics(self.scored, LABEL, "prediction")
 
 
-def train(orders: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH) -> DemandRun:
-    """Aggregate to slots first; the learner never sees the fact."""
+def train(
+    orders: DataFrame, rounds: int = ROUNDS, depth: int = DEPTH, row_share: float = ROW_SHARE, least_rows: int = 1
+) -> DemandRun:
+    """Aggregate to slots first; the learner never sees the fact.
+
+    Each round learns from a share of the rows, and no side of a split has fewer than
+    ``least_rows``. With all rows in every round the trees follow from the slots alone.
+    """
     ensure_checkpointing(orders.sparkSession)
     slots = materialize(split_slots(demand_slots(orders)), "demand-slots")
-    labels = vocabularies(slots, list(CODES))
+    encoding = Encoding.of(label_tables(slots, list(CODES)), CODES, FEATURES)
     learner = GBTRegressor(
         labelCol=LABEL,
         featuresCol="features",
         maxIter=rounds,
         maxDepth=depth,
         stepSize=STEP,
-        subsamplingRate=ROW_SHARE,
+        subsamplingRate=row_share,
+        minInstancesPerNode=least_rows,
         seed=SEED,
         lossType="squared",
-        maxBins=bins(labels),
         checkpointInterval=10,
     )
-    wide, names = inputs(FEATURES, CODES, labels)
-    assembler = VectorAssembler(inputCols=names, outputCol="features")
-    stages = [label_encoder(labels, CODES), plain_numbers(wide), assembler, learner]
-    model = Pipeline(stages=stages).fit(training_tasks(slots.filter("split = 'train'")))
+    model = BoostedTrees.fit(learner, slots.filter("split = 'train'"), encoding)
     return DemandRun(model, slots, model.transform(slots.filter("split = 'test'")))
 
 
@@ -129,11 +131,7 @@ def sample_scenarios(
     return spark.createDataFrame(rows, SCENARIO_SCHEMA)
 
 
-def score_scenarios(model: PipelineModel, scenarios: DataFrame) -> DataFrame:
+def score_scenarios(model: BoostedTrees, scenarios: DataFrame) -> DataFrame:
     """Expected orders per scenario; a label the model never saw gives NULL."""
-    known = scenarios
-    for encoder in model.stages[0].stages:
-        known = known_labels(known, encoder.getInputCol(), list(encoder.labels))
-    keys = scenarios.columns
-    scored = model.transform(known).select(*keys, F.bround("prediction", 0).alias("predicted_orders"))
-    return scenarios.join(scored.distinct(), keys, "left")
+    scored = model.transform(scenarios, strict=False)
+    return scored.select(*scenarios.columns, F.bround("prediction", 0).alias("predicted_orders"))

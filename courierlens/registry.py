@@ -6,20 +6,23 @@ import uuid
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions import rules
+from courierlens.functions.rounding import settled
+from courierlens.operators.boosting import BoostedTrees, described, importances_of
 from courierlens.operators.metrics import class_profile, classification_metrics, regression_metrics
-from courierlens.operators.quality import accepted_values, not_null, run_tests, unique
+from courierlens.operators.permutation import permutation_importance
+from courierlens.operators.quality import accepted_values, not_null, quarantine, run_tests, unique
 from courierlens.operators.split import hash_split, stratified_split
 from courierlens.plans import (
     dashboard,
     delay_model,
     demand_model,
     gold,
+    gold_store,
     marts,
     reports,
     staging,
@@ -32,6 +35,7 @@ from courierlens.plans.pipeline import run_pipeline
 from courierlens.sources.adapter import LABELS, table_path
 from courierlens.sources.tables import Star
 from courierlens.sources.working_copy import materialize, star_folder, working_star
+from courierlens.streaming import raised
 from courierlens.streaming.alerts import late_orders
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +123,42 @@ def flow_products(spark: SparkSession, root: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _refreshed_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Gold tables that were folded from a first load of the fact, and then from files that came later."""
+
+    def refresh(star: Star) -> dict[str, DataFrame]:
+        fact, store = _exchange_folder(spark, "arriving"), _exchange_folder(spark, "gold-store")
+        # a third of the orders in each load, by their own hash
+        load = F.pmod(F.xxhash64("order_id"), F.lit(3))
+        for i in range(3):
+            star.orders.where(load == i).write.mode("append").parquet(fact)
+            gold_store.refresh_gold(spark, fact, store, ids="long")
+        return gold_store.stored_gold(spark, store)
+
+    return _trained(spark, root, "refreshed-gold", refresh)
+
+
+def refreshed_captains(spark: SparkSession, root: str) -> DataFrame:
+    """The captain mart from incrementally folded parts."""
+    parts = _refreshed_gold(spark, root)["captain_parts"]
+    return marts.captain_performance(parts, staging.stg_captains(working_star(spark, root).captains))
+
+
+def refreshed_zones(spark: SparkSession, root: str) -> DataFrame:
+    """The zone mart from incrementally folded parts."""
+    return marts.zone_analysis(_refreshed_gold(spark, root)["gold_cube"])
+
+
+def refreshed_slots(spark: SparkSession, root: str) -> DataFrame:
+    """The demand slots from incrementally folded parts."""
+    return demand_model.demand_slots(_refreshed_gold(spark, root)["gold_cube"])
+
+
+def refreshed_restaurants(spark: SparkSession, root: str) -> DataFrame:
+    """The slowest restaurants from incrementally folded parts."""
+    return reports.slowest_restaurants(_refreshed_gold(spark, root)["restaurant_parts"], working_star(spark, root).restaurants)
+
+
 def _ids(spark: SparkSession, root: str, table: str, key: str) -> DataFrame:
     return _source(spark, root, table).select(F.col(key).alias("id"))
 
@@ -196,6 +236,38 @@ def raw_tests(spark: SparkSession, root: str) -> DataFrame:
     return run_tests({n: _source(spark, root, n) for n in names}, RAW_TESTS)
 
 
+RAW_KEYS = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "part": ["p_partkey"]}
+
+
+def rejected_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The rows of the source tables that break a column test, with the tests they break."""
+    found = []
+    for name, keys in RAW_KEYS.items():
+        tests = [t for t in RAW_TESTS if t.table == name]
+        rows = _source(spark, root, name).select(*dict.fromkeys([*keys, *[t.column for t in tests]]))
+        _, rejected = quarantine(rows, tests, _exchange_folder(spark, "quarantine"))
+        row_id = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        found.append(rejected.select(F.lit(name).alias("table_name"), row_id.alias("row_id"), F.array_join("broken", ", ").alias("tests")))
+    return reduce(DataFrame.unionByName, found)
+
+
+def district_weather_text(orders: DataFrame) -> DataFrame:
+    """The heat map by rows, its maps written out."""
+    pairs = F.transform(F.map_entries("rates"), lambda e: F.concat(e.key, F.lit("="), e.value.cast("string")))
+    return dashboard.district_weather_map(orders).select(
+        "weather", F.size("rates").cast("long").alias("districts"), F.array_join(pairs, ", ", "none").alias("rates")
+    )
+
+
+# a week with two delayed orders is worth an alert at the test tables' density
+WEEKS = raised.Watch(bound=2, every=7 * 86_400)
+
+
+def raised_levels(orders: DataFrame) -> DataFrame:
+    found = raised.raised_alerts(orders, WEEKS)
+    return found.withColumn("window_start", rules.moment_text(F.col("window_start")))
+
+
 # model data
 
 
@@ -262,17 +334,28 @@ def _demand_run(spark: SparkSession, root: str) -> demand_model.DemandRun:
     return _trained(spark, root, "demand", lambda s: demand_model.train(s.orders))
 
 
-def _reloaded(spark: SparkSession, model: PipelineModel) -> PipelineModel:
-    path = _exchange_folder(spark, "model")
-    delay_model.save_model(model, path)
-    return delay_model.load_model(path)
+def _small_run(spark: SparkSession, root: str) -> demand_model.DemandRun:
+    """Three rounds over all rows: trees that another engine can grow from the same slots."""
+    small = {"rounds": 3, "depth": 3, "row_share": 1.0, "least_rows": 20}
+    return _trained(spark, root, "small", lambda s: demand_model.train(s.orders, **small))
+
+
+def _reloaded(spark: SparkSession, root: str, run: delay_model.DelayRun | demand_model.DemandRun) -> BoostedTrees:
+    """The model of a run after a trip through its folder, once per run."""
+
+    def trip(_: Star) -> BoostedTrees:
+        path = _exchange_folder(spark, "model")
+        delay_model.save_model(run.model, path)
+        return delay_model.load_model(spark, path)
+
+    return _trained(spark, root, f"reloaded-{id(run)}", trip)
 
 
 def ml_delay_model(spark: SparkSession, root: str) -> DataFrame:
     """What any right run has: all test rows scored by a saved and reloaded model, better than the majority."""
     run = _delay_run(spark, root)
     first = run.scored.select("order_id", delay_model.LABEL, "prediction", vector_to_array("probability")[1].alias("p"))
-    again = _reloaded(spark, run.model).transform(run.scored.drop(*run.added()))
+    again = _reloaded(spark, root, run).transform(run.scored.drop(*run.added()))
     both = first.join(again.select("order_id", F.col("prediction").alias("again")), "order_id")
     late = F.sum(delay_model.LABEL)
     right = F.count_if(F.col(delay_model.LABEL) == F.col("prediction"))
@@ -291,7 +374,7 @@ def ml_demand_model(spark: SparkSession, root: str) -> DataFrame:
     run = _demand_run(spark, root)
     keys = demand_model.SLOT_KEYS
     first = run.scored.select(*keys, demand_model.LABEL, "prediction")
-    again = _reloaded(spark, run.model).transform(run.scored.drop(*run.added()))
+    again = _reloaded(spark, root, run).transform(run.scored.drop(*run.added()))
     both = first.join(again.select(*keys, F.col("prediction").alias("again")), keys)
     return both.agg(
         F.count(F.lit(1)).alias("n_test"),
@@ -301,7 +384,88 @@ def ml_demand_model(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def _importance_facts(spark: SparkSession, model: PipelineModel) -> DataFrame:
+def ml_tree_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Every test order scored from the stored label and node tables alone."""
+    run = _delay_run(spark, root)
+    scored = _reloaded(spark, root, run).score(run.rows.filter("split = 'test'"))
+    return scored.select("order_id", delay_model.LABEL, "score", "prediction")
+
+
+def ml_delay_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Confusion cells and ratios of the delay model on its test rows."""
+    return _delay_run(spark, root).metrics()
+
+
+def ml_demand_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Errors of the demand model on its test slots."""
+    return _demand_run(spark, root).metrics()
+
+
+RULE_FEATURES = ["is_peak_hour", "weather", "traffic_level"]
+
+
+def ml_permutation_on_rule(orders: DataFrame) -> DataFrame:
+    """What the rule "an order in a peak hour is late" loses when one column's values change places."""
+    wrong = (F.col(delay_model.LABEL) != F.col("is_peak_hour")).cast("long")
+    rows = orders.select("order_id", delay_model.LABEL, *RULE_FEATURES)
+    return permutation_importance(rows, "order_id", RULE_FEATURES, lambda df: df, wrong)
+
+
+def ml_delay_permutation(spark: SparkSession, root: str) -> DataFrame:
+    """What the delay model loses on its test rows when one raw column's values change places."""
+    run = _delay_run(spark, root)
+    inputs = [next((c for c, code in delay_model.CODES.items() if code == f), f) for f in delay_model.FEATURES]
+    rows = run.rows.filter("split = 'test'").select("order_id", delay_model.LABEL, *inputs)
+    wrong = (F.col(delay_model.LABEL) != F.col("prediction")).cast("long")
+    return permutation_importance(rows, "order_id", inputs, run.model.transform, wrong)
+
+
+def ml_small_demand_trees(spark: SparkSession, root: str) -> DataFrame:
+    """The node table of the small demand model, with the labels that go left."""
+    model = _small_run(spark, root).model
+    return described(model.nodes(), model.encoding).select(
+        "tree",
+        "node",
+        "feature",
+        "threshold",
+        "left_labels",
+        settled(F.col("gain"), 6).alias("gain"),
+        F.col("weighted_rows").cast("long").alias("n_rows"),
+        settled(F.col("value"), 6).alias("value"),
+    )
+
+
+def ml_small_demand_scores(spark: SparkSession, root: str) -> DataFrame:
+    """Every test slot scored from the node table of the small demand model."""
+    run = _small_run(spark, root)
+    scored = _reloaded(spark, root, run).score(run.slots.filter("split = 'test'"))
+    return scored.select(*demand_model.SLOT_KEYS, demand_model.LABEL, settled(F.col("score"), 6).alias("score"))
+
+
+def ml_small_demand_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """Errors of the small demand model on its test slots."""
+    return _small_run(spark, root).metrics()
+
+
+def ml_small_demand_importance(spark: SparkSession, root: str) -> DataFrame:
+    """The ranked shares of the small demand model's features in its gains, from the node table."""
+    shares = importances_of(_small_run(spark, root).model.nodes())
+    return shares.select("feature", settled(F.col("importance"), 6).alias("importance")).orderBy(F.desc("importance"), "feature")
+
+
+def ml_small_demand_scenarios(spark: SparkSession, root: str) -> DataFrame:
+    """The sample forecast of the small demand model, in numbers."""
+    return demand_model.score_scenarios(_reloaded(spark, root, _small_run(spark, root)), _scenarios(spark, root))
+
+
+def _scenarios(spark: SparkSession, root: str) -> DataFrame:
+    """The busiest districts, each with its hour, and an unknown one."""
+    busiest = reports.busiest_districts(working_star(spark, root).orders).collect()
+    names = [r["district"] for r in busiest] + ["no such district"]
+    return demand_model.sample_scenarios(spark, names, weather="clear", traffic=LABELS.heavy)
+
+
+def _importance_facts(spark: SparkSession, model: BoostedTrees) -> DataFrame:
     """Every feature once, with a share between 0 and 1, and all shares adding up to 1."""
     ranked = delay_model.importances(spark, model, digits=None)
     # one row per feature
@@ -322,14 +486,12 @@ def ml_demand_importance(spark: SparkSession, root: str) -> DataFrame:
 
 
 def ml_demand_scenarios(spark: SparkSession, root: str) -> DataFrame:
-    """The sample forecast from a reloaded model: the busiest districts, each with its hour, and an unknown one.
+    """The sample forecast from a reloaded model.
 
-    ``predicted`` says whether the model gave a number: the unknown district has none.
+    ``predicted`` says whether the model gave a number: the unknown district has none. The
+    numbers themselves, which SQL can check, are those of ``ml_small_demand_scenarios``.
     """
-    busiest = reports.busiest_districts(working_star(spark, root).orders).collect()
-    names = [r["district"] for r in busiest] + ["no such district"]
-    scenarios = demand_model.sample_scenarios(spark, names, weather="clear", traffic=LABELS.heavy)
-    scored = demand_model.score_scenarios(_reloaded(spark, _demand_run(spark, root).model), scenarios)
+    scored = demand_model.score_scenarios(_reloaded(spark, root, _demand_run(spark, root)), _scenarios(spark, root))
     return scored.withColumn("predicted", rules.flag(F.col("predicted_orders").isNotNull())).drop("predicted_orders")
 
 
@@ -361,6 +523,11 @@ QUERIES: dict[str, Query] = {
         .withColumn("sum_value", F.col("sum_hundredths") / F.lit(100.0))
         .drop("sum_hundredths")
     ),
+    # gold tables that follow their source
+    "refreshed_captain_mart": refreshed_captains,
+    "refreshed_zone_mart": refreshed_zones,
+    "refreshed_demand_slots": refreshed_slots,
+    "refreshed_slowest_restaurants": refreshed_restaurants,
     # dashboard datasets
     "dash_kpis": over_orders(dashboard.kpis),
     "dash_status_share": over_orders(dashboard.status_share),
@@ -374,6 +541,7 @@ QUERIES: dict[str, Query] = {
     "dash_captain_ranking": over_captains(dashboard.ranked_captains),
     "dash_district_weather": over_orders(dashboard.district_weather),
     "dash_district_weather_wide": over_orders(dashboard.district_weather_wide),
+    "dash_district_weather_map": over_orders(district_weather_text),
     "dash_hour_district": over_orders(dashboard.hour_district),
     "dash_alerts": over_orders(dashboard.alerts),
     "late_orders_per_hour": over_orders(
@@ -381,9 +549,11 @@ QUERIES: dict[str, Query] = {
             {c: rules.moment_text(F.col(c)) for c in ("window_start", "window_end")}
         )
     ),
+    "raised_alerts": over_orders(raised_levels),
     # data tests
     "dq_results": over_star(lambda s: run_tests(staging.staged(s), staging.DATA_TESTS)),
     "dq_results_raw": raw_tests,
+    "dq_rejected_rows": rejected_rows,
     # rules
     "peak_flags": over_orders(peak_flags),
     "delay_enrichment": over_orders(delay_enrichment),
@@ -400,6 +570,8 @@ QUERIES: dict[str, Query] = {
     "ml_stratified_split": over_star(ml_stratified_split),
     "ml_class_ratio": over_star(lambda s: class_profile(delay_model.training_rows(s), delay_model.LABEL)),
     "ml_metrics_on_rule": over_orders(ml_metrics_on_rule),
+    "ml_permutation_on_rule": over_orders(ml_permutation_on_rule),
+    "ml_delay_permutation": ml_delay_permutation,
     # sources, sinks and builders
     "landed_orders": landed_orders,
     "landed_captains": landed_dimension(DIM_CAPTAINS),
@@ -417,5 +589,13 @@ QUERIES: dict[str, Query] = {
     "ml_demand_model": ml_demand_model,
     "ml_demand_importance": ml_demand_importance,
     "ml_demand_scenarios": ml_demand_scenarios,
+    "ml_tree_scores": ml_tree_scores,
+    "ml_delay_metrics": ml_delay_metrics,
+    "ml_demand_metrics": ml_demand_metrics,
+    "ml_small_demand_trees": ml_small_demand_trees,
+    "ml_small_demand_scores": ml_small_demand_scores,
+    "ml_small_demand_metrics": ml_small_demand_metrics,
+    "ml_small_demand_importance": ml_small_demand_importance,
+    "ml_small_demand_scenarios": ml_small_demand_scenarios,
 }
 

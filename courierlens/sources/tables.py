@@ -16,6 +16,7 @@ from courierlens.schemas import (
     TIMESTAMP_FORMAT,
     star_schemas,
 )
+from courierlens.sources.versions import current, publish
 
 Reader = Callable[[str], DataFrame]
 
@@ -58,13 +59,23 @@ def save_table(
 
 
 def save_star(star: Star, root: str) -> None:
-    """Replace the three Parquet folders below ``root``."""
-    for name, df in star.tables().items():
-        df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+    """Replace the star below ``root``: all three tables become visible together, or none does.
+
+    They are written to a new version folder; a writer that dies leaves the last whole star,
+    and a star may be read from the very folder it is saved to.
+    """
+
+    def write(folder: str) -> None:
+        for name, df in star.tables().items():
+            df.write.parquet(f"{folder}/{name}")
+
+    publish(star.orders.sparkSession, root, write)
 
 
 def parquet_reader(spark: SparkSession, root: str) -> Reader:
-    return lambda table: spark.read.parquet(f"{root.rstrip('/')}/{table}")
+    """Tables of the newest star below ``root``, found once, or plain Parquet folders there."""
+    folder = current(spark, root) or root.rstrip("/")
+    return lambda table: spark.read.parquet(f"{folder}/{table}")
 
 
 def catalog_reader(spark: SparkSession, database: str | None = None) -> Reader:

@@ -19,14 +19,13 @@ from courierlens.schemas import star_schemas
 from courierlens.session import application_folder, delete_folder, shared_folder
 from courierlens.sources.adapter import SOURCE_TABLES, star_from_tables, table_path
 from courierlens.sources.tables import Star, save_star
+from courierlens.sources.versions import current
 
 _LOCK = threading.Lock()
 # versions found by listing, once per application and source
 _VERSIONS: dict[tuple[str, str], str] = {}
 # open copies by folder and session; each holds its session, so the id stays taken
 _OPEN: dict[tuple[str, int], Star] = {}
-# written last: a copy without it is not whole
-_DONE = "_WHOLE"
 
 
 def _source_state(spark: SparkSession, root: str) -> list[tuple[str, int, int, int]]:
@@ -60,29 +59,18 @@ def star_folder(spark: SparkSession, root: str, version: str | None = None) -> s
     return f"{shared_folder(spark)}/courierlens/stars/{name}"
 
 
-def _exists(spark: SparkSession, location: str) -> bool:
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
-
-
-def _mark(spark: SparkSession, location: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(location)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True).close()
-
-
 def working_star(spark: SparkSession, root: str, version: str | None = None) -> Star:
     """The star of ``root`` from its working copy, which the first use writes."""
     folder = star_folder(spark, root, version)
     key = (folder, id(spark))
     with _LOCK:
-        if not _exists(spark, f"{folder}/{_DONE}"):
+        if current(spark, folder) is None:
             save_star(star_from_tables(spark, root), folder)
-            _mark(spark, f"{folder}/{_DONE}")
             _OPEN.pop(key, None)
         if key not in _OPEN:
-            schemas = star_schemas("long")
+            whole, schemas = current(spark, folder), star_schemas("long")
             _OPEN[key] = Star.of(
-                {t: spark.read.schema(s).parquet(f"{folder}/{t}") for t, s in schemas.items()}
+                {t: spark.read.schema(s).parquet(f"{whole}/{t}") for t, s in schemas.items()}
             )
         return _OPEN[key]
 

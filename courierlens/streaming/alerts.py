@@ -14,7 +14,7 @@ def _epoch() -> Column:
     return F.lit("1970-01-01").cast("timestamp_ntz")
 
 
-def _as_instant(moment: Column) -> Column:
+def as_instant(moment: Column) -> Column:
     """A zone-free time as an instant; a watermark accepts nothing else."""
     days = F.unix_date(moment.cast("date")).cast("long")
     return F.timestamp_seconds(
@@ -22,7 +22,7 @@ def _as_instant(moment: Column) -> Column:
     )
 
 
-def _as_moment(instant: Column) -> Column:
+def as_moment(instant: Column) -> Column:
     """Back from the instant, whatever the session's time zone."""
     return _epoch() + F.make_dt_interval(secs=F.unix_seconds(instant).cast("decimal(18,6)"))
 
@@ -33,15 +33,15 @@ def late_orders(orders: DataFrame, every: str = "1 hour", lateness: str = "1 hou
     On a stream the watermark bounds the state: a window is final, and leaves the
     state, once ``lateness`` has passed.
     """
-    late = orders.filter(F.col("is_delayed") == 1).withColumn("seen", _as_instant(F.col("order_time")))
+    late = orders.filter(F.col("is_delayed") == 1).withColumn("seen", as_instant(F.col("order_time")))
     if orders.isStreaming:
         late = late.withWatermark("seen", lateness)
     counted = late.groupBy(F.window("seen", every).alias("slot"), "district").agg(
         F.count(F.lit(1)).alias("delayed_orders")
     )
     return counted.select(
-        _as_moment(F.col("slot.start")).alias("window_start"),
-        _as_moment(F.col("slot.end")).alias("window_end"),
+        as_moment(F.col("slot.start")).alias("window_start"),
+        as_moment(F.col("slot.end")).alias("window_end"),
         "district",
         "delayed_orders",
         alert_text(F.col("district"), F.col("delayed_orders")).alias("alert"),

@@ -5,40 +5,57 @@ import math
 
 import pytest
 from conftest import values
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from courierlens.operators.encode import encode_columns, label_encoder, vocabularies
+from courierlens.operators.boosting import BoostedTrees, described, importances_of, label_tables
+from courierlens.operators.encode import attach_codes, encode_columns, known_labels
 from courierlens.operators.metrics import class_profile, classification_metrics, confusion, regression_metrics
+from courierlens.operators.permutation import moved, permutation_importance
 from courierlens.operators.split import hash_split, stratified_split
 from courierlens.plans import delay_model, demand_model
 from courierlens.sources.builder import TRAFFIC, WEATHER
 
 
+def table_scores(run, model):
+    scored = model.score(run.rows.filter("split = 'test'"))
+    return {i: (round(s, 9), p) for i, s, p in values(scored, "order_id", "score", "prediction")}
+
+
+def transformed_scores(run):
+    scored = run.scored.select("order_id", vector_to_array("probability")[1].alias("p"), "prediction")
+    return {i: (round(s, 9), p) for i, s, p in values(scored)}
+
+
 def test_codes_follow_code_point_order(spark):
     days = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
     rows = spark.createDataFrame([(WEATHER[i % 5], TRAFFIC[i % 4], days[i % 7]) for i in range(140)], "w string, t string, d string")
-    labels = vocabularies(rows, ["w", "t", "d"])
+    tables = label_tables(rows, ["w", "t", "d"])
+    labels = {c: [r.label for r in t.orderBy("code").collect()] for c, t in tables.items()}
     cold, very_hot, clear, stormy, cloudy = "بارد", "حار جداً", "صافي", "عاصف", "غائم"
     assert labels["w"] == [cold, very_hot, clear, stormy, cloudy]
     light, severe, heavy, medium = "خفيف", "شديد الكثافة", "كثيف", "متوسط"
     assert labels["t"] == [light, severe, heavy, medium]
     assert labels["d"] == sorted(days)
-    coded = label_encoder(labels, {"w": "wc", "d": "dc"}).transform(rows)
-    assert dict(values(coded.select("w", "wc").distinct()))[stormy] == 3.0
+    coded = attach_codes(rows, tables, {"w": "wc", "d": "dc"})
+    assert dict(values(coded.select("w", "wc").distinct()))[stormy] == 3
 
 
-def test_unseen_and_missing_labels_are_errors(spark):
-    encoder = label_encoder({"w": ["a", "b"]}, {"w": "wc"})
-    for bad, message in (("c", "Unseen label"), (None, "NULL value")):
+def test_unseen_and_missing_labels_are_errors_or_unknown(spark):
+    tables = label_tables(spark.createDataFrame([("a",), ("b",)], "w string"), ["w"])
+    for bad, message in (("c", "Unseen label in w: c"), (None, "NULL value in w")):
         rows = spark.createDataFrame([(bad,)], "w string")
         with pytest.raises(Exception, match=message):
-            encoder.transform(rows).collect()
+            attach_codes(rows, tables, {"w": "wc"}).collect()
+        assert values(attach_codes(rows, tables, {"w": "wc"}, strict=False), "wc") == [(None,)]
+        assert known_labels(rows, "w", tables["w"]).count() == 0
 
 
 def test_ten_thousand_labels(spark):
     names = sorted(f"{'äzb'[i % 3]}{i}" for i in range(10_000))
     rows = spark.createDataFrame([(n, "x") for n in names], "w string, v string")
-    assert vocabularies(rows, ["w", "v"]) == {"w": names, "v": ["x"]}
+    tables = label_tables(rows, ["w", "v"])
+    assert [r.label for r in tables["w"].orderBy("code").collect()] == names
     coded = encode_columns(rows, {"w": "wc", "v": "vc"}).collect()
     assert {r.w: r.wc for r in coded} == {n: i for i, n in enumerate(names)}
     assert {r.vc for r in coded} == {0}
@@ -58,18 +75,19 @@ def test_codes_come_from_the_joined_rows(make):
 def test_columns_of_many_labels_become_numbers(spark, make):
     orders = [{"district": f"d{i % 400}", "is_delayed": int(i % 400 < 200), "delivery_time_min": 10 + i % 7} for i in range(800)]
     run = delay_model.train(make(orders), rounds=2, depth=2)
-    assert "district_enc_number" in run.model.stages[2].getInputCols()
+    assert run.model.encoding.wide() == ["district"]
     assert run.scored.count() == 160
+    # as numbers, the sides of a split are runs of labels
+    cuts = values(run.model.nodes().where("feature = 'district_enc'"), "threshold", "left_codes")
+    assert cuts and all(t is not None and c is None for t, c in cuts)
+    assert table_scores(run, run.model) == transformed_scores(run)
 
 
 def test_importances_are_ranked_before_they_are_rounded(spark):
-    class Stage:
+    class Learner:
         featureImportances = type("V", (), {"toArray": lambda self: [0.1001, 0.1004, 0.7995]})()
 
-        def getInputCols(self):
-            return ["a", "b_number", "c"]
-
-    model = type("M", (), {"stages": [None, None, Stage(), Stage()]})()
+    model = type("M", (), {"encoding": type("E", (), {"features": ("a", "b", "c")}), "learner": Learner()})()
     assert [n for n, _ in values(delay_model.importances(spark, model))] == ["c", "b", "a"]
 
 
@@ -170,11 +188,11 @@ def test_importances_are_ranked(spark, delay_run):
     assert len(values(delay_model.importances(spark, delay_run.model, k=5))) == 5
 
 
-def test_a_reloaded_model_predicts_the_same(delay_run, tmp_path):
+def test_a_reloaded_model_predicts_the_same(spark, delay_run, tmp_path):
     path = str(tmp_path / "delay")
     delay_model.save_model(delay_run.model, path)
     delay_model.save_model(delay_run.model, path)
-    again = delay_model.load_model(path).transform(delay_run.rows.filter("split = 'test'"))
+    again = delay_model.load_model(spark, path).transform(delay_run.rows.filter("split = 'test'"))
     assert sorted(values(again, "order_id", "prediction")) == sorted(values(delay_run.scored, "order_id", "prediction"))
 
 
@@ -206,3 +224,100 @@ def test_demand_model_and_scenarios(spark, built):
 def test_features_in_order(built):
     rows = delay_model.encoded_features(delay_model.training_rows(built))
     assert rows.columns == ["order_id", *delay_model.FEATURES, "is_delayed"]
+
+
+def test_scores_from_the_node_table_equal_the_learner(spark, delay_run, tmp_path):
+    delay_run.model.save(str(tmp_path / "model"))
+    reloaded = BoostedTrees.load(spark, str(tmp_path / "model"))
+    wanted = transformed_scores(delay_run)
+    assert len(wanted) == delay_run.scored.count() > 500
+    assert table_scores(delay_run, delay_run.model) == table_scores(delay_run, reloaded) == wanted
+
+
+def test_a_column_in_scoring_is_one_native_expression(delay_run):
+    plan = delay_run.model.score(delay_run.rows)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "UDF" not in plan and "CASE WHEN" in plan
+
+
+def test_nodes_form_whole_trees(delay_run):
+    nodes = {(r.tree, r.node): r for r in delay_run.model.nodes().collect()}
+    assert {t for t, n in nodes if n == 1} == set(range(5))
+    for (tree, node), r in nodes.items():
+        sides = [nodes.get((tree, 2 * node)), nodes.get((tree, 2 * node + 1))]
+        if r.feature is None:
+            assert sides == [None, None]
+        else:
+            assert abs(sum(s.weighted_rows for s in sides) - r.weighted_rows) < 1e-6 * r.weighted_rows
+            assert (r.threshold is None) != (r.left_codes is None) and r.gain > 0
+
+
+def test_importances_from_the_node_table_equal_the_learner(delay_run):
+    found = dict(values(importances_of(delay_run.model.nodes())))
+    wanted = dict(zip(delay_run.model.encoding.features, delay_run.model.learner.featureImportances.toArray()))
+    assert all(abs(found.get(f, 0) - w) < 1e-9 for f, w in wanted.items()) and set(found) <= set(wanted)
+
+
+def test_nodes_are_described_by_their_labels(delay_run):
+    shown = described(delay_run.model.nodes(), delay_run.model.encoding)
+    weather = {r.left_labels for r in shown.where("feature = 'weather_enc'").collect()}
+    assert weather and all(set(text.split("|")) < set(WEATHER) for text in weather)
+    assert shown.where("feature IS NULL AND left_labels IS NOT NULL").count() == 0
+
+
+def test_unknown_labels_have_no_score(spark, built, delay_run):
+    rows = delay_run.rows.limit(3).withColumn("weather", F.lit("hail"))
+    assert values(delay_run.model.score(rows, strict=False), "score", "prediction") == [(None, None)] * 3
+    assert values(delay_run.model.transform(rows, strict=False), "prediction") == [(None,)] * 3
+    with pytest.raises(Exception, match="Unseen label in weather: hail"):
+        delay_run.model.score(rows).collect()
+
+
+def test_a_model_being_saved_cannot_be_read(spark, delay_run, tmp_path):
+    path = str(tmp_path / "model")
+    delay_run.model.save(path)
+
+    def fail(*_):
+        raise OSError("no room")
+
+    broken = BoostedTrees(delay_run.model.encoding, type("L", (), {"write": fail})())
+    with pytest.raises(OSError):
+        broken.save(path)
+    with pytest.raises(Exception, match="about"):
+        BoostedTrees.load(spark, path)
+
+
+# permutation importance
+
+
+def moved_by_definition(rows, features, buckets):
+    """Each value a few ranks on in its bucket, by plain lists."""
+    found = {}
+    keyed = sorted((hashlib.md5(f"{r['id']}:42".encode()).hexdigest(), r["id"], r) for r in rows)
+    for b in range(buckets):
+        mine = [r for h, _, r in keyed if int(h[:8], 16) % buckets == b]
+        for i, r in enumerate(mine):
+            found[r["id"]] = tuple(mine[(i + j + 1) % len(mine)][f] for j, f in enumerate(features))
+    return found
+
+
+@pytest.mark.parametrize("n, buckets", [(1, 1), (2, 1), (7, 3), (500, 4)])
+def test_moved_values_equal_their_definition(spark, n, buckets):
+    data = [{"id": i, "a": i * 3, "b": f"x{i}", "c": None if i % 5 == 0 else i} for i in range(n)]
+    rows = spark.createDataFrame([tuple(r.values()) for r in data], "id long, a long, b string, c long").repartition(3)
+    found = {r.id: tuple(r.moved) for r in moved(rows, "id", ["a", "b", "c"], buckets).collect()}
+    assert found == moved_by_definition(data, ["a", "b", "c"], buckets)
+    for j, f in enumerate("abc"):
+        assert sorted(map(str, (v[j] for v in found.values()))) == sorted(str(r[f]) for r in data)
+
+
+def test_only_features_that_matter_cost_something(spark):
+    rows = spark.range(4000).selectExpr("id", "id % 2 AS y", "id % 2 AS x", "id % 7 AS noise")
+    wrong = (F.col("y") != F.col("x")).cast("long")
+    found = {r.feature: r for r in permutation_importance(rows, "id", ["x", "noise"], lambda d: d, wrong, per_bucket=500).collect()}
+    assert found["noise"].permuted_loss == found["x"].base_loss == 0
+    assert 1700 < found["x"].permuted_loss < 2300 and found["x"].n_rows == 4000
+
+
+def test_permutation_has_one_exchange_of_rows(spark):
+    plan = moved(spark.range(100).selectExpr("id", "id AS a", "id AS b"), "id", ["a", "b"], 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SinglePartition" not in plan

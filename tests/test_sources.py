@@ -191,8 +191,8 @@ def test_an_unfinished_copy_is_written_again(spark, tmp_path):
     root = copied_sources(spark, tmp_path)
     before = working_star(spark, root).orders
     count, folder = before.count(), working_copy.star_folder(spark, root)
-    session.delete_folder(spark, f"{folder}/{working_copy._DONE}")
-    spark.range(1).write.mode("overwrite").parquet(f"{folder}/fact_orders")
+    session.delete_folder(spark, f"{folder}/versions")
+    spark.range(1).write.mode("overwrite").parquet(f"{folder}/v-00000001-torn/fact_orders")
     assert working_star(spark, root).orders.count() == count
 
 

@@ -81,7 +81,7 @@ def hand_down(children: DataFrame, parent: list[str], budget: Column) -> DataFra
     """
     group = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
     order = group.orderBy("ratio", *LEVELS[: len(parent) + 1])
-    some = children.where("weight > 0").withColumn("ratio", F.col("capacity") / F.col("weight"))
+    some = children.withColumn("ratio", F.col("capacity") / F.col("weight"))
     before = F.coalesce(F.sum("capacity").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum("weight").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     level = F.max((budget - before) / rest).over(group)
@@ -89,9 +89,15 @@ def hand_down(children: DataFrame, parent: list[str], budget: Column) -> DataFra
 
 
 def leaf_quotas(leaves: DataFrame, mix: Mix) -> DataFrame:
-    """Quota of each leaf of (domain, language, origin, tokens); leaves without quota are left out."""
+    """Quota of each leaf of (domain, language, origin, tokens); leaves without quota are left out.
+
+    A node can hold what its leaves of weight above 0 all the way down can: what a subtree
+    cannot take goes to the siblings of its top.
+    """
     leaves = leaves.withColumn("capacity", F.col("tokens") * mix.epochs)
     total = leaves.agg(F.floor(F.sum("tokens") * F.lit(mix.share)).alias("budget"))
+    for level in (1, 2, 3):
+        leaves = leaves.where(weight_of(level, mix) > 0)
     given, budget = leaves.limit(0), None
     for level in (1, 2, 3):
         path = LEVELS[:level]
@@ -200,15 +206,14 @@ def mix_sql(mix: Mix) -> str:
                 cases += f" WHEN {same} THEN {value}"
         return f"CASE{cases} ELSE 1 END" if cases else "1"
 
-    def level(n: int, source: str, parent: str) -> str:
+    def level(n: int, parent: str) -> str:
         path = ", ".join(LEVELS[:n])
         over = ", ".join(LEVELS[: n - 1]) or "1"
         return f"""
 nodes{n} AS (
   SELECT {path}, capacity, weight, budget, capacity::DOUBLE / weight AS ratio
   FROM (SELECT {path}, sum(capacity)::BIGINT AS capacity, ({weight(n)})::DOUBLE AS weight
-        FROM leaves GROUP BY {path}) {parent}
-  WHERE weight > 0
+        FROM usable GROUP BY {path}) {parent}
 ), levels{n} AS (
   SELECT *, (budget - coalesce(sum(capacity) OVER (PARTITION BY {over} ORDER BY ratio, {path}
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
@@ -230,9 +235,10 @@ WITH slim AS (
   SELECT domain, language, origin, sum(tokens)::BIGINT AS tokens, sum(tokens)::BIGINT * {mix.epochs} AS capacity
   FROM slim GROUP BY ALL
 ), total AS (SELECT floor(sum(tokens) * {mix.share}::DOUBLE) AS budget FROM leaves),
-{level(1, "leaves", "CROSS JOIN total")},
-{level(2, "leaves", "JOIN (SELECT domain, given AS budget FROM given1) USING (domain)")},
-{level(3, "leaves", "JOIN (SELECT domain, language, given AS budget FROM given2) USING (domain, language)")},
+usable AS (SELECT * FROM leaves WHERE {" AND ".join(f"({weight(n)}) > 0" for n in (1, 2, 3))}),
+{level(1, "CROSS JOIN total")},
+{level(2, "JOIN (SELECT domain, given AS budget FROM given1) USING (domain)")},
+{level(3, "JOIN (SELECT domain, language, given AS budget FROM given2) USING (domain, language)")},
 plan AS (
   SELECT domain, language, origin, quota, (quota // tokens)::INT AS whole, quota % tokens AS rest
   FROM (SELECT *, floor(given)::BIGINT AS quota FROM given3) JOIN leaves USING (domain, language, origin)

@@ -38,6 +38,7 @@ def quotas(rows, mix):
         leaf = (mix.domains.get(source, "other"), lang or "?", source or "?")
         caps[leaf] += len((text or "").split()) * mix.epochs
     total = sum(caps.values()) / mix.epochs
+    caps = {leaf: cap for leaf, cap in caps.items() if all(mix.weights.get(leaf[:n], 1) > 0 for n in (1, 2, 3))}
 
     def spread(prefix, budget):
         level = len(prefix) + 1
@@ -82,6 +83,18 @@ def test_equal_to_sql(spark, documents):
     assert found == sorted(map(str, con.execute(mix_sql(MIX)).fetchall()))
 
 
+def test_a_shortage_below_weight_0_goes_to_the_ancestors_siblings(spark, documents):
+    # web can hold 500 of its 600: the rest goes to books, which can hold 1,000
+    rows = [(i, "w " * 50, lang, s) for i, (lang, s) in enumerate([("en", "a"), ("de", "a")] * 10 + [("en", "b"), ("en", "b")] * 10)]
+    mix = Mix(domains={"a": "web", "b": "books"}, weights={("web", "en"): 0}, share=0.6, epochs=1)
+    found = {(r.domain, r.language): r.quota for r in mix_documents(documents(rows), mix).collect()}
+    assert found == {("web", "de"): 500, ("books", "en"): 700}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents(doc_id BIGINT, text VARCHAR, lang VARCHAR, source VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?, ?)", rows)
+    assert {(r[3], r[4]): r[6] for r in con.execute(mix_sql(mix)).fetchall()} == found
+
+
 def test_rows_keep_their_columns(spark, documents):
     rows = [(*r, None, "mine", 7, "x") for r in make_rows(60)]
     extra = "domain string, epoch int, row string"

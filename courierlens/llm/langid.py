@@ -30,7 +30,6 @@ PASS_BYTES = 1 << 18
 class Training:
     """Bounds on the labelled sample, and the training schedule."""
 
-    languages: int = 200
     texts_per_language: int = 400
     chars_per_text: int = 1000
     steps: int = 180
@@ -187,15 +186,16 @@ def train(texts: list[tuple[bytes, str]], settings: Training) -> tuple[list[str]
 
 
 def labelled_sample(docs: DataFrame, settings: Training) -> list[tuple[bytes, str]]:
-    """At most ``texts_per_language`` pieces of ``chars_per_text`` from each of the commonest languages.
+    """At most ``texts_per_language`` pieces of ``chars_per_text`` from every language.
 
-    Only rows that are not held out and have a language and a letter are read.
+    Only rows that are not held out and have a language and a letter are read; which of
+    them, and which of their pieces, a hash of the id decides.
     """
     usable = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(
         F.col("lang").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    sizes = sizes.orderBy(F.desc("n"), "lang").limit(settings.languages).collect()
+    # one row per language
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()
     if not sizes:
         return []
     # twice the wished share by hash, cut to the bound below
@@ -205,9 +205,9 @@ def labelled_sample(docs: DataFrame, settings: Training) -> list[tuple[bytes, st
     piece = F.substr("text", F.lit(1) + F.pmod(F.xxhash64("doc_id"), last + 1).cast("int"), F.lit(settings.chars_per_text))
     some = usable.where(draw < share[F.col("lang")]).where(has_letter(F.col("text")))
     kept: dict[str, list[tuple[bytes, str]]] = {}
-    for r in some.select("lang", piece.alias("piece")).collect():
-        kept.setdefault(r.lang, []).append((r.piece.encode(), r.lang))
-    return [t for found in kept.values() for t in sorted(found)[: settings.texts_per_language]]
+    for r in some.select("lang", draw.alias("draw"), piece.alias("piece")).collect():
+        kept.setdefault(r.lang, []).append((r.draw, r.piece.encode(), r.lang))
+    return [t[1:] for found in kept.values() for t in sorted(found)[: settings.texts_per_language]]
 
 
 def learn_languages(docs: DataFrame, settings: Training | None = None) -> tuple[list[str], dict[str, np.ndarray]]:
@@ -263,7 +263,8 @@ def predict_languages(
 
     * ``und`` with score 0: a null text, a text without a letter, or no language learned.
     * Ties go to the first language by name. Texts are read whole, in segments.
-    * Repeated rows and null ids (not held out) give a row each; other columns are ignored.
+    * Repeated rows and null ids (not held out) give a row each; an empty table gives none.
+    * Other columns are ignored, or kept with the rows, whatever their names.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
@@ -287,7 +288,9 @@ def predict_languages(
             )
 
     if keep_from is not None:
-        return docs.select(*names, has_letter(F.col("text")).alias("_letters")).mapInArrow(run, docs.schema)
+        # a name that no column of the rows has
+        letters = "letters" + "_" * max(map(len, names))
+        return docs.select(*names, has_letter(F.col("text")).alias(letters)).mapInArrow(run, docs.schema)
     asked = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),

@@ -93,6 +93,24 @@ def test_query_learns_only_from_rows_not_held_out(spark, documents):
     assert kept.count() == sum(r.lang_pred != "und" for r in found)
 
 
+def test_kept_rows_have_any_columns(spark, documents):
+    rows = [(i, "tha tha tha", "aa" if i % 2 else "bb", f"own {i}") for i in range(40)]
+    table = documents(rows, "doc_id long, text string, lang string, _letters string, letters string, score string")
+    kept = predict_languages(table, learn_languages(table, QUICK), keep_from=0.0)
+    assert kept.columns == table.columns and {r._letters for r in kept.collect()} == {r[3] for r in rows}
+
+
+def test_every_language_is_learned_from_a_fair_sample(spark, documents):
+    rows = [(i, f"text {'z' if i % 2 else 'a'} {i}", f"l{i % 250}") for i in range(5000)]
+    bounds = langid.Training(texts_per_language=5)
+    sample = langid.labelled_sample(documents(rows), bounds)
+    assert {lang for _, lang in sample} == {f"l{i}" for i in range(250)}
+    # not those that come first by their text
+    one = langid.labelled_sample(documents([(i, f"{i:04d} x", "l") for i in range(4000)]), langid.Training(texts_per_language=50))
+    firsts = [int(text[:4]) for text, _ in one]
+    assert len(one) == 50 and 1200 < np.mean(firsts) < 2800
+
+
 def test_no_rows_and_no_languages(spark, documents):
     table = documents([(1, "abc"), (2, None)])
     assert [r.lang_pred for r in predict_languages(table, learn_languages(table, QUICK)).collect()] == ["und", "und"]

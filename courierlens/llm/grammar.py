@@ -30,7 +30,8 @@ SHARD_IDS = 1 << 20
 LEAST = 8
 # one round replaces all pairs at least this fraction as frequent as the commonest one
 SPAN = 0.005
-ROUNDS = 8
+# rules are written out once for decoding if together they are no longer than so many ids
+WRITTEN_OUT = 1 << 23
 
 
 @dataclass
@@ -56,9 +57,49 @@ class Shard:
         """The ids of the i-th document."""
         return self.expand(self.symbols[self.starts[i] : self.starts[i + 1]])
 
+    def written_out(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all rules, one after the other, and where each begins; level by level, children first."""
+        begin = np.cumsum(self.lengths) - self.lengths
+        ids = np.zeros(int(self.lengths.sum()), np.uint32)
+        sides = np.stack([self.left, self.right], axis=1).astype(np.int64)
+        rule = sides >= self.base
+        number = np.where(rule, sides - self.base, 0)
+        width = np.where(rule, self.lengths[number] if len(self.lengths) else 1, 1)
+        to = begin[:, None] + np.stack([np.zeros_like(begin), width[:, 0]], axis=1)
+        ids[to[~rule]] = sides[~rule]
+        done = np.zeros(len(begin), bool)
+        while not done.all():
+            ready = ~done & (done[number] | ~rule).all(axis=1)
+            copied = rule & ready[:, None]
+            n, source = width[copied], begin[number[copied]]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            ids[np.repeat(to[copied], n) + step] = ids[np.repeat(source, n) + step]
+            done |= ready
+        return ids, begin
+
     def expand(self, symbols: np.ndarray) -> np.ndarray:
-        """Terminals of a run of symbols; every pass opens all its nonterminals."""
+        """Terminals of a run of symbols, each copied from its rule's ids."""
         symbols = symbols.astype(np.int64)
+        rule = symbols >= self.base
+        if not rule.any():
+            return symbols.astype(np.uint32)
+        if self.lengths.sum() > WRITTEN_OUT:
+            return self._opened(symbols)
+        if not hasattr(self, "_ids"):
+            self._ids = self.written_out()
+        ids, begin = self._ids
+        each = np.ones(len(symbols), np.int64)
+        number = symbols[rule] - self.base
+        each[rule] = self.lengths[number]
+        source = np.arange(len(symbols))
+        source[rule] = len(symbols) + begin[number]
+        ends = np.cumsum(each)
+        at = np.repeat(source - (ends - each), each)
+        at += np.arange(len(at))
+        return np.concatenate([symbols.astype(np.uint32), ids])[at]
+
+    def _opened(self, symbols: np.ndarray) -> np.ndarray:
+        """The same by passes that each open all nonterminals once, in memory bounded by the result."""
         while (rule := symbols >= self.base).any():
             width = 1 + rule
             at = np.cumsum(width) - width
@@ -94,12 +135,13 @@ class Shard:
         return Shard(base, *table, wide.view("<u4").ravel().astype(np.int64), starts)
 
 
-def _chosen(rank: np.ndarray) -> np.ndarray:
-    """Occurrences to replace: every other one of a run, if it beats both neighbours it overlaps; -1 marks none."""
-    taken = rank >= 0
-    taken[1:] &= rank[1:] >= rank[:-1]
-    taken[:-1] &= rank[:-1] >= rank[1:]
-    same = np.flatnonzero((rank[1:] == rank[:-1]) & (rank[1:] >= 0)) + 1
+def _chosen(places: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Which occurrences to replace: every other one of a run, if it beats both neighbours it overlaps."""
+    taken = np.ones(len(places), bool)
+    beside = np.diff(places) == 1
+    taken[1:] &= ~beside | (rank[1:] >= rank[:-1])
+    taken[:-1] &= ~beside | (rank[:-1] >= rank[1:])
+    same = np.flatnonzero(beside & (rank[1:] == rank[:-1])) + 1
     if len(same):
         # within a run of one pair, places at an odd distance from its first overlap one that is taken
         breaks = np.concatenate([[True], np.diff(same) > 1])
@@ -108,72 +150,103 @@ def _chosen(rank: np.ndarray) -> np.ndarray:
     return taken
 
 
-def frequent_pairs(keys: np.ndarray, open_: np.ndarray, least: int, span: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted pairs that occur at least ``least`` times and near as often as the commonest, with their counts.
+def _spread(keys: np.ndarray) -> np.ndarray:
+    """Twenty bits of each pair's hash."""
+    return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
+
+
+def _ranks(pairs: np.ndarray, keys: np.ndarray, spread: np.ndarray) -> np.ndarray:
+    """Place of each key in ``pairs``, -1 for others: by a table of the hash, and for pairs that share one by search."""
+    table = np.full(1 << 20, -1, np.int32)
+    own = _spread(pairs)
+    table[own] = np.arange(len(pairs), dtype=np.int32)
+    rank = table[spread]
+    wrong = np.flatnonzero(rank >= 0)
+    wrong = wrong[pairs[rank[wrong]] != keys[wrong]]
+    rank[wrong] = -1
+    hidden = np.flatnonzero(table[own] != np.arange(len(pairs)))
+    if len(hidden) and len(wrong):
+        hidden = hidden[np.argsort(pairs[hidden])]
+        at = np.minimum(np.searchsorted(pairs[hidden], keys[wrong]), len(hidden) - 1)
+        same = pairs[hidden[at]] == keys[wrong]
+        rank[wrong[same]] = hidden[at[same]]
+    return rank
+
 
-    Also the places of all their occurrences, among others.
+def frequent_pairs(keys: np.ndarray, rough: np.ndarray, least: int, span: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted pairs that occur at least ``least`` times and near as often as the commonest, with their counts.
 
-    Pairs are first counted by a hash of 20 bits, which can only count too high; those in
-    buckets that reach the bound are then counted exactly.
+    Also which of ``keys`` may be among them. ``rough`` is never below a pair's count: only
+    pairs whose rough count reaches the bound are counted exactly.
     """
-    spread = (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-    rough = np.bincount(spread, minlength=1 << 20).astype(np.int32)[spread]
-    rough[~open_] = 0
-    floor = max(least, int(rough.max() * span))
+    floor = max(least, int(rough.max(initial=0) * span))
     while True:
-        places = np.flatnonzero(rough >= floor)
-        some = np.sort(keys[places])
-        cuts = np.flatnonzero(np.concatenate([some[:1] == some[:1], some[1:] != some[:-1]]))
-        counts = np.diff(np.append(cuts, len(some)))
+        some = np.flatnonzero(rough >= floor)
+        ordered = np.sort(keys[some])
+        cuts = np.flatnonzero(np.concatenate([ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1]]))
+        counts = np.diff(np.append(cuts, len(ordered)))
         frequent = counts >= floor
         if frequent.any() or floor <= least:
-            return some[cuts[frequent]], counts[frequent], places
+            return ordered[cuts[frequent]], counts[frequent], some
         floor = max(least, floor // 4)
 
 
-def compress(ids: np.ndarray, offsets: np.ndarray, rounds: int = ROUNDS, least: int = LEAST, span: float = SPAN) -> Shard:
-    """The shard of ``ids`` with n + 1 document ``offsets``."""
-    symbols = ids.astype(np.int64)
+def compress(ids: np.ndarray, offsets: np.ndarray, least: int = LEAST, span: float = SPAN) -> Shard:
+    """The shard of ``ids`` with n + 1 document ``offsets``; no pair is left that occurs ``least`` times.
+
+    A pair of known symbols only ever gets rarer, so places whose pair was too rare once are
+    looked at again only when a neighbour was replaced. Pairs are first counted by a hash of
+    20 bits, which can only count too high.
+    """
+    symbols = ids.astype(np.int32)
     base = top = int(symbols.max(initial=0)) + 1
     starts = offsets.astype(np.int64)
-    last = np.zeros(len(symbols), bool)
-    last[starts[1:][np.diff(starts) > 0] - 1] = True
+    open_ = np.ones(len(symbols), bool)
+    # no pair begins at a document's last symbol
+    open_[starts[1:][np.diff(starts) > 0] - 1] = False
     left, right, lengths = [], [], []
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        keys = symbols[:-1] << 32 | symbols[1:]
-        pairs, often, places = frequent_pairs(keys, ~last[:-1], least, span)
+    sizes = np.ones(base, np.int64)
+    while len(places := np.flatnonzero(open_)):
+        keys = symbols[places].astype(np.int64) << 32 | symbols[places + 1]
+        spread = _spread(keys)
+        rough = np.bincount(spread, minlength=1 << 20)[spread]
+        open_[places] = rough >= least
+        enough = np.flatnonzero(rough >= least)
+        places, keys, spread = places[enough], keys[enough], spread[enough]
+        pairs, often, some = frequent_pairs(keys, rough[enough], least, span)
         if not len(pairs):
             break
         # the commoner pair wins where two overlap; ties go to the smaller pair
         order = np.lexsort((-pairs, often))
-        place = np.empty(len(pairs), np.int32)
-        place[order] = np.arange(len(pairs))
-        at = np.minimum(np.searchsorted(pairs, keys[places]), len(pairs) - 1)
-        rank = np.full(len(keys), -1, np.int32)
-        rank[places] = np.where(pairs[at] == keys[places], place[at], -1)
-        taken = np.flatnonzero(_chosen(rank))
-        used, number = np.unique(rank[taken], return_inverse=True)
-        if not len(used):
-            break
-        new = pairs[order[used]]
+        by_rank = pairs[order]
+        rank = _ranks(by_rank, keys[some], spread[some])
+        found = np.flatnonzero(rank >= 0)
+        places, rank = places[some[found]], rank[found]
+        chosen = np.flatnonzero(_chosen(places, rank))
+        taken, rank = places[chosen], rank[chosen]
+        used = np.bincount(rank, minlength=len(pairs)) > 0
+        number = (np.cumsum(used) - 1)[rank].astype(np.int32)
+        new = by_rank[used]
         a, b = new >> 32, new & 0xFFFFFFFF
-        sizes = np.concatenate([np.ones(base, np.int64), *lengths]) if lengths else None
-        each = [np.where(x < base, 1, sizes[x]) if sizes is not None else np.ones(len(x), np.int64) for x in (a, b)]
         left.append(a)
         right.append(b)
-        lengths.append(each[0] + each[1])
+        lengths.append(sizes[a] + sizes[b])
+        sizes = np.concatenate([sizes, lengths[-1]])
         symbols[taken] = top + number
         keep = np.ones(len(symbols), bool)
         keep[taken + 1] = False
-        last[taken] = last[taken + 1]
-        starts = np.concatenate([[0], np.cumsum(keep)])[starts]
-        symbols, last = symbols[keep], last[keep]
-        top += len(used)
+        keep = np.flatnonzero(keep)
+        symbols, open_ = symbols[keep], open_[keep]
+        starts = starts - np.searchsorted(taken + 1, starts)
+        # both pairs of a new symbol are new
+        now = taken - np.arange(len(taken))
+        open_[now] = True
+        open_[np.maximum(now - 1, 0)] = True
+        open_[starts[1:][np.diff(starts) > 0] - 1] = False
+        top += len(new)
     empty = np.zeros(0, np.int64)
     rules = [np.concatenate([empty, *x]) for x in (left, right, lengths)]
-    return Shard(base, *rules, symbols, starts)
+    return Shard(base, *rules, symbols.astype(np.int64), starts)
 
 
 SHARDS = "part int, shard int, first_id long, documents int, ids long, doc_ids array<long>, payload binary"

@@ -2,13 +2,15 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from courierlens.llm.grammar import Shard, compress, encode_documents, write_shards
+from courierlens.llm import grammar
+from courierlens.llm.grammar import LEAST, Shard, compress, encode_documents, write_shards
 from courierlens.llm.queries import vocabulary_file
 
 
@@ -37,6 +39,41 @@ def test_repeats_shrink_and_rules_know_their_length():
     assert all(shard.document(i).tolist() == d for i, d in enumerate(documents))
 
 
+def commonest(shard):
+    """Occurrences of the commonest neighbouring pair within documents."""
+    runs = [shard.symbols[a:b].tolist() for a, b in zip(shard.starts[:-1], shard.starts[1:], strict=True)]
+    return max(Counter(p for run in runs for p in zip(run, run[1:], strict=False)).values(), default=0)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=60), max_size=8), st.integers(2, 5), st.sampled_from([0.005, 0.5]))
+def test_no_frequent_pair_is_left(documents, least, span):
+    assert commonest(shard_of(documents, least=least, span=span)) < least
+
+
+def test_no_frequent_pair_is_left_in_many_ids():
+    rng = np.random.default_rng(5)
+    words = [rng.zipf(1.3, 12) % 3000 for _ in range(300)]
+    documents = [np.concatenate([words[i] for i in rng.integers(0, 300, 40)]).tolist() for _ in range(120)]
+    shard = shard_of(documents)
+    assert commonest(shard) < LEAST and shard.lengths.max() > 8
+    assert all(shard.document(i).tolist() == d for i, d in enumerate(documents))
+
+
+def test_rules_of_copies_grow_as_long_as_the_copies():
+    text = list(range(1000))
+    shard = shard_of([text] * 9)
+    assert shard.lengths.max() == 1000 and len(shard.symbols) == 9
+    assert shard.document(4).tolist() == text
+
+
+def test_rules_that_are_not_written_out_decode_alike(monkeypatch):
+    documents = [[1, 2, 3, 1, 2, 3] * 50, [], [2]]
+    shard = shard_of(documents)
+    monkeypatch.setattr(grammar, "WRITTEN_OUT", 1)
+    assert [shard.document(i).tolist() for i in range(3)] == documents
+
+
 def test_long_runs_of_one_id():
     documents = [[7] * n for n in (1, 2, 3, 1000, 4097)] + [[]]
     shard = shard_of(documents)

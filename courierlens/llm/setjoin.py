@@ -188,11 +188,16 @@ def _from_planes(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
-BLOCK = "part int, docs binary, refs binary, hashes binary"
+BLOCK = "part int, docs binary, sets binary, refs binary, hashes binary"
 
 
-def pack_blocks(ids: np.ndarray, hashes: np.ndarray, roles: np.ndarray, rows: np.ndarray, parts: int) -> Iterator[tuple]:
-    """One packed block per target partition: distinct ids, (place, role) and sorted 32-bit rests of the hashes."""
+def pack_blocks(
+    ids: np.ndarray, sets: np.ndarray, hashes: np.ndarray, roles: np.ndarray, rows: np.ndarray, parts: int
+) -> Iterator[tuple]:
+    """One packed block per target partition.
+
+    It holds distinct ids and the hashes of their sets, (place, role) and sorted 32-bit rests of the hashes.
+    """
     high = (hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)
     low = hashes & np.uint64(0xFFFFFFFF)
     order = np.argsort(high << np.uint64(32) | low, kind="stable")
@@ -204,27 +209,41 @@ def pack_blocks(ids: np.ndarray, hashes: np.ndarray, roles: np.ndarray, rows: np
             used, place = np.unique(rows[a:b], return_inverse=True)
             refs = (place << 3 | roles[a:b]).astype(np.uint16)
             steps = np.diff(low[a:b], prepend=np.uint32(0)).astype(np.uint32)
-            yield part, _planes(ids[used]), _planes(refs), _planes(steps)
+            yield part, _planes(ids[used]), _planes(sets[used]), _planes(refs), _planes(steps)
+
+
+def set_hashes(sets: Sets, salt: np.uint64 = _SALT) -> np.ndarray:
+    """A 64-bit hash of each set: the sum of its elements' hashes."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(sets.values + salt))])
+    return (sums[sets.bounds[1:]] - sums[sets.bounds[:-1]]).view(np.int64)
 
 
 def block_batches(batches: Iterator[pa.RecordBatch], j: Join, parts: int) -> Iterator[pa.RecordBatch]:
+    """Packed signatures; of equal sets in one block only the smallest id goes on."""
     for batch in batches:
         data, offsets = flat(batch.column(1))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         for a, b in slices(offsets, BLOCK_BYTES):
             for at in range(a, b, BLOCK_DOCS):
                 end = min(at + BLOCK_DOCS, b)
-                found = []
+                found, marks = [], []
                 for c, d in slices(offsets[at : end + 1]):
                     c, d = at + c, at + d
                     sets = shingle_sets(data[offsets[c] : offsets[d]], offsets[c : d + 1] - offsets[c])
                     hashes, roles, rows = signatures(sets, j)
                     found.append((hashes, roles, rows + np.int32(c - at)))
-                blocks = list(pack_blocks(ids[at:end], *(np.concatenate(v) for v in zip(*found, strict=True)), parts))
+                    marks.append(set_hashes(sets))
+                hashes, roles, rows = (np.concatenate(v) for v in zip(*found, strict=True))
+                own, marks = ids[at:end], np.concatenate(marks)
+                order = np.lexsort((own, marks))
+                once = np.zeros(len(own), bool)
+                once[order[np.concatenate([[True], marks[order][1:] != marks[order][:-1]])]] = True
+                new = once[rows]
+                blocks = list(pack_blocks(own, marks, hashes[new], roles[new], rows[new], parts))
                 if blocks:
-                    kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
+                    kinds = [pa.int32(), *[pa.binary()] * 4]
                     columns = [pa.array(c, t) for c, t in zip(zip(*blocks, strict=True), kinds, strict=True)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["part", "docs", "refs", "hashes"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["part", "docs", "sets", "refs", "hashes"])
 
 
 _INDEXED = np.isin(np.arange(8), [INDEX, INDEX_PROBE, INDEX_PROBE_ONE])
@@ -242,9 +261,11 @@ def meets(one: np.ndarray, other: np.ndarray) -> np.ndarray:
 
 
 def buckets(docs: np.ndarray, roles: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of the buckets that hold two documents and a probe that may meet: bucket, document, role."""
-    order = np.lexsort((docs, hashes))
+    """Rows of the buckets that hold two documents and a probe that may meet: bucket, document, role, each once."""
+    order = np.lexsort((roles, docs, hashes))
     docs, roles, hashes = docs[order], roles[order], hashes[order]
+    once = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (docs[1:] != docs[:-1]) | (roles[1:] != roles[:-1])])
+    docs, roles, hashes = docs[once], roles[once], hashes[once]
     begin = np.concatenate([[True], hashes[1:] != hashes[:-1]])
     bucket = np.cumsum(begin) - 1
     firsts = np.flatnonzero(begin)
@@ -296,15 +317,24 @@ def candidates(bucket: np.ndarray, docs: np.ndarray, roles: np.ndarray) -> tuple
 def meet_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict[int, list] = {}
     for batch in batches:
-        for part, docs, refs, hashes in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            held.setdefault(part, []).append((docs, refs, hashes))
+        for part, *block in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            held.setdefault(part, []).append(block)
     for part in sorted(held):
-        docs, roles, hashes = [], [], []
-        for d, r, h in held.pop(part):
+        docs, sets, places, roles, hashes = [], [], [], [], []
+        at = 0
+        for d, s, r, h in held.pop(part):
             ref = _from_planes(r, np.uint16)
-            docs.append(_from_planes(d, np.int64)[ref >> 3])
+            docs.append(_from_planes(d, np.int64))
+            sets.append(_from_planes(s, np.int64))
+            places.append((ref >> 3).astype(np.int64) + at)
+            at += len(docs[-1])
             roles.append((ref & 7).astype(np.uint8))
             hashes.append(np.cumsum(_from_planes(h, np.uint32), dtype=np.uint64).astype(np.uint32))
+        # all equal sets are here, or none: the smallest id stands for them
+        _, which = np.unique(np.concatenate(sets), return_inverse=True)
+        least = np.full(which.max(initial=-1) + 1, np.iinfo(np.int64).max)
+        np.minimum.at(least, which, np.concatenate(docs))
+        docs = [least[which][np.concatenate(places)]]
         pairs, count, members, kinds = candidates(*buckets(*(np.concatenate(v) for v in (docs, roles, hashes))))
         for a in range(0, len(pairs), 1 << 16):
             own = pairs[a : a + (1 << 16)]
@@ -383,12 +413,11 @@ def describe(docs: DataFrame) -> DataFrame:
             data, offsets = flat(batch.column(1))
             for a, b in slices(offsets):
                 sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                one, two = (np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(sets.values + s))]) for s in (_SALT, ~_SALT))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0)[a:b],
                         pa.array(sets.sizes),
-                        *(pa.array((v[sets.bounds[1:]] - v[sets.bounds[:-1]]).view(np.int64)) for v in (one, two)),
+                        *(pa.array(set_hashes(sets, salt)) for salt in (_SALT, ~_SALT)),
                         pa.array([parity(sets.row(i)) for i in range(b - a)], pa.binary()),
                         pa.array([parity(sets.row(i), FINE) for i in range(b - a)], pa.binary()),
                     ],
@@ -510,14 +539,13 @@ def deal_blocks(rows: DataFrame, j: Join) -> DataFrame:
     )
 
 
-def open_groups(groups: DataFrame, info: DataFrame, where: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
+def open_groups(groups: DataFrame, info: DataFrame, joined: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
     """Rows of large buckets in bounded groups (bucket, low, high), in which all pairs that may link meet."""
     # two buckets that share a name are searched as one, which only adds candidates
     rows = groups.withColumn("bucket", F.xxhash64("members", "roles"))
     rows = rows.select("bucket", F.explode(F.arrays_zip("members", "roles")).alias("m"))
-    rows = rows.select("bucket", F.col("m.members").alias("doc_id"), F.col("m.roles").alias("role"))
-    rows = rows.join(where, "doc_id", "left").withColumn("rep", F.coalesce("rep", "doc_id"))
-    # equal sets become one row of a bucket before the join, however many they are
+    rows = rows.select("bucket", F.col("m.members").alias("rep"), F.col("m.roles").alias("role"))
+    rows = rows.join(joined.withColumnRenamed("node", "rep"), "rep", "left")
     rows = rows.select("bucket", "rep", "role", F.coalesce("component", "rep").alias("component")).distinct()
     sizes = info.select(F.col("doc_id").alias("rep"), "n_shingles")
     rows = scratch_table(spanning(rows).join(sizes, "rep"), "open-rows")
@@ -529,9 +557,9 @@ def open_groups(groups: DataFrame, info: DataFrame, where: DataFrame, texts: Dat
     return deal_blocks(rows, j).join(info.select(F.col("doc_id").alias("rep"), "fine"), "rep")
 
 
-def open_pairs(groups: DataFrame, info: DataFrame, where: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
+def open_pairs(groups: DataFrame, info: DataFrame, joined: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
     """Candidate pairs of large buckets that lie in different components and are not refuted."""
-    rows = open_groups(groups, info, where, texts, j)
+    rows = open_groups(groups, info, joined, texts, j)
 
     def run(table: pa.Table) -> pa.Table:
         rep, component, role, n = (table.column(c).to_numpy() for c in ("rep", "component", "role", "n_shingles"))
@@ -552,7 +580,8 @@ def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
     * Links are those of the contract: 100 * intersection >= percent * union of distinct
       five-word shingles of the text, A-Z lower-cased; fewer words are one shingle.
     * A null, empty or blank text has an empty set and links with nothing.
-    * Equal sets are found by two 64-bit hashes of the set and joined as one representative.
+    * Equal sets are one from the buckets on, under their smallest id, by a 64-bit hash; the other
+      ids join its component at the end, by two.
     * A null id links with nothing and has a null component. Rows with one id are one node;
       each has its own ``n_shingles``.
     * Extra columns are ignored; an empty table gives no rows.
@@ -567,22 +596,13 @@ def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
 
     sets = ["n_shingles", "set_hash", "set_check"]
     named = info.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    copies = named.groupBy(*sets).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    copies = scratch_table(copies.drop("n"), "copies")
-    reps = scratch_table(named.join(copies, sets).where("doc_id <> rep").select("doc_id", "rep").distinct(), "reps")
-    reps_info = scratch_table(
-        named.join(reps.select("doc_id"), "doc_id", "left_anti").select("doc_id", "n_shingles", "parity", "fine").distinct(),
-        "rep-info",
-    )
-
-    def by_rep(pairs: DataFrame) -> DataFrame:
-        for side in ("a", "b"):
-            own = reps.select(F.col("doc_id").alias(side), F.col("rep").alias(f"r_{side}"))
-            pairs = pairs.join(own, side, "left")
-        a, b = (F.coalesce(f"r_{s}", s) for s in ("a", "b"))
-        return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), "n").where("a <> b")
-
-    pairs = by_rep(found.where("b IS NOT NULL").select("a", "b", "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    # one row per distinct set, under the smallest id that has it
+    marks = [F.first(c).alias(c) for c in ("parity", "fine")]
+    reps_info = named.groupBy(*sets).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), *marks)
+    reps_info = scratch_table(reps_info, "rep-info")
+    copied = reps_info.where("copies > 1").select(*sets, F.col("doc_id").alias("rep"))
+    reps = scratch_table(named.join(copied, sets).where("doc_id <> rep").select("doc_id", "rep").distinct(), "reps")
+    pairs = found.where("b IS NOT NULL").groupBy("a", "b").agg(F.sum("n").alias("n"))
     pairs = scratch_table(pairs, "pairs")
     likely = scratch_table(refuted(pairs, reps_info, j), "likely")
     # first every document's pair with the centre it met most often: most components follow from these
@@ -600,14 +620,9 @@ def link_documents(docs: DataFrame, j: Join | None = None) -> DataFrame:
     # then what is still apart: other pairs, and the rest of large buckets whose centre did not link to all
     rest = component(likely).select("a", "b").join(first, ["a", "b"], "left_anti")
     stars = found.where("members IS NOT NULL").select("a", "members", "roles")
-    apart = component(pairs).select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-    centres = stars.select(F.col("a").alias("doc_id")).distinct().join(reps, "doc_id", "left")
-    centres = centres.withColumn("rep", F.coalesce("rep", "doc_id"))
-    failed = scratch_table(centres.join(apart, "rep").select(F.col("doc_id").alias("a")).distinct(), "failed")
-    where = reps.unionByName(joined.select(F.col("node").alias("doc_id"), F.col("node").alias("rep")))
-    where = where.join(joined.select(F.col("node").alias("rep"), "component"), "rep", "left")
-    where = scratch_table(where.select("doc_id", "rep", "component"), "where")
-    others = open_pairs(stars.join(failed, "a", "left_semi"), reps_info, where, texts, j)
+    apart = component(pairs).select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    failed = scratch_table(stars.select(F.col("a").alias("doc_id")).distinct().join(apart, "doc_id").select(F.col("doc_id").alias("a")), "failed")
+    others = open_pairs(stars.join(failed, "a", "left_semi"), reps_info, joined, texts, j)
     more = scratch_table(rest.unionByName(others).distinct().join(first, ["a", "b"], "left_anti"), "more")
     late = scratch_table(verify(texts, more, j), "late-links")
     tied = links.unionByName(late).unionByName(copies_links(reps))

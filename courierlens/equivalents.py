@@ -500,6 +500,13 @@ FROM fact_orders GROUP BY district ORDER BY orders DESC, district LIMIT 5"""),
     "check_sample": _star("""
 SELECT order_id, district, delivery_time_min, weather, traffic_level, status
 FROM fact_orders ORDER BY order_id LIMIT 5"""),
+    "order_summary": _star(f"""
+SELECT count(*) AS total_orders,
+       {_status_count("delivered", "ELSE 0")}, {_status_pct("delivered")},
+       {_status_count("delayed", "ELSE 0")}, {_status_pct("delayed")},
+       {_status_count("cancelled", "ELSE 0")}, {_status_pct("cancelled")},
+       {_even(*_MINUTES, 1)} AS avg_delivery_min, {_even(*_VALUE, 1)} AS avg_order_value
+FROM fact_orders"""),
     "mart_captain_performance": _star(f"""
 SELECT o.captain_id, c.name, c.rating, c.performance_tier, c.district, c.total_deliveries,
        count(o.order_id) AS total_orders, {_up(*_MINUTES, 1)} AS avg_delivery_min,
@@ -651,6 +658,11 @@ FROM fact_orders f"""),
     "delay_enrichment": _star(
         "SELECT order_id, prep_time_min, delivery_time_min, is_delayed FROM fact_orders"
     ),
+    "order_labels": _star(f"""
+SELECT order_id, printf('ORD%06d', order_id) AS order_key, printf('CUST%05d', customer_id) AS customer_key,
+       'Restaurant ' || name AS restaurant_label,
+       {_up("CAST(round(order_value_sar * 100) AS BIGINT)", "100", 1)} AS value_rounded
+FROM fact_orders JOIN dim_restaurants USING (restaurant_id)"""),
     "status_rule": _star("SELECT order_id, weather, traffic_level, delivery_time_min, status FROM fact_orders"),
     "demand_slots": _star("SELECT * FROM slots", _SLOTS),
     "demand_slot_stats": _star(
@@ -841,22 +853,31 @@ for _name, _same in {
 }.items():
     EQUIVALENTS[_name] = EQUIVALENTS[_same]
 
-# the products of the whole flow that are the rows of a query above, and the others by their own count
+# the products of the whole flow that are the rows of a query above, and the parts by their own count
 _FLOW = {
-    name: f"({EQUIVALENTS[name]})"
+    name: EQUIVALENTS[name]
     for name in [
-        "dq_results", "gold_cube", "mart_captain_performance", "report_overview", "report_busiest_districts",
+        "dq_results", "mart_captain_performance", "report_overview", "report_busiest_districts",
         "report_weather_impact", "report_hours", "check_status", "check_districts", "mart_zone_analysis",
         "dash_kpis", "dash_status_share", "dash_weather_delay", "dash_districts", "dash_hourly", "dash_traffic",
         "dash_district_weather", "dash_hour_district", "dash_alerts", "report_worst_captains",
         "report_slowest_restaurants", "dash_captain_scatter", "dash_top_captains", "dash_attention_captains",
         "dash_district_weather_wide", "check_row_counts", "check_sample", "demand_slots", "demand_slot_stats",
     ]
-} | {
-    "captain_parts": f"({_star('SELECT DISTINCT captain_id FROM fact_orders')})",
-    "restaurant_parts": f"({_star('SELECT DISTINCT restaurant_id FROM fact_orders')})",
-    "build_summary": "(SELECT 1)",
-}
+} | {"build_summary": EQUIVALENTS["order_summary"]}
+_FLOW_PARTS = {
+    "gold_cube": EQUIVALENTS["gold_cube"],
+    "captain_parts": _star("SELECT DISTINCT captain_id FROM fact_orders"),
+    "restaurant_parts": _star("SELECT DISTINCT restaurant_id FROM fact_orders"),
+}
 EQUIVALENTS["flow_products"] = "\nUNION ALL ".join(
-    f"SELECT '{name}' AS product, count(*) AS n_rows FROM {rows}" for name, rows in _FLOW.items()
+    [
+        f"""
+SELECT '{name}' AS product, count(*) AS n_rows, sum(h)::VARCHAR AS content FROM (
+  SELECT r, ('0x' || substr(md5(string_agg(c || '=' || coalesce(try_cast(v AS DECIMAL(30,4))::VARCHAR, v), '|' ORDER BY c)), 1, 15))::BIGINT AS h
+  FROM (UNPIVOT (SELECT row_number() OVER () AS r, COLUMNS(*)::VARCHAR FROM ({rows})) ON COLUMNS(* EXCLUDE (r)) INTO NAME c VALUE v)
+  GROUP BY r)"""
+        for name, rows in _FLOW.items()
+    ]
+    + [f"SELECT '{name}', count(*), NULL FROM ({rows})" for name, rows in _FLOW_PARTS.items()]
 )

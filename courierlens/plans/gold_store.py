@@ -31,7 +31,7 @@ class Refresh:
     rebuilt: bool
 
 
-def source_files(spark: SparkSession, source: str) -> DataFrame:
+def source_files(spark: SparkSession, source: str | list[str]) -> DataFrame:
     """(path, length, modified) of the Parquet files below ``source``; no file is opened."""
     listed = (
         spark.read.format("binaryFile")

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from courierlens.operators.quality import run_tests
 from courierlens.plans import dashboard, delay_model, demand_model, marts, reports, staging, validation
 from courierlens.plans.gold import FROM_GOLD, captain_parts, gold_cube, restaurant_parts
+from courierlens.plans.gold_store import source_files
 from courierlens.sources.tables import Star, load_star, parquet_reader, save_star
+from courierlens.sources.versions import mark, marked
 
 
 class DataTestsFailed(RuntimeError):
     """The staged tables break a declared column test."""
 
 
+def input_fingerprint(spark: SparkSession, star: Star, *settings: object) -> str | None:
+    """A digest of the files behind the star and of the settings; None for rows that come from no file."""
+    totals = []
+    for table in star.tables().values():
+        paths = table.inputFiles()
+        if not paths:
+            return None
+        each = F.xxhash64("path", "length", "modified").cast("decimal(38,0)")
+        totals.append(tuple(source_files(spark, paths).agg(F.count(F.lit(1)), F.sum(each)).first()))
+    return hashlib.sha256(repr((totals, settings)).encode()).hexdigest()[:16]
+
+
 def run_pipeline(
     spark: SparkSession,
     star: Star,
@@ -28,17 +46,30 @@ def run_pipeline(
     After the data tests three grouped passes over the fact feed the gold tables, and
     all reports and marts come from those. Each product is a table of its own, so
     later steps start from written data.
+
+    A product is marked when it is whole, with the fingerprint of the files it came from. A
+    run that finds the mark of its own inputs leaves the product as it is, so a run after a
+    failure writes only what is missing. A star that comes from no files is written anew.
     """
     written: dict[str, str] = {}
+    print_ = input_fingerprint(spark, star, rounds, extra_features)
+
+    def once(name: str, path: str, make: Callable[[], None]) -> None:
+        """Make the product unless its mark says that it is there."""
+        if print_ is None or not marked(spark, out, name, print_):
+            make()
+            if print_ is not None:
+                mark(spark, out, name, print_)
+        written[name] = path
 
     def write(layer: str, name: str, df: DataFrame) -> DataFrame:
         path = f"{out.rstrip('/')}/{layer}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        written[name] = path
+        once(name, path, lambda: df.write.mode("overwrite").parquet(path))
         return spark.read.parquet(path)
 
     bronze = f"{out.rstrip('/')}/bronze"
-    save_star(star, bronze)
+    once("bronze", bronze, lambda: save_star(star, bronze))
+    del written["bronze"]
     star = load_star(parquet_reader(spark, bronze))
     views = staging.staged(star)
     orders, captains, restaurants = (
@@ -69,12 +100,21 @@ def run_pipeline(
     slots = write("gold", "demand_slots", demand_model.demand_slots(cube))
     write("gold", "demand_slot_stats", demand_model.slot_stats(slots))
     if train_models:
-        delay = delay_model.train(star, rounds, extra_features=extra_features)
-        demand = demand_model.train(cube, rounds)
-        for name, run in (("delay", delay), ("demand", demand)):
+        trainers = {
+            "delay": lambda: delay_model.train(star, rounds, extra_features=extra_features),
+            "demand": lambda: demand_model.train(cube, rounds),
+        }
+        for name, train in trainers.items():
             path = f"{out.rstrip('/')}/models/{name}"
-            delay_model.save_model(run.model, path)
-            written[f"{name}_model"] = path
-            write("models", f"{name}_metrics", run.metrics())
-            write("models", f"{name}_importance", delay_model.importances(spark, run.model))
+
+            def model_products(name: str = name, train: Callable = train, path: str = path) -> None:
+                run = train()
+                delay_model.save_model(run.model, path)
+                run.metrics().write.mode("overwrite").parquet(f"{out.rstrip('/')}/models/{name}_metrics")
+                ranked = delay_model.importances(spark, run.model)
+                ranked.write.mode("overwrite").parquet(f"{out.rstrip('/')}/models/{name}_importance")
+
+            once(f"{name}_model", path, model_products)
+            for kind in ("metrics", "importance"):
+                written[f"{name}_{kind}"] = f"{out.rstrip('/')}/models/{name}_{kind}"
     return written

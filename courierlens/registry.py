@@ -7,11 +7,11 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courierlens.functions import rules
-from courierlens.functions.rounding import settled
+from courierlens.functions.rounding import half_up, settled
 from courierlens.operators.boosting import BoostedTrees, described, importances_of
 from courierlens.operators.metrics import class_profile, classification_metrics, regression_metrics
 from courierlens.operators.permutation import permutation_importance
@@ -113,14 +113,34 @@ def catalog_orders(spark: SparkSession, root: str) -> DataFrame:
     return _time_as_text(tables.conform(tables.catalog_reader(spark)(name), schema))
 
 
+# products whose columns are parts, which no other query returns
+PARTS_ONLY = {"gold_cube", "captain_parts", "restaurant_parts"}
+
+
+def content_digest(df: DataFrame) -> DataFrame:
+    """One row: ``n_rows``, and ``content``, a sum of hashes of all rows by their named values.
+
+    Numbers count by their value to four places, so neither type nor notation matters.
+    """
+    def named(name: str) -> Column:
+        text = F.col(f"`{name}`").cast("string")
+        return F.concat(F.lit(f"{name}="), F.coalesce(text.try_cast("decimal(30,4)").cast("string"), text))
+
+    digest = F.md5(F.concat_ws("|", *[named(c) for c in sorted(df.columns)]))
+    number = F.conv(F.substring(digest, 1, 15), 16, 10).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(number).cast("string").alias("content"))
+
+
 def flow_products(spark: SparkSession, root: str) -> DataFrame:
-    """The whole flow without models: every product with its rows, as read back from what was written."""
+    """The whole flow without models: every product's rows and content, as read back from what was written."""
     written = run_pipeline(spark, working_star(spark, root), _exchange_folder(spark, "flow"), train_models=False)
-    counts = [
-        spark.read.parquet(path).agg(F.lit(name).alias("product"), F.count(F.lit(1)).alias("n_rows"))
-        for name, path in written.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    found = []
+    for name, path in written.items():
+        digest = content_digest(spark.read.parquet(path))
+        if name in PARTS_ONLY:
+            digest = digest.withColumn("content", F.lit(None).cast("string"))
+        found.append(digest.select(F.lit(name).alias("product"), "n_rows", "content"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _refreshed_gold(spark: SparkSession, root: str) -> dict[str, DataFrame]:
@@ -209,6 +229,18 @@ def status_rule(orders: DataFrame) -> DataFrame:
     return orders.select("order_id", "weather", "traffic_level", "delivery_time_min", status.alias("status"))
 
 
+def order_labels(orders: DataFrame, restaurants: DataFrame) -> DataFrame:
+    """Keys padded with zeros, a name with its prefix, and a value rounded to one place."""
+    named = orders.join(restaurants.select("restaurant_id", "name"), "restaurant_id")
+    return named.select(
+        "order_id",
+        rules.numbered_key("ORD", F.col("order_id"), 6).alias("order_key"),
+        rules.numbered_key("CUST", F.col("customer_id"), 5).alias("customer_key"),
+        F.concat(F.lit("Restaurant "), F.col("name")).alias("restaurant_label"),
+        half_up(F.round(F.col("order_value_sar") * 100).cast("long"), F.lit(100), 1).alias("value_rounded"),
+    )
+
+
 def orphan_orders(orders: DataFrame, captains: DataFrame) -> DataFrame:
     """Orders whose captain is not among those rated three and better, by captain: what a left join leaves open."""
     listed = captains.where("rating >= 3.0").select("captain_id", "name")
@@ -513,6 +545,7 @@ QUERIES: dict[str, Query] = {
     "check_status": over_orders(validation.by_status),
     "check_districts": over_orders(validation.top_districts),
     "check_sample": over_orders(validation.order_sample),
+    "order_summary": over_orders(validation.build_summary),
     # marts
     "mart_captain_performance": over_captains(
         lambda o, c: marts.captain_performance(o, staging.stg_captains(c))
@@ -558,6 +591,7 @@ QUERIES: dict[str, Query] = {
     "peak_flags": over_orders(peak_flags),
     "delay_enrichment": over_orders(delay_enrichment),
     "status_rule": over_orders(status_rule),
+    "order_labels": over_restaurants(order_labels),
     "orphan_orders": over_captains(orphan_orders),
     # demand and model data
     "demand_slots": over_orders(demand_model.demand_slots),

@@ -58,3 +58,19 @@ def publish(spark: SparkSession, root: str, write: Callable[[str], None], keep:
         delete_folder(spark, f"{root.rstrip('/')}/{_LIST}/{old}")
         delete_folder(spark, _folder(root, old))
     return _folder(root, name)
+
+
+def marked(spark: SparkSession, root: str, name: str, state: str) -> bool:
+    """Whether ``name`` below ``root`` was finished in this state."""
+    path, fs = _path(spark, f"{root.rstrip('/')}/marks/{name}.{state}")
+    return fs.exists(path)
+
+
+def mark(spark: SparkSession, root: str, name: str, state: str) -> None:
+    """Say that ``name`` below ``root`` is whole in this state, and in no other."""
+    path, fs = _path(spark, f"{root.rstrip('/')}/marks/{name}.{state}")
+    fs.mkdirs(path.getParent())
+    for status in fs.listStatus(path.getParent()):
+        if status.getPath().getName().rpartition(".")[0] == name:
+            fs.delete(status.getPath(), False)
+    fs.createNewFile(path)

@@ -135,11 +135,12 @@ def learn_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings | None
                         i = int(own[0] >> BITS)
                         at = np.append(own & ((1 << BITS) - 1), 1 << BITS).astype(np.int32)
                         rows.append((ids[i], at, labels_[i], weights[i]))
-        rows.sort(key=lambda r: r[0])
+        rows.sort(key=lambda r: (r[0], r[1].tobytes()))
         places, values = fit([r[1:] for r in rows], settings)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(values)], names=["place", "value"])
 
-    sample = labelled_sample(docs, labels, settings).coalesce(1)
+    # dealt, not merged: the documents are scanned by as many tasks as ever
+    sample = labelled_sample(docs, labels, settings).repartition(1)
     found = sample.mapInArrow(train, "place long, value double").collect()
     return np.array([r.place for r in found], np.int64), np.array([r.value for r in found], np.float64)
 

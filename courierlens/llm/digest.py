@@ -175,10 +175,12 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     keys = ["doc_id", F.xxhash64("text")]
     ranges = texts.repartitionByRange(shuffle_partitions(spark), *keys).sortWithinPartitions(*keys, "text")
     walked = scratch_table(ranges.mapInArrow(_walk, f"{SCHEMA}, part int, head binary, tail binary"), "digests")
-    # one row per range, so this order is as small as the list of partitions
     ends = walked.where("part IS NOT NULL")
-    order = Window.orderBy("part")
-    whole = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    after = F.coalesce(F.lead("head").over(order), F.first("head").over(whole))
-    stitched = ends.select("doc_id", "tail", after.alias("head")).mapInArrow(_stitch, SCHEMA)
+    # numbers of ranges alone are put in order; their texts then meet by the number
+    parts = ends.select("part")
+    first = F.min("part").over(Window.partitionBy())
+    after = parts.select("part", F.coalesce(F.lead("part").over(Window.orderBy("part")), first).alias("next"))
+    heads = ends.select(F.col("part").alias("next"), F.col("head").alias("after"))
+    met = ends.join(after, "part").join(heads, "next")
+    stitched = met.select("doc_id", "tail", F.col("after").alias("head")).mapInArrow(_stitch, SCHEMA)
     return walked.where("part IS NULL").select(*[n for n, _ in FIELDS]).unionByName(stitched)

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from courierlens.llm.blocks import SpanHasher, flat, slices, word_spans
 
 ROOT = 0
+# with no more words left than this, each is read on its own
+FEW = 64
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -72,12 +75,36 @@ class Automaton:
         for i in range(int(sizes[0]) if len(sizes) else 0):
             # longest first: the words that still have a byte at this place form a prefix
             live = int(np.searchsorted(-sizes, -i, side="left"))
+            if live <= FEW:
+                for k in range(live):
+                    rest = data[firsts[k] + i : firsts[k] + sizes[k]].tobytes()
+                    states[k], more = self._walk(int(states[k]), rest)
+                    counts[k] += more
+                break
             self._advance(states[:live], counts[:live], data[firsts[:live] + i].astype(np.int64))
         counts += self.end_pops[states]
         out = np.empty(len(order), np.int64)
         out[order] = counts
         return out
 
+    @cached_property
+    def _plain(self) -> tuple[dict[int, int], list[int], list[int]]:
+        """Transitions, links and pops as plain numbers."""
+        used = np.flatnonzero(self.slots >= 0)
+        moves = dict(zip(self.slots[used].tolist(), self.targets[used].tolist(), strict=True))
+        return moves, self.link.tolist(), self.pops.tolist()
+
+    def _walk(self, state: int, word: bytes) -> tuple[int, int]:
+        """The state after reading ``word`` from ``state``, and the tokens popped on the way."""
+        moves, link, pops = self._plain
+        popped = 0
+        for b in word:
+            while (to := moves.get(state << 8 | b)) is None:
+                popped += pops[state]
+                state = link[state]
+            state = to
+        return state, popped
+
     def _advance(self, states: np.ndarray, counts: np.ndarray, symbols: np.ndarray) -> None:
         pending = np.arange(len(states))
         while len(pending):

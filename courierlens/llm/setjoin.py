@@ -36,6 +36,8 @@ BLOCK_BYTES = 1 << 23
 SMALL = 4
 # requests for one copy of a star's centre
 CHUNK = 256
+# up to so many requests (32 MB of ids) every task knows which texts are asked for, and only those move
+KNOWN_IDS = 1 << 22
 
 
 @dataclass(frozen=True)
@@ -458,6 +460,8 @@ def verify(texts: DataFrame, pairs: DataFrame, j: Join) -> DataFrame:
                 [pa.array([h[k] for h in hits], pa.int64()) for k in (0, 1)], names=["a", "b"]
             )
 
+    if asked.count() <= KNOWN_IDS:
+        texts = texts.join(F.broadcast(asked.select("doc_id").distinct()), "doc_id", "left_semi")
     both = texts.join(asked, "doc_id").select("a", "chunk", "side", "doc_id", "text")
     spread = both.repartition(shuffle_partitions(texts.sparkSession), "a", "chunk").sortWithinPartitions("a", "chunk", "side")
     return spread.mapInArrow(run, "a long, b long")

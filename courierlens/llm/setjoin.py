@@ -643,9 +643,14 @@ def copies_links(reps: DataFrame) -> DataFrame:
 def first_of_each(docs: DataFrame, j: Join | None = None) -> DataFrame:
     """The rows of ``docs`` whose document is the smallest of its component; null ids stay.
 
-    Of rows with one id the one with the smallest text by hash stays.
+    Of rows with one id and one text the one with the smallest hash of all columns stays.
+    Rows that have an id in common but not the text all stay: no text is lost with its id.
     """
     lost = link_documents(docs, j).where("component_id <> doc_id").select("doc_id").distinct()
     lost = scratch_table(lost, "lost")
-    kept = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    names = docs.columns
+    kept = docs.where("doc_id IS NOT NULL").join(lost, "doc_id", "left_anti")
+    # the row travels as one value, so that none of its columns can clash
+    rows = kept.select(F.struct(*names).alias("kept_row"), F.xxhash64(*names).alias("kept_hash"))
+    once = rows.groupBy("kept_row.doc_id", "kept_row.text").agg(F.min_by("kept_row", "kept_hash").alias("kept_row"))
+    return once.select("kept_row.*").unionByName(docs.where("doc_id IS NULL"))

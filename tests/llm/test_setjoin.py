@@ -151,7 +151,10 @@ def test_difference_bound():
                     assert a + b - 2 * both <= difference(a, b, 75)
 
 
-def test_components_equal_brute_force(spark, documents):
+@pytest.mark.parametrize("known", [0, 1 << 22])
+def test_components_equal_brute_force(spark, documents, monkeypatch, known):
+    # asked texts are found by a broadcast of their ids, or by a join of all
+    monkeypatch.setattr(setjoin, "KNOWN_IDS", known)
     rng = random.Random(11)
     rows = corpus(rng, 40, 12, 120)
     base = " ".join(rng.choice("abcdefghijklmnopq") for _ in range(150))
@@ -212,3 +215,15 @@ def test_empty_tables_and_blank_texts(spark, documents):
         (3, 0, 3),
     ]
     assert link_documents(table.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_with_other_texts_stay(spark, documents):
+    schema = "doc_id long, text string, lang string, kept_row string, kept_hash long"
+    rows = [(1, "alpha beta gamma", "en", "x", 5), (1, "quite other words here", "de", "x", 5)]
+    rows += [(2, "alpha beta gamma", "en", "y", 6), (3, None, "a", "z", 7), (3, None, "b", "z", 7)]
+    table = documents(rows, schema)
+    for _ in range(2):
+        found = first_of_each(table.repartition(3))
+        assert found.columns == table.columns
+        got = sorted((r.doc_id, r.text or "", r.kept_row) for r in found.collect())
+        assert got == [(1, "alpha beta gamma", "x"), (1, "quite other words here", "x"), (3, "", "z")]

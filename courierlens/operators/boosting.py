@@ -25,8 +25,9 @@ from courierlens.sources.working_copy import materialize
 
 # a column with more labels is a plain number to the trees, as all codes are in the usual libraries
 CATEGORIES = 256
-# rows one task of a boosting round answers for
-ROWS_PER_TASK = 20_000
+# rows one task of a boosting round answers for: at least so many before rows are dealt to more
+# tasks, and at most so many however few cores there are (some 200 bytes each are kept in memory)
+ROWS_PER_TASK, MOST_PER_TASK = 20_000, 1_000_000
 NODES = (
     "tree int, node long, feature string, threshold double, left_codes array<double>, "
     "gain double, weighted_rows double, value double, tree_weight double"
@@ -80,6 +81,18 @@ class Encoding:
         return VectorAssembler(inputCols=list(inputs), outputCol="features").transform(with_inputs).drop(*inputs)
 
 
+def boosting_tasks(rows: int, cores: int) -> int:
+    """How many tasks each step of a boosting round has.
+
+    A round takes a shuffle per level, from every task to every task. Tasks beyond the
+    cores add nothing but its blocks, whose number is the square of theirs; where rows are
+    too many for one task per core, every core gets equally many.
+    """
+    few = max(1, min(ceil(rows / ROWS_PER_TASK), cores))
+    waves = ceil(rows / (few * MOST_PER_TASK))
+    return few * max(1, waves)
+
+
 @dataclass(frozen=True)
 class BoostedTrees:
     encoding: Encoding
@@ -93,7 +106,8 @@ class BoostedTrees:
         the rows has no say in how they are dealt.
         """
         coded = materialize(encoding.coded(rows), "coded-rows")
-        dealt = coded.repartition(max(1, ceil(coded.count() / ROWS_PER_TASK)))
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        dealt = coded.repartition(boosting_tasks(coded.count(), cores))
         learner = learner.copy({learner.maxBins: encoding.bins()})
         return BoostedTrees(encoding, learner.fit(encoding.assembled(dealt)))
 

@@ -8,7 +8,8 @@ from conftest import values
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from courierlens.operators.boosting import BoostedTrees, described, importances_of, label_tables
+from courierlens.operators import boosting
+from courierlens.operators.boosting import BoostedTrees, Encoding, boosting_tasks, described, importances_of, label_tables
 from courierlens.operators.encode import attach_codes, encode_columns, known_labels
 from courierlens.operators.metrics import class_profile, classification_metrics, confusion, regression_metrics
 from courierlens.operators.permutation import moved, permutation_importance
@@ -286,6 +287,31 @@ def test_a_model_being_saved_cannot_be_read(spark, delay_run, tmp_path):
         BoostedTrees.load(spark, path)
 
 
+def test_rounds_have_no_more_tasks_than_cores(spark, monkeypatch):
+    seen = []
+
+    class Learner:
+        maxBins = "maxBins"
+
+        def copy(self, extra):
+            return self
+
+        def fit(self, rows):
+            seen.append((rows.rdd.getNumPartitions(), rows.count()))
+
+    monkeypatch.setattr(boosting, "ROWS_PER_TASK", 10)
+    rows = spark.range(1000).selectExpr("id", "string(id % 3) AS w")
+    encoding = Encoding.of(label_tables(rows, ["w"]), {"w": "wc"}, ["wc"])
+    BoostedTrees.fit(Learner(), rows, encoding)
+    assert seen == [(spark.sparkContext.defaultParallelism, 1000)]
+
+
+def test_tasks_of_a_round_follow_cores_and_memory():
+    assert [boosting_tasks(n, 12) for n in (0, 11_800, 20_001, 120_000, 7_100_000, 12_000_001)] == [1, 1, 2, 6, 12, 24]
+    # many rows on few cores
+    assert boosting_tasks(43_000_000, 2) == 44
+
+
 # permutation importance
 
 

@@ -134,19 +134,23 @@ class Encoder:
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
         if len(self.known) + len(one) > KEEP:
             self._reset()
-        raw, found, sizes = data.tobytes(), [], []
-        for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
-            ids = [t.id for t in self.model.tokenize(raw[a:b].decode("latin-1").translate(self.spell))]
+        # the new pieces one after the other, spelled at once: a byte is one character
+        ends = np.cumsum(ends - starts)
+        begins = np.concatenate([[0], ends[:-1]])
+        at = np.arange(ends[-1]) + np.repeat(starts - begins, ends - begins)
+        text = data[at].tobytes().decode("latin-1").translate(self.spell)
+        tokenize, found, sizes = self.model.tokenize, [], []
+        for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
+            ids = [t.id for t in tokenize(text[a:b])]
             found += ids
             sizes.append(len(ids))
-        # rank -> the piece's run in ids
-        order = np.argsort(np.concatenate([self.known, one]), kind="stable")
-        base = len(self.which)
+        # rank -> the piece's run in ids; both sides are sorted
+        place = np.searchsorted(self.known, one)
+        self.which = np.insert(self.which, place, len(self.which) + np.arange(len(one)))
+        self.known = np.insert(self.known, place, one)
+        self.check = np.insert(self.check, place, two)
         self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.array(sizes, np.int64))])
         self.ids = np.concatenate([self.ids, np.array(found, np.uint32)])
-        self.which = np.concatenate([self.which, base + np.arange(len(one))])[order]
-        self.known = np.concatenate([self.known, one])[order]
-        self.check = np.concatenate([self.check, two])[order]
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows that hold known code points only, and how many each row has."""

@@ -1,15 +1,19 @@
 from __future__ import annotations
 
 import random
+import resource
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from courierlens.llm import grammar
+from courierlens.llm.blocks import flat
 from courierlens.llm.grammar import LEAST, Shard, compress, encode_documents, write_shards
 from courierlens.llm.queries import vocabulary_file
 
@@ -116,3 +120,16 @@ def test_small_shards_and_empty_table(spark, documents, tmp_path):
     assert sum(s.documents for s in shards) == len(TEXTS)
     assert all(s.ids <= 50 or s.documents == 1 for s in shards)
     assert encode_documents(table.limit(0), vocabulary_file()).count() == 0
+
+
+def test_freed_memory_goes_back_before_the_next_batch():
+    def held() -> int:
+        return int(Path("/proc/self/statm").read_text().split()[1]) * resource.getpagesize() >> 20
+
+    # small arrays lie in the heap; the last one keeps what is below it from going back by itself
+    arrays = [np.ones(8_000) for _ in range(4_000)]
+    last = arrays.pop()
+    arrays.clear()
+    before = held()
+    flat(pa.array(["a"]))
+    assert held() < before - 150 and last[0] == 1

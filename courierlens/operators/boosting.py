@@ -16,7 +16,7 @@ from math import ceil
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from courierlens.operators.encode import attach_codes, code_table
@@ -218,9 +218,9 @@ def margin_column(nodes: list[Row]) -> Column:
 def importances_of(nodes: DataFrame) -> DataFrame:
     """(feature, importance) of the features that split: their shares of all gains, weighted by rows."""
     gains = nodes.where("feature IS NOT NULL").groupBy("feature").agg(F.sum(F.col("gain") * F.col("weighted_rows")).alias("gain"))
-    total = gains.agg(F.sum("gain").alias("total"))
-    # one row
-    return gains.join(F.broadcast(total)).select("feature", (F.col("gain") / F.col("total")).alias("importance"))
+    # one row per feature
+    total = F.sum("gain").over(Window.partitionBy(F.lit(1)))
+    return gains.select("feature", (F.col("gain") / total).alias("importance"))
 
 
 def described(nodes: DataFrame, encoding: Encoding) -> DataFrame:

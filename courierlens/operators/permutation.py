@@ -76,7 +76,7 @@ def permutation_importance(
     sums = score(variants).groupBy("replaced").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(loss).alias("loss"))
     # one row per feature and one without
     sums = materialize(sums, "losses")
-    base = sums.where("replaced IS NULL").select(F.col("loss").alias("base_loss"))
-    return sums.where("replaced IS NOT NULL").join(F.broadcast(base)).select(
+    base = F.max(F.when(F.col("replaced").isNull(), F.col("loss"))).over(Window.partitionBy(F.lit(1)))
+    return sums.withColumn("base_loss", base).where("replaced IS NOT NULL").select(
         F.col("replaced").alias("feature"), "n_rows", "base_loss", F.col("loss").alias("permuted_loss")
     )

@@ -8,6 +8,7 @@ from conftest import values
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+import __spark_entry__ as contract
 from courierlens.operators import boosting
 from courierlens.operators.boosting import BoostedTrees, Encoding, boosting_tasks, described, importances_of, label_tables
 from courierlens.operators.encode import attach_codes, encode_columns, known_labels
@@ -15,6 +16,7 @@ from courierlens.operators.metrics import class_profile, classification_metrics,
 from courierlens.operators.permutation import moved, permutation_importance
 from courierlens.operators.split import hash_split, stratified_split
 from courierlens.plans import delay_model, demand_model
+from courierlens.registry import LEARNED, QUERIES
 from courierlens.sources.builder import TRAFFIC, WEATHER
 
 
@@ -344,6 +346,17 @@ def test_only_features_that_matter_cost_something(spark):
     assert 1700 < found["x"].permuted_loss < 2300 and found["x"].n_rows == 4000
 
 
+def test_sums_meet_their_rows_without_a_join(spark, delay_run):
+    rows = spark.range(100).selectExpr("id", "id % 2 AS x")
+    wrong = (F.col("x") != 1).cast("long")
+    for df in (permutation_importance(rows, "id", ["x"], lambda d: d, wrong), importances_of(delay_run.model.nodes())):
+        assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_learned_queries_are_registered():
+    assert set(LEARNED) <= set(contract.queries()) and not set(LEARNED) & set(QUERIES)
+
+
 def test_permutation_has_one_exchange_of_rows(spark):
     plan = moved(spark.range(100).selectExpr("id", "id AS a", "id AS b"), "id", ["a", "b"], 4)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "SinglePartition" not in plan

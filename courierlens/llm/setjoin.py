@@ -429,6 +429,13 @@ def describe(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, INFO)
 
 
+def asked_texts(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``texts`` whose ``doc_id`` is among the written ``ids``; while those are few, no text moves."""
+    if ids.count() <= KNOWN_IDS:
+        ids = F.broadcast(ids)
+    return texts.join(ids, "doc_id", "left_semi")
+
+
 def verify(texts: DataFrame, pairs: DataFrame, j: Join) -> DataFrame:
     """The pairs (a, b) that link, by their texts. A centre ``a`` is sent once to every ``CHUNK`` partners."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
@@ -511,8 +518,8 @@ def split_large(rows: DataFrame, texts: DataFrame, j: Join) -> DataFrame:
     bucket large comes last.
     """
     members = rows.groupBy("bucket", "rep").agg(F.min("n_shingles").alias("n"))
-    wanted = texts.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    held = scratch_table(members.join(elements(wanted), "rep"), "held")
+    wanted = scratch_table(members.select(F.col("rep").alias("doc_id")).distinct(), "wanted")
+    held = scratch_table(members.join(elements(asked_texts(texts, wanted)), "rep"), "held")
     often = held.groupBy("bucket", "element").agg(F.count(F.lit(1)).alias("often"))
     one = Window.partitionBy("bucket", "rep")
     ranked = held.join(often, ["bucket", "element"])

@@ -207,6 +207,26 @@ def test_large_buckets_are_split_and_whole(spark, documents, monkeypatch):
     assert max(groups, default=0) <= 20
 
 
+@pytest.mark.parametrize("known, moved", [(1 << 22, 0), (1, 1)])
+def test_texts_of_large_buckets_stay_where_they_are(spark, documents, monkeypatch, known, moved):
+    monkeypatch.setattr(setjoin, "KNOWN_IDS", known)
+    read, elements = [], setjoin.elements
+    monkeypatch.setattr(setjoin, "elements", lambda texts: read.append(texts) or elements(texts))
+    texts = documents([(i, f"a b c d {i % 4}") for i in range(40)]).select("doc_id", "text")
+    rows = spark.createDataFrame([(b, i, 0, i, 1) for b in (1, 2) for i in range(0, 16, b)], "bucket long, rep long, role int, component long, n_shingles long")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        split = setjoin.split_large(rows, texts, Join()).collect()
+        plan = read[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    # the shingles are those of the buckets' own sets; texts are shuffled only if too many are asked for
+    assert {r.doc_id for r in read[0].collect()} == set(range(16))
+    assert plan.count("SortMergeJoin") == moved
+    assert {(r.rep, r.role, r.n_shingles) for r in split} == {(i, 0, 1) for i in range(16)}
+
+
 def test_empty_tables_and_blank_texts(spark, documents):
     table = documents([(1, None), (2, " "), (3, "")])
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in link_documents(table).collect()) == [

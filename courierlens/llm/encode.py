@@ -13,6 +13,7 @@ import os
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,9 @@ SPACE, LETTER, NUMBER, OTHER = range(4)
 KNOWN = 0x250
 # distinct pieces kept by one worker: about 60 bytes each
 KEEP = 1_000_000
+# places of the table in which most of them are found by their hash
+PLACES = 1 << 22
+_ID = attrgetter("id")
 
 
 def _classes() -> np.ndarray:
@@ -48,16 +52,13 @@ _LONG = [b"re", b"ve", b"ll"]
 
 def piece_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the pieces of UTF-8 rows with known code points, and n + 1 piece offsets per row."""
-    lead = (data & 0xC0) != 0x80
-    at = np.flatnonzero(lead)
-    # known code points above ASCII have two bytes
-    points = data[at].astype(np.int32)
-    wide = points >= 0x80
-    points[wide] = (points[wide] & 0x1F) << 6 | (data[at[wide] + 1] & 0x3F)
-    kind = _CLASSES[points]
-    n = len(at)
-    row_at = np.searchsorted(at, offsets)
-    firsts = row_at[:-1][row_at[:-1] < row_at[1:]]
+    kind = _CLASSES[data]
+    # known code points above ASCII have two bytes, of one class
+    wide = np.flatnonzero(data >= 0xC0)
+    if len(wide):
+        kind[wide] = kind[wide + 1] = _CLASSES[(data[wide].astype(np.int32) & 0x1F) << 6 | (data[wide + 1] & 0x3F)]
+    n = len(data)
+    firsts = offsets[:-1][offsets[:-1] < offsets[1:]]
     row_first = np.zeros(n + 1, bool)
     row_first[firsts] = True
     row_first[n] = True
@@ -69,14 +70,14 @@ def piece_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     followed = space & ~row_first[ends]
     # a run of white space before something else leaves its last character: alone, or before the next piece
     last = ends[followed] - 1
-    begins[last] = True
-    plain = points[last] == 0x20
+    plain = data[last] == 0x20
+    begins[last - ((data[last] & 0xC0) == 0x80)] = True
     begins[ends[followed][plain]] = False
     # an apostrophe alone that starts a piece takes the letters of a contraction with it
-    marks = runs[(ends - runs == 1) & (points[runs] == 0x27)]
+    marks = runs[(ends - runs == 1) & (data[runs] == 0x27)]
     marks = marks[begins[marks] & (marks + 1 < n)]
     for mark in marks[~row_first[marks + 1]].tolist():
-        tail = points[mark + 1 : mark + 3]
+        tail = data[mark + 1 : mark + 3]
         stop = row_first[mark + 2] if mark + 2 <= n else True
         one = bytes([tail[0]]) if tail[0] < 0x80 else b""
         two = bytes(tail.tolist()) if len(tail) == 2 and not stop and (tail < 0x80).all() else b""
@@ -86,8 +87,7 @@ def piece_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
             if mark + 1 + length < n:
                 begins[mark + 1 + length] = True
     starts = np.flatnonzero(begins)
-    places = np.append(at, len(data))
-    return places[starts], places[np.append(starts[1:], n)] if len(starts) else starts, np.searchsorted(starts, row_at)
+    return starts, np.append(starts[1:], n) if len(starts) else starts, np.searchsorted(starts, offsets)
 
 
 def rows_with(data: np.ndarray, offsets: np.ndarray, contents: list[bytes]) -> np.ndarray:
@@ -104,6 +104,13 @@ def rows_with(data: np.ndarray, offsets: np.ndarray, contents: list[bytes]) -> n
     return np.unique(np.array(found, np.int64))
 
 
+def with_room(values: np.ndarray, used: int, more: int) -> np.ndarray:
+    """``values`` with room for ``more`` after the first ``used``; to get it they move to twice the room."""
+    if used + more <= len(values):
+        return values
+    return np.concatenate([values[:used], np.zeros(max(used, more), values.dtype)])
+
+
 class Encoder:
     """Ids of texts, with the pieces seen so far kept by two independent 64-bit hashes.
 
@@ -125,15 +132,35 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known = np.zeros(0, np.uint64)
-        self.check = np.zeros(0, np.uint64)
-        self.at = np.zeros(1, np.int64)
-        self.which = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        # pieces in the order they were learned: two hashes, and each one's run in ids; with room for more
+        self.count = 0
+        self.known, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.ids = np.zeros(1, np.int32), np.zeros(0, np.uint32)
+        # place of a hash -> the first piece there, and the other pieces by sorted hash
+        self.table = np.full(PLACES, -1, np.int32)
+        self.others, self.which = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    @staticmethod
+    def _place(one: np.ndarray) -> np.ndarray:
+        return (one >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int32)
+
+    def _find(self, one: np.ndarray) -> np.ndarray:
+        """The number of the learned piece with each hash, or -1."""
+        if not self.count:
+            return np.full(len(one), -1, np.int32)
+        found = self.table[self._place(one)]
+        missed = np.flatnonzero((found < 0) | (self.known[found] != one))
+        if not len(missed):
+            return found
+        found[missed] = -1
+        if len(self.others):
+            near = np.minimum(np.searchsorted(self.others, one[missed]), len(self.others) - 1)
+            same = self.others[near] == one[missed]
+            found[missed[same]] = self.which[near[same]]
+        return found
 
     def _learn(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, one: np.ndarray, two: np.ndarray) -> None:
-        if len(self.known) + len(one) > KEEP:
-            self._reset()
+        """Add new pieces; their hashes ``one`` are sorted."""
         # the new pieces one after the other, spelled at once: a byte is one character
         ends = np.cumsum(ends - starts)
         begins = np.concatenate([[0], ends[:-1]])
@@ -141,16 +168,23 @@ class Encoder:
         text = data[at].tobytes().decode("latin-1").translate(self.spell)
         tokenize, found, sizes = self.model.tokenize, [], []
         for a, b in zip(begins.tolist(), ends.tolist(), strict=True):
-            ids = [t.id for t in tokenize(text[a:b])]
-            found += ids
-            sizes.append(len(ids))
-        # rank -> the piece's run in ids; both sides are sorted
-        place = np.searchsorted(self.known, one)
-        self.which = np.insert(self.which, place, len(self.which) + np.arange(len(one)))
-        self.known = np.insert(self.known, place, one)
-        self.check = np.insert(self.check, place, two)
-        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.array(sizes, np.int64))])
-        self.ids = np.concatenate([self.ids, np.array(found, np.uint32)])
+            tokens = tokenize(text[a:b])
+            found.extend(map(_ID, tokens))
+            sizes.append(len(tokens))
+        old, count, end = self.count, self.count + len(one), int(self.at[self.count])
+        number = np.arange(old, count, dtype=np.int32)
+        self.known, self.check = (with_room(v, old, len(one)) for v in (self.known, self.check))
+        self.at, self.ids = with_room(self.at, old + 1, len(one)), with_room(self.ids, end, len(found))
+        self.known[old:count], self.check[old:count] = one, two
+        self.at[old + 1 : count + 1] = end + np.cumsum(np.array(sizes, np.int32))
+        self.ids[end : end + len(found)] = found
+        self.count = count
+        place = self._place(one)
+        free = self.table[place] < 0
+        self.table[place[free]] = number[free]
+        other = np.flatnonzero(self.table[place] != number)
+        among = np.searchsorted(self.others, one[other])
+        self.others, self.which = np.insert(self.others, among, one[other]), np.insert(self.which, among, number[other])
 
     def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of rows that hold known code points only, and how many each row has."""
@@ -158,27 +192,24 @@ class Encoder:
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         one, two = self.one(data, starts, ends), self.two(data, starts, ends)
-        distinct, first, inverse = np.unique(one, return_index=True, return_inverse=True)
-        second = two[first]
-        if (second[inverse] != two).any():
+        run = self._find(one)
+        new = np.flatnonzero(run < 0)
+        if len(new):
+            distinct, first, inverse = np.unique(one[new], return_index=True, return_inverse=True)
+            if self.count and self.count + len(distinct) > KEEP:
+                self._reset()
+                return self._slice(data, offsets)
+            first = new[first]
+            learned = self.count + np.arange(len(distinct), dtype=np.int32)
+            self._learn(data, starts[first], ends[first], distinct, two[first])
+            run[new] = learned[inverse]
+        if (self.check[run] != two).any():
             return self._library(data, offsets)
-        place = np.searchsorted(self.known, distinct)
-        held = np.zeros(len(distinct), bool)
-        if len(self.known):
-            near = np.minimum(place, len(self.known) - 1)
-            held = self.known[near] == distinct
-            if (self.check[near][held] != second[held]).any():
-                return self._library(data, offsets)
-        if not held.all():
-            if len(self.known) + int((~held).sum()) > KEEP:
-                held[:] = False
-            new = ~held
-            self._learn(data, starts[first[new]], ends[first[new]], distinct[new], second[new])
-            place = np.searchsorted(self.known, distinct)
-        run = self.which[place][inverse]
-        sizes = self.at[run + 1] - self.at[run]
+        begin = self.at[run]
+        sizes = self.at[run + 1] - begin
         total = np.cumsum(sizes)
-        fill = np.arange(total[-1]) - np.repeat(total - sizes, sizes) + np.repeat(self.at[run], sizes)
+        fill = np.repeat(begin - (total - sizes), sizes)
+        fill += np.arange(len(fill))
         bounds = np.concatenate([[0], total])[rows]
         return self.ids[fill], np.diff(bounds)
 

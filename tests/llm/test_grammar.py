@@ -8,11 +8,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from courierlens.llm import grammar
+from courierlens.llm import encode, grammar
 from courierlens.llm.blocks import flat
 from courierlens.llm.grammar import LEAST, Shard, compress, encode_documents, write_shards
 from courierlens.llm.queries import vocabulary_file
@@ -133,3 +134,23 @@ def test_freed_memory_goes_back_before_the_next_batch():
     before = held()
     flat(pa.array(["a"]))
     assert held() < before - 150 and last[0] == 1
+
+
+def test_known_pieces_are_found_without_sorting(monkeypatch):
+    rng = random.Random(8)
+    parts = ["a", "b", "'s", "'ll", " ", "  ", "\n", "\u0085", "\u00a0", "\u00e9", "\u00b2", "7", "zz", "\u65e5", "\u0416", "."]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(400)] + [None, "", "'"]
+    own = encode.Encoder(vocabulary_file(), added=True)
+    wanted = [i for t in texts for i in own.whole.encode(t or "", add_special_tokens=False).ids]
+    first, bounds = own.encode(pa.array(texts))
+    assert first.tolist() == wanted and bounds[-1] == len(wanted)
+    unique = np.unique
+    with monkeypatch.context() as patch:
+        patch.setattr(encode.np, "unique", lambda x, **k: pytest.fail("sorted") if k else unique(x))
+        assert own.encode(pa.array(texts))[0].tolist() == wanted
+    # pieces that share a place, and a worker that keeps few pieces
+    for name, value in (("PLACES", 16), ("KEEP", 100)):
+        monkeypatch.setattr(encode, name, value)
+        few = encode.Encoder(vocabulary_file(), added=True)
+        found = [few.encode(pa.array(texts[a : a + 20]))[0].tolist() for a in range(0, len(texts), 20)]
+        assert [i for part in found for i in part] == wanted

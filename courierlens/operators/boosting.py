@@ -10,7 +10,9 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -28,6 +30,8 @@ CATEGORIES = 256
 # rows one task of a boosting round answers for: at least so many before rows are dealt to more
 # tasks, and at most so many however few cores there are (some 200 bytes each are kept in memory)
 ROWS_PER_TASK, MOST_PER_TASK = 20_000, 1_000_000
+# bits of a whole number that hold leaves; its sign is left out
+WORD_BITS = 63
 NODES = (
     "tree int, node long, feature string, threshold double, left_codes array<double>, "
     "gain double, weighted_rows double, value double, tree_weight double"
@@ -194,25 +198,107 @@ def known_codes(encoding: Encoding) -> Column:
 def margin_column(nodes: list[Row]) -> Column:
     """The weighted sum of all trees as one expression over feature columns.
 
-    Each tree is a nest of cases that Spark compiles; the sum runs over an array of them,
-    so that generated code is cut into methods.
+    Every test of a tree rules out the leaves on one side of it. So a value of a feature leaves
+    a set of leaves open in each tree, and the sets of all features meet in the one leaf that
+    the row falls into. The sets are bits of whole numbers, looked up by feature and value:
+    the expression grows with the features, not with the trees.
     """
     trees: dict[int, dict[int, Row]] = {}
     for r in nodes:
         trees.setdefault(r.tree, {})[r.node] = r
-
-    def case(tree: dict[int, Row], node: int) -> str:
-        r = tree[node]
+    ordered = [trees[t] for t in sorted(trees)]
+    cuts, codes = split_values(nodes)
+    leaves, tests = zip(*[leaves_and_tests(tree) for tree in ordered], strict=True)
+
+    def open_leaves(feature: str, goes_left: Callable[[Row], bool]) -> Column:
+        words = []
+        for values, by_feature in zip(leaves, tests, strict=True):
+            kept = (1 << len(values)) - 1
+            for r, left, right in by_feature.get(feature, ()):
+                kept &= ~(right if goes_left(r) else left)
+            words += leaf_words(kept, len(values))
+        return numbers(words, "bigint")
+
+    sets = []
+    for feature, at in cuts.items():
+        table = F.array(*[open_leaves(feature, lambda r, cut=cut: cut <= r.threshold) for cut in [*at, float("inf")]])
+        sets.append(F.get(table, place(F.col(f"`{feature}`").cast("double"), at)))
+    for feature, listed in codes.items():
+        table = F.array(*[open_leaves(feature, lambda r, code=code: code in r.left_codes) for code in range(listed + 1)])
+        # a code that no tree lists goes right everywhere, as a NULL does
+        rest = open_leaves(feature, lambda r: False)
+        sets.append(F.coalesce(F.get(table, F.col(f"`{feature}`").cast("int")), rest))
+    whole = numbers([w for values in leaves for w in leaf_words((1 << len(values)) - 1, len(values))], "bigint")
+    met = reduce(lambda one, other: F.zip_with(one, other, lambda x, y: x.bitwiseAND(y)), sets or [whole])
+    worth = F.array(*[numbers(w, "double") for values in leaves for w in leaf_values(values)])
+    # one bit is set, or none: the bits below it are its place, or 64
+    found = F.zip_with(met, worth, lambda word, values: F.get(values, F.bit_count(word - 1)))
+    return F.aggregate(found, F.lit(0.0), lambda total, one: total + one)
+
+
+def split_values(nodes: list[Row]) -> tuple[dict[str, list[float]], dict[str, int]]:
+    """Per feature that splits by size its thresholds in order, per feature that splits by codes the highest one listed."""
+    cuts: dict[str, set[float]] = {}
+    codes: dict[str, int] = {}
+    for r in nodes:
         if r.feature is None:
-            return f"{r.value * r.tree_weight!r}D"
+            continue
         if r.threshold is not None:
-            left = f"double(`{r.feature}`) <= {r.threshold!r}D"
+            cuts.setdefault(r.feature, set()).add(r.threshold)
         else:
-            left = f"double(`{r.feature}`) IN ({', '.join(f'{c!r}D' for c in r.left_codes)})"
-        return f"CASE WHEN {left} THEN {case(tree, 2 * node)} ELSE {case(tree, 2 * node + 1)} END"
+            codes[r.feature] = int(max([codes.get(r.feature, 0), *r.left_codes]))
+    return {f: sorted(at) for f, at in cuts.items()}, codes
+
+
+def leaves_and_tests(tree: dict[int, Row]) -> tuple[list[float], dict[str, list[tuple[Row, int, int]]]]:
+    """The leaves' weighted values from left to right, and per feature its tests with the leaves on either side as bits."""
+    values: list[float] = []
+    tests: dict[str, list[tuple[Row, int, int]]] = {}
+
+    def walk(node: int) -> int:
+        r = tree[node]
+        if r.feature is None:
+            values.append(r.value * r.tree_weight)
+            return 1 << (len(values) - 1)
+        left, right = walk(2 * node), walk(2 * node + 1)
+        tests.setdefault(r.feature, []).append((r, left, right))
+        return left | right
+
+    walk(1)
+    return values, tests
+
+
+def leaf_words(kept: int, leaves: int) -> list[int]:
+    """Bits of leaves, cut into whole numbers; up to 64 leaves fit one, as no bit is left for the first."""
+    if leaves <= WORD_BITS + 1:
+        return [kept >> 1]
+    return [kept >> at & (1 << WORD_BITS) - 1 for at in range(0, leaves, WORD_BITS)]
+
+
+def leaf_values(values: list[float]) -> list[list[float]]:
+    """What each word of ``leaf_words`` adds by the place of its bit; at place 64, what it adds without one."""
+    if len(values) <= WORD_BITS + 1:
+        words, none = [values[1:]], values[0]
+    else:
+        words, none = [values[at : at + WORD_BITS] for at in range(0, len(values), WORD_BITS)], 0.0
+    return [[*word, *[0.0] * (64 - len(word)), none] for word in words]
+
+
+def place(value: Column, cuts: list[float]) -> Column:
+    """How many of the ordered ``cuts`` lie below ``value``; all for NULL and NaN."""
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(value <= F.lit(cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+
+    return search(0, len(cuts))
+
 
-    sums = ", ".join(case(tree, 1) for _, tree in sorted(trees.items()))
-    return F.expr(f"aggregate(array({sums}), 0.0D, (total, one) -> total + one)")
+def numbers(values: list[int] | list[float], kind: str) -> Column:
+    """A constant array, handed over as one text, which is read once when the query is planned."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
 
 
 def importances_of(nodes: DataFrame) -> DataFrame:

@@ -2,15 +2,18 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
+from itertools import product
 
 import pytest
 from conftest import values
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from courierlens.operators import boosting
-from courierlens.operators.boosting import BoostedTrees, Encoding, boosting_tasks, described, importances_of, label_tables
+from courierlens.operators.boosting import BoostedTrees, Encoding, boosting_tasks, described, importances_of, label_tables, margin_column
 from courierlens.operators.encode import attach_codes, encode_columns, known_labels
 from courierlens.operators.metrics import class_profile, classification_metrics, confusion, regression_metrics
 from courierlens.operators.permutation import moved, permutation_importance
@@ -242,6 +245,60 @@ def test_a_column_in_scoring_is_one_native_expression(delay_run):
     assert "Python" not in plan and "UDF" not in plan and "CASE WHEN" in plan
 
 
+def made_nodes(depths, seed=5):
+    """Made-up whole trees over a number, a price and a code."""
+    draw, nodes = random.Random(seed), []
+
+    def grow(tree, node, depth):
+        feature = draw.choice(["size", "price", "code"]) if depth else None
+        threshold = draw.choice([-1.5, 0.0, 2.0, 7.25]) if feature in ("size", "price") else None
+        codes = sorted(map(float, draw.sample(range(5), draw.randint(1, 4)))) if feature == "code" else None
+        split = {"feature": feature, "threshold": threshold, "left_codes": codes}
+        nodes.append(Row(tree=tree, node=node, **split, value=draw.uniform(-1, 1), tree_weight=0.1 if tree else 1.0))
+        if depth:
+            grow(tree, 2 * node, depth - 1)
+            grow(tree, 2 * node + 1, depth - 1)
+
+    for tree, depth in enumerate(depths):
+        grow(tree, 1, depth)
+    return nodes
+
+
+def walked(nodes, row):
+    at, total = {(r.tree, r.node): r for r in nodes}, 0.0
+    for tree in range(1 + max(r.tree for r in nodes)):
+        r = at[tree, 1]
+        while r.feature is not None:
+            value = row[r.feature]
+            # NULL and NaN go right
+            left = value is not None and (value <= r.threshold if r.left_codes is None else value in r.left_codes)
+            r = at[tree, 2 * r.node + (not left)]
+        total += r.value * r.tree_weight
+    return total
+
+
+@pytest.mark.parametrize("depths", [[0], [1, 0, 3], [6, 5, 6, 2], [7, 8, 6]])
+def test_margins_equal_a_walk_through_every_tree(spark, depths):
+    """Up to 64 leaves, more than 64, single leaves; values on a threshold, NULL, NaN, infinite; codes that no tree lists."""
+    nodes = made_nodes(depths)
+    sizes, prices = [None, -2, 0, 2, 7, 8], [None, math.nan, -math.inf, math.inf, -1.5, -0.0, 1.9, 7.25]
+    codes = [None, -1, 0, 1, 2, 3, 4, 5, 99]
+    rows = [(i, *row) for i, row in enumerate(product(sizes, prices, codes))]
+    df = spark.createDataFrame(rows, "id int, size long, price double, code long")
+    found = dict(values(df.select("id", margin_column(nodes).alias("margin"))))
+    assert found == {r["id"]: walked(nodes, r) for r in df.collect()}
+
+
+def test_the_scoring_expression_grows_with_features_and_not_with_trees(spark):
+    df = spark.createDataFrame([(1, 1.0, 1)], "size long, price double, code long")
+
+    def cases(trees):
+        text = df.select(margin_column(made_nodes([6] * trees)))._jdf.queryExecution().optimizedPlan().toString()
+        return text.count("CASE WHEN")
+
+    assert cases(2) == cases(20) > 0
+
+
 def test_nodes_form_whole_trees(delay_run):
     nodes = {(r.tree, r.node): r for r in delay_run.model.nodes().collect()}
     assert {t for t, n in nodes if n == 1} == set(range(5))

@@ -21,6 +21,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
+from courierlens.operators import blockwise
 from courierlens.operators.encode import attach_codes, code_table
 from courierlens.session import application_folder, delete_folder
 from courierlens.sources.working_copy import materialize
@@ -30,6 +31,8 @@ CATEGORIES = 256
 # rows one task of a boosting round answers for: at least so many before rows are dealt to more
 # tasks, and at most so many however few cores there are (some 200 bytes each are kept in memory)
 ROWS_PER_TASK, MOST_PER_TASK = 20_000, 1_000_000
+# up to so many rows Spark's own learner boosts, beyond them its trees are grown from blocks of rows
+LEARNER_ROWS = 1_000_000
 # bits of a whole number that hold leaves; its sign is left out
 WORD_BITS = 63
 NODES = (
@@ -107,12 +110,15 @@ class BoostedTrees:
         """Boost from coded rows that are written once; their tasks follow their number.
 
         Every round runs all tasks several times, and a label that holds a large share of
-        the rows has no say in how they are dealt.
+        the rows has no say in how they are dealt. Many rows are boosted in blocks, by the same rules.
         """
         coded = materialize(encoding.coded(rows), "coded-rows")
-        cores = rows.sparkSession.sparkContext.defaultParallelism
-        dealt = coded.repartition(boosting_tasks(coded.count(), cores))
+        cores, n = rows.sparkSession.sparkContext.defaultParallelism, coded.count()
         learner = learner.copy({learner.maxBins: encoding.bins()})
+        if n > LEARNER_ROWS and blockwise.supported(learner):
+            tasks = min(ceil(n / ROWS_PER_TASK), cores)
+            return BoostedTrees(encoding, blockwise.boost(learner, encoding.assembled(coded), tasks))
+        dealt = coded.repartition(boosting_tasks(n, cores))
         return BoostedTrees(encoding, learner.fit(encoding.assembled(dealt)))
 
     def transform(self, rows: DataFrame, strict: bool = True) -> DataFrame:

@@ -12,14 +12,18 @@ import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 from math import ceil
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from courierlens.operators import blockwise
 from courierlens.operators.encode import attach_codes, code_table
@@ -33,6 +37,8 @@ CATEGORIES = 256
 ROWS_PER_TASK, MOST_PER_TASK = 20_000, 1_000_000
 # up to so many rows Spark's own learner boosts, beyond them its trees are grown from blocks of rows
 LEARNER_ROWS = 1_000_000
+# trees up to this depth are looked up as tables, which grow with its power of two
+DEEPEST = 12
 # bits of a whole number that hold leaves; its sign is left out
 WORD_BITS = 63
 NODES = (
@@ -126,11 +132,34 @@ class BoostedTrees:
         coded = self.encoding.coded(rows, strict)
         if not strict:
             coded = coded.withColumn("known", known_codes(self.encoding))
-        scored = self.learner.transform(self.encoding.assembled(coded))
+        scored = self._predicted(self.encoding.assembled(coded))
         if strict:
             return scored
         return scored.withColumn("prediction", F.when(F.col("known"), F.col("prediction"))).drop("known")
 
+    def _predicted(self, assembled: DataFrame) -> DataFrame:
+        """The columns that the learner adds, its trees looked up for many rows at once.
+
+        The learner walks every row through every tree and looks each code up in a set of objects.
+        """
+        names, nodes = self.encoding.features, self._node_rows
+        if max(r.node for r in nodes) >> DEEPEST:
+            return self.learner.transform(assembled)
+        inputs = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in names]
+        margin = pandas_udf(Lookup.of(nodes, names).margins, "double")(*inputs)
+        if isinstance(self.learner, GBTRegressionModel):
+            return assembled.withColumn("prediction", margin)
+        with_margin = assembled.withColumn("_margin", margin)
+        late = 1 / (1 + F.exp(-2 * F.col("_margin")))
+        raw = array_to_vector(F.array(-F.col("_margin"), F.col("_margin")))
+        columns = {"rawPrediction": raw, "probability": array_to_vector(F.array(1 - late, late))}
+        prediction = (F.col("_margin") > 0).cast("double")
+        return with_margin.withColumns({**columns, "prediction": prediction}).drop("_margin")
+
+    @cached_property
+    def _node_rows(self) -> list[Row]:
+        return self.nodes().collect()
+
     def save(self, path: str) -> None:
         """Label tables, learner and feature list below ``path``; the list goes first and comes last."""
         spark = SparkSession.active()
@@ -184,7 +213,7 @@ class BoostedTrees:
     def score(self, rows: DataFrame, strict: bool = True) -> DataFrame:
         """``rows`` with ``score`` and ``prediction`` from the stored tables alone, without the learner."""
         coded = self.encoding.coded(rows, strict)
-        margin = margin_column(self.nodes().collect())
+        margin = margin_column(self._node_rows)
         value = F.when(known_codes(self.encoding), margin)
         if isinstance(self.learner, GBTClassificationModel):
             score, prediction = 1 / (1 + F.exp(-2 * F.col("margin"))), (F.col("margin") > 0).cast("double")
@@ -194,6 +223,65 @@ class BoostedTrees:
         return scored.drop("margin", *[c for c in self.encoding.codes.values() if c not in rows.columns])
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """Trees as tables: per level, place and bin of the feature asked for the place on the next level."""
+
+    bins: list[np.ndarray | int]  # per feature its thresholds in order, or the highest code that a tree lists
+    trees: list[tuple[blockwise.Levels, np.ndarray]]  # with the weighted values of the last level's places
+
+    @staticmethod
+    def of(nodes: list[Row], features: tuple[str, ...]) -> Lookup:
+        cuts, codes = split_values(nodes)
+        bins = [np.array(cuts[f]) if f in cuts else codes.get(f, 0) for f in features]
+        width = max(len(b) + 1 if isinstance(b, np.ndarray) else b + 2 for b in bins)
+        trees: dict[int, dict[int, Row]] = {}
+        for r in nodes:
+            trees.setdefault(r.tree, {})[r.node] = r
+
+        def table(tree: dict[int, Row]) -> tuple[blockwise.Levels, np.ndarray]:
+            depth = max(tree).bit_length() - 1
+            levels = [
+                (np.zeros(1 << level, np.intp), np.repeat(2 * np.arange(1 << level), width).reshape(-1, width))
+                for level in range(depth)
+            ]
+            values = np.zeros(1 << depth)
+            for n, r in tree.items():
+                level = n.bit_length() - 1
+                place = n - (1 << level)
+                if r.feature is None:
+                    # rows of a leaf go left from there on
+                    values[place << depth - level] = r.value * r.tree_weight
+                    continue
+                left = np.zeros(width, bool)
+                if r.threshold is not None:
+                    left[: cuts[r.feature].index(r.threshold) + 1] = True
+                else:
+                    left[np.array(r.left_codes, int)] = True
+                levels[level][0][place] = features.index(r.feature)
+                levels[level][1][place] += ~left
+            return levels, values
+
+        return Lookup(bins, [table(trees[t]) for t in sorted(trees)])
+
+    def margins(self, *columns: pd.Series) -> pd.Series:
+        """The weighted sum of all trees' values, tree by tree."""
+        found = np.empty((len(columns), len(columns[0])), np.int32)
+        for place, column, bins in zip(found, columns, self.bins, strict=True):
+            values = column.to_numpy()
+            if np.isnan(values).any():
+                raise ValueError("a feature is not a number")
+            if isinstance(bins, np.ndarray):
+                place[:] = np.searchsorted(bins, values)
+            else:
+                # codes that no tree lists go right everywhere
+                place[:] = np.where((values >= 0) & (values <= bins), values, bins + 1)
+        total = np.zeros(found.shape[1])
+        for levels, values in self.trees:
+            total += values.take(blockwise.places(found, levels))
+        return pd.Series(total)
+
+
 def known_codes(encoding: Encoding) -> Column:
     known = F.lit(True)
     for code in encoding.codes.values():

@@ -7,12 +7,14 @@ import numpy as np
 import pytest
 from conftest import values
 from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import functions as F
 
 from courierlens.operators import blockwise, boosting
 from courierlens.operators.blockwise import Bins, Block, Node, Rounds, Steps, Tree, counted, places, points, thresholds
 from courierlens.operators.boosting import BoostedTrees, Encoding, label_tables
+from test_learning import made_nodes, walked
 
 CODES = {"town": "town_enc", "sky": "sky_enc"}
 FEATURES = ["hour", "price", "town_enc", "sky_enc"]
@@ -177,3 +179,36 @@ def test_steps_keep_sums_exact_and_residuals_in_a_whole_number():
         pull = rounds.pull(0, 1, np.array([heaviest, -heaviest]), np.array([-1e6, 1e6]))
         assert np.allclose(pull * steps.pull, [4 * heaviest, -4 * heaviest])
 
+
+# scoring
+
+
+def test_rows_are_scored_by_tables_as_by_the_learner(spark):
+    rows = coded_rows(spark, 1500)
+    encoding = encoding_of(rows)
+    for learner in (classifier(), GBTRegressor(labelCol="late", maxIter=3, maxDepth=3, seed=1)):
+        model = BoostedTrees.fit(learner, rows, encoding)
+        found, wanted = model.transform(rows), model.learner.transform(encoding.assembled(encoding.coded(rows)))
+        assert found.columns == wanted.columns
+        # one pass over arrays of rows, not the learner's walk of each row
+        plan = found.select("prediction")._jdf.queryExecution().executedPlan().toString()
+        assert "margins" in plan and "UDF(features" not in plan
+        vectors = [c for c in ("rawPrediction", "probability") if c in found.columns]
+        shown = ["id", "prediction", *[vector_to_array(c).alias(c) for c in vectors]]
+        for one, other in zip(sorted(values(found.select(*shown))), sorted(values(wanted.select(*shown))), strict=True):
+            assert one[0] == other[0]
+            assert np.allclose(np.hstack(one[1:]), np.hstack(other[1:]), rtol=1e-12, atol=1e-14)
+
+
+@pytest.mark.parametrize("depths", [[0], [1, 0, 3], [6, 5, 6, 2]])
+def test_tables_of_trees_equal_a_walk(depths):
+    import pandas as pd
+
+    nodes = made_nodes(depths)
+    draw = random.Random(1)
+    rows = [{"size": draw.choice([-2, 0, 2, 7, 8]), "price": draw.choice([-1.5, 0.0, 1.9, 7.25, 1e300]), "code": draw.choice([-1, 0, 1, 2, 3, 4, 5, 99])} for _ in range(300)]
+    lookup = boosting.Lookup.of(nodes, ("size", "price", "code"))
+    columns = [pd.Series([float(r[c]) for r in rows]) for c in ("size", "price", "code")]
+    assert lookup.margins(*columns).tolist() == [walked(nodes, r) for r in rows]
+    with pytest.raises(ValueError, match="not a number"):
+        lookup.margins(pd.Series([float("nan")]), pd.Series([0.0]), pd.Series([0.0]))

@@ -110,6 +110,8 @@ def boosting_tasks(rows: int, cores: int) -> int:
 class BoostedTrees:
     encoding: Encoding
     learner: GBTClassificationModel | GBTRegressionModel
+    # learned from many rows, so that many are to be scored as well
+    many: bool = False
 
     @staticmethod
     def fit(learner: GBTClassifier | GBTRegressor, rows: DataFrame, encoding: Encoding) -> BoostedTrees:
@@ -123,7 +125,7 @@ class BoostedTrees:
         learner = learner.copy({learner.maxBins: encoding.bins()})
         if n > LEARNER_ROWS and blockwise.supported(learner):
             tasks = min(ceil(n / ROWS_PER_TASK), cores)
-            return BoostedTrees(encoding, blockwise.boost(learner, encoding.assembled(coded), tasks))
+            return BoostedTrees(encoding, blockwise.boost(learner, encoding.assembled(coded), tasks), many=True)
         dealt = coded.repartition(boosting_tasks(n, cores))
         return BoostedTrees(encoding, learner.fit(encoding.assembled(dealt)))
 
@@ -138,13 +140,13 @@ class BoostedTrees:
         return scored.withColumn("prediction", F.when(F.col("known"), F.col("prediction"))).drop("known")
 
     def _predicted(self, assembled: DataFrame) -> DataFrame:
-        """The columns that the learner adds, its trees looked up for many rows at once.
+        """The columns that the learner adds; for many rows its trees are looked up for a batch at once.
 
         The learner walks every row through every tree and looks each code up in a set of objects.
         """
-        names, nodes = self.encoding.features, self._node_rows
-        if max(r.node for r in nodes) >> DEEPEST:
+        if not self.many or max(r.node for r in self._node_rows) >> DEEPEST:
             return self.learner.transform(assembled)
+        names, nodes = self.encoding.features, self._node_rows
         inputs = [F.coalesce(F.col(name).cast("double"), F.lit(0.0)) for name in names]
         margin = pandas_udf(Lookup.of(nodes, names).margins, "double")(*inputs)
         if isinstance(self.learner, GBTRegressionModel):
@@ -172,6 +174,7 @@ class BoostedTrees:
             "features": self.encoding.features,
             "codes": self.encoding.codes,
             "sizes": self.encoding.sizes,
+            "many": self.many,
         }
         spark.createDataFrame([(json.dumps(about),)], "about string").write.text(f"{path}/about")
 
@@ -180,7 +183,7 @@ class BoostedTrees:
         about = json.loads(spark.read.text(f"{path}/about").first()[0])
         labels = {c: spark.read.parquet(f"{path}/labels/{c}") for c in about["codes"]}
         encoding = Encoding(labels, about["sizes"], about["codes"], tuple(about["features"]))
-        return BoostedTrees(encoding, _KINDS[about["learner"]].load(f"{path}/learner"))
+        return BoostedTrees(encoding, _KINDS[about["learner"]].load(f"{path}/learner"), about.get("many", False))
 
     def nodes(self) -> DataFrame:
         """All nodes of all trees; node 1 is a root, and the sides of node n are 2n and 2n + 1.

@@ -61,6 +61,7 @@ def test_many_rows_are_boosted_in_blocks_to_the_trees_of_the_learner(spark, monk
     monkeypatch.setattr(boosting, "ROWS_PER_TASK", 1500)
     found = BoostedTrees.fit(classifier(), rows, encoding)
     assert [tasks for _, _, tasks in asked] == [min(3, spark.sparkContext.defaultParallelism)]
+    assert found.many and not wanted.many
     assert shape(found) == shape(wanted) and len(shape(found)) > 60
     assert np.allclose(amounts(found), amounts(wanted), rtol=1e-6, atol=1e-8)
     assert found.learner.getMaxIter() == 4 and found.learner.getWeightCol() == "weight"
@@ -183,11 +184,15 @@ def test_steps_keep_sums_exact_and_residuals_in_a_whole_number():
 # scoring
 
 
-def test_rows_are_scored_by_tables_as_by_the_learner(spark):
+def test_models_of_many_rows_score_by_tables_as_the_learner_does(spark, tmp_path):
     rows = coded_rows(spark, 1500)
     encoding = encoding_of(rows)
     for learner in (classifier(), GBTRegressor(labelCol="late", maxIter=3, maxDepth=3, seed=1)):
-        model = BoostedTrees.fit(learner, rows, encoding)
+        few = BoostedTrees.fit(learner, rows, encoding)
+        assert not few.many and "margins" not in few.transform(rows)._jdf.queryExecution().executedPlan().toString()
+        model = BoostedTrees(encoding, few.learner, many=True)
+        model.save(str(tmp_path / "model"))
+        assert BoostedTrees.load(spark, str(tmp_path / "model")).many
         found, wanted = model.transform(rows), model.learner.transform(encoding.assembled(encoding.coded(rows)))
         assert found.columns == wanted.columns
         # one pass over arrays of rows, not the learner's walk of each row
